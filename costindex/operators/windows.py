@@ -37,7 +37,7 @@ def minmax_scale(df: DataFrame, columns: dict[str, tuple[str, bool]]) -> DataFra
     window.
     """
     aggs = []
-    for _, (src, _) in columns.items():
+    for src in dict.fromkeys(src for src, _ in columns.values()):
         aggs += [F.min(src).alias(f"__min_{src}"), F.max(src).alias(f"__max_{src}")]
     bounds = df.agg(*aggs)
     out = df.crossJoin(F.broadcast(bounds))
