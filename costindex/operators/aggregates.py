@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costindex.operators.keys import null_safe_join
-from costindex.operators.quantiles import exact_quantiles
+from costindex.session import stage_table
+from costindex.operators.quantiles import quantiles_from_counts
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
@@ -38,22 +39,60 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str,
                   distinct: Mapping[str, str] | None = None,
                   count_name: str = "n", mean_name: str = "mean",
                   min_name: str = "min", max_name: str = "max",
-                  stddev_name: str = "stddev") -> DataFrame:
-    """count / mean / min / max / sample stddev, exact quantiles, distinct counts per group."""
+                  stddev_name: str = "stddev", cut_lineage: bool = True) -> DataFrame:
+    """count / mean / min / max / sample stddev, exact quantiles, distinct counts per group.
+
+    The input is read ONCE: every row is expanded (narrow, no shuffle) into
+    one row per measure family -- its value, and each code whose distinct
+    count is wanted -- and a single map-side combined aggregate counts them
+    per (group, family, value).  Every measure below is computed from that
+    compact table; its exchange is shared by all branches, so the fact is
+    scanned and shuffled once whatever the number of measures.  The standard
+    deviation is the two-pass form over value counts (mean first, then the
+    squared deviations), which does not lose precision on large means.
+
+    With ``cut_lineage`` the compact table is checkpointed to the session's
+    shared checkpoint folder: the many branches then plan against a small
+    stored table instead of re-planning the whole input lineage each, and a
+    lost executor re-reads it instead of recomputing the scan.
+    """
     keys = list(keys)
-    v = F.col(value)
-    base = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(count_name),
-        F.avg(v).alias(mean_name),
-        F.min(v).alias(min_name),
-        F.max(v).alias(max_name),
-        F.stddev_samp(v).alias(stddev_name),
-    )
+    distinct = dict(distinct or {})
+    fams = [F.struct(F.lit(0).alias("k"), F.col(value).cast("double").alias("xv"),
+                     F.lit(None).cast("string").alias("xs"))]
+    for j, col in enumerate(distinct.values(), start=1):
+        fams.append(F.struct(F.lit(j).alias("k"), F.lit(None).cast("double").alias("xv"),
+                             F.col(col).cast("string").alias("xs")))
+    exp = df.select(*keys, F.explode(F.array(*fams)).alias("_f")).select(
+        *keys, F.col("_f.k").alias("_k"), F.col("_f.xv").alias("_xv"), F.col("_f.xs").alias("_xs"))
+    exp = exp.where((F.col("_k") == 0) | F.col("_xs").isNotNull())
+    compact = exp.groupBy(*keys, "_k", "_xv", "_xs").agg(F.count(F.lit(1)).alias("_c"))
+    if cut_lineage:
+        compact = stage_table(compact, "group_profile")
+
+    k0, v, c = F.col("_k") == 0, F.col("_xv"), F.col("_c")
+    has_v = k0 & v.isNotNull()
+    aggs = [F.sum(F.when(k0, c)).alias(count_name),
+            F.sum(F.when(has_v, c)).alias("_nn"),
+            F.count(F.when(has_v, F.lit(1))).alias("_d"),
+            F.sum(F.when(has_v, v * c)).alias("_sum"),
+            F.min(F.when(k0, v)).alias(min_name),
+            F.max(F.when(k0, v)).alias(max_name)]
+    # one row per distinct code in its family, so a count is a distinct count
+    aggs += [F.count(F.when(F.col("_k") == j, F.lit(1))).alias(name)
+             for j, name in enumerate(distinct, start=1)]
+    base = compact.groupBy(*keys).agg(*aggs).withColumn(
+        mean_name, F.col("_sum") / F.col("_nn"))
+
+    values = compact.where(has_v).select(*keys, F.col("_xv").alias("_v"), "_c")
+    dev = null_safe_join(values, base.select(*keys, F.col(mean_name).alias("_mean")), keys) \
+        .groupBy(*keys).agg(F.sum(F.col("_c") * (F.col("_v") - F.col("_mean"))
+                                  * (F.col("_v") - F.col("_mean"))).alias("_ss"))
+    out = null_safe_join(base, dev, keys, "left").withColumn(
+        stddev_name, F.when(F.col("_nn") > 1,
+                            F.sqrt(F.col("_ss") / (F.col("_nn") - F.lit(1)).cast("double"))))
     if quantiles:
-        base = null_safe_join(base, exact_quantiles(df, keys, value, quantiles), keys, "left")
-    if distinct:
-        dc = distinct_counts(df, keys, distinct)
-        base = null_safe_join(base, dc, keys, "left")
-        for name in distinct:
-            base = base.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
-    return base
+        stats = base.select(*keys, F.col("_nn").alias("_n"), "_d")
+        out = null_safe_join(out, quantiles_from_counts(values, keys, quantiles, stats=stats),
+                             keys, "left")
+    return out.drop("_nn", "_d", "_sum", "_ss")

@@ -16,7 +16,7 @@ DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (no job is run); None if unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # e.g. Spark Connect: no plan statistics on the client
         return None
 

@@ -61,25 +61,46 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     vc = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    stats = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    return quantiles_from_counts(vc, keys, probs, max_values_per_task, sample_modulus)
 
-    bounds = _bucket_bounds(vc, stats, keys, max_values_per_task, sample_modulus)
-    vcb = null_safe_join(vc, broadcast_if_small(bounds), keys, "left").withColumn(
-        "_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))), F.lit(0)))
-    vcb = vcb.drop("_bounds")
 
-    # rank offset of each bucket inside its group (a tiny table: buckets per group)
-    bt = vcb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"))
-    bt = bt.withColumn("_off", F.coalesce(F.sum("_bc").over(
-        Window.partitionBy(*keys).orderBy("_bk")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    bt = null_safe_join(bt, stats.select(*keys, "_n"), keys).drop("_bc")
+def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str, float],
+                          max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK,
+                          sample_modulus: int = DEFAULT_SAMPLE_MODULUS,
+                          stats: DataFrame | None = None) -> DataFrame:
+    """Quantiles from value counts: ``vc`` has keys, ``_v`` (non-null, distinct per group), ``_c``.
+
+    ``stats`` (keys, ``_n`` values, ``_d`` distinct values) may be passed when
+    already known.  Bucketing is planned only when some group has more
+    distinct values than ``max_values_per_task`` (one scalar aggregate over
+    the per-group stats decides); otherwise each group is ranked whole.
+    """
+    keys = list(keys)
+    if stats is None:
+        stats = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    widest = stats.agg(F.max("_d")).first()[0] or 0
+    if widest > max_values_per_task:
+        bounds = _bucket_bounds(vc, stats, keys, max_values_per_task, sample_modulus)
+        vcb = null_safe_join(vc, broadcast_if_small(bounds), keys, "left").withColumn(
+            "_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))),
+                              F.lit(0))).drop("_bounds")
+        # rank offset of each bucket inside its group (a tiny table: buckets per group)
+        bt = vcb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"))
+        bt = bt.withColumn("_off", F.coalesce(F.sum("_bc").over(
+            Window.partitionBy(*keys).orderBy("_bk")
+            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        bt = null_safe_join(bt, stats.select(*keys, "_n"), keys).drop("_bc")
+        part = keys + ["_bk"]
+    else:
+        vcb = vc
+        bt = stats.select(*keys, "_n", F.lit(0).cast("long").alias("_off"))
+        part = keys
 
     # exact ranks inside each (group, bucket): rows [lo, hi) of the sorted values
     ranked = vcb.withColumn("_cum", F.sum("_c").over(
-        Window.partitionBy(*keys, "_bk").orderBy("_v")
+        Window.partitionBy(*part).orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ranked = null_safe_join(ranked, broadcast_if_small(bt), keys + ["_bk"])
+    ranked = null_safe_join(ranked, broadcast_if_small(bt), part)
     hi_rank = F.col("_off") + F.col("_cum")
     lo_rank = hi_rank - F.col("_c")
 

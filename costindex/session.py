@@ -66,3 +66,15 @@ def shared_root(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the shared checkpoint folder for one warehouse."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/costindex/{name or uuid.uuid4().hex}"
+
+
+def stage_table(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (later branches plan against a small stored table, and a
+    lost executor re-reads the files instead of recomputing the inputs).
+    """
+    spark = df.sparkSession
+    path = f"{shared_root(spark, 'stage')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
