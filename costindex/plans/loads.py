@@ -337,3 +337,24 @@ def _marts_materialize(i: Inputs) -> DataFrame:
 oracle.register_final("marts_materialize", """
 select fuel_type, fuel_date, price, change_direction from mart_fuel_timeline""",
                       ["mart_fuel_timeline"])
+
+
+# ---- S-5 as a stream ----------------------------------------------------------------------
+@query("stream_incremental_load")
+def _stream_incremental_load(i: Inputs) -> DataFrame:
+    """The landing files loaded by the file-source stream: rows per month in the raw table."""
+    from costindex.streaming.incremental import landing_stream, run_incremental_stream
+    landing = _landing(i)
+    book = _fresh(i)
+    schema = i.fx("fx_prices").schema
+    stream = landing_stream(i.spark, landing, schema)
+    run_incremental_stream(book, "pricecatcher_prices", stream,
+                           book.wh.path("state", "stream_checkpoint"), AT)
+    raw = book.wh.read_partitioned("raw", "pricecatcher_prices")
+    return raw.groupBy(F.col("_month_partition").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows_in_month"))
+
+
+oracle.register_final("stream_incremental_load", """
+select _month_partition as month, count(*) as rows_in_month from fx_prices group by 1""",
+                      ["fx_prices"])
