@@ -21,11 +21,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimated size is known and below ``max_bytes``."""
+def _row_bytes(df: DataFrame) -> int:
+    """Bytes per row for the broadcast bound: fixed widths, strings counted generously."""
+    fixed = {"byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "boolean": 1}
+    width = 16
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        width += 64 if name in ("string", "binary") else fixed.get(name, 8)
+    return width
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                       verify_rows: bool = False) -> DataFrame:
+    """Hint a broadcast only behind a size check; otherwise leave a shuffle join.
+
+    The plan estimate (no job) decides first.  Estimates of joined or
+    aggregated plans are loose upper bounds, so with ``verify_rows`` a
+    dimension that looks too big is counted (one job over the dimension
+    only) and broadcast when rows x row width fits under ``max_bytes``.
+    """
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
+    if verify_rows:
+        limit_rows = max_bytes // _row_bytes(df)
+        # counting at most limit_rows + 1 rows bounds the check's own cost
+        if df.limit(limit_rows + 1).count() <= limit_rows:
+            return F.broadcast(df)
     return df
 
 
@@ -39,7 +61,7 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
     """
     out = fact
     for dim, fact_key, dim_key in dims:
-        d = broadcast_if_small(dim, max_broadcast_bytes)
+        d = broadcast_if_small(dim, max_broadcast_bytes, verify_rows=True)
         out = out.join(d, out[fact_key] == d[dim_key], "inner")
         if dim_key != fact_key:
             out = out.drop(d[dim_key])
