@@ -43,13 +43,14 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str,
     """count / mean / min / max / sample stddev, exact quantiles, distinct counts per group.
 
     The input is read ONCE: every row is expanded (narrow, no shuffle) into
-    one row per measure family -- its value, and each code whose distinct
-    count is wanted -- and a single map-side combined aggregate counts them
-    per (group, family, value).  Every measure below is computed from that
-    compact table; its exchange is shared by all branches, so the fact is
-    scanned and shuffled once whatever the number of measures.  The standard
-    deviation is the two-pass form over value counts (mean first, then the
-    squared deviations), which does not lose precision on large means.
+    one row per measure family -- the raw row (count, sum, min, max and
+    sample stddev, accumulated in scan order like a plain aggregate), its
+    value (for exact quantiles), and each code whose distinct count is
+    wanted -- and a single map-side combined aggregate reduces them per
+    (group, family, value).  Every measure is computed from that compact
+    table, so the fact is scanned and shuffled once whatever the number of
+    measures; a group holding a large share of the rows is spread over many
+    reducers by its values and codes.
 
     With ``cut_lineage`` the compact table is checkpointed to the session's
     shared checkpoint folder: the many branches then plan against a small
@@ -58,41 +59,41 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str,
     """
     keys = list(keys)
     distinct = dict(distinct or {})
-    fams = [F.struct(F.lit(0).alias("k"), F.col(value).cast("double").alias("xv"),
-                     F.lit(None).cast("string").alias("xs"))]
+    val = F.col(value).cast("double")
+    none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+    # family -1: raw rows (moments in scan order); 0: values; j: codes of distinct column j
+    fams = [F.struct(F.lit(-1).alias("k"), none_d.alias("xv"), none_s.alias("xs"), val.alias("xr")),
+            F.struct(F.lit(0).alias("k"), val.alias("xv"), none_s.alias("xs"), none_d.alias("xr"))]
     for j, col in enumerate(distinct.values(), start=1):
-        fams.append(F.struct(F.lit(j).alias("k"), F.lit(None).cast("double").alias("xv"),
-                             F.col(col).cast("string").alias("xs")))
+        fams.append(F.struct(F.lit(j).alias("k"), none_d.alias("xv"),
+                             F.col(col).cast("string").alias("xs"), none_d.alias("xr")))
     exp = df.select(*keys, F.explode(F.array(*fams)).alias("_f")).select(
-        *keys, F.col("_f.k").alias("_k"), F.col("_f.xv").alias("_xv"), F.col("_f.xs").alias("_xs"))
-    exp = exp.where((F.col("_k") == 0) | F.col("_xs").isNotNull())
-    compact = exp.groupBy(*keys, "_k", "_xv", "_xs").agg(F.count(F.lit(1)).alias("_c"))
+        *keys, F.col("_f.k").alias("_k"), F.col("_f.xv").alias("_xv"),
+        F.col("_f.xs").alias("_xs"), F.col("_f.xr").alias("_xr"))
+    exp = exp.where((F.col("_k") <= 0) | F.col("_xs").isNotNull())
+    r = F.col("_xr")
+    compact = exp.groupBy(*keys, "_k", "_xv", "_xs").agg(
+        F.count(F.lit(1)).alias("_c"), F.count(r).alias("_rn"), F.sum(r).alias("_rs"),
+        F.min(r).alias("_rmin"), F.max(r).alias("_rmax"), F.stddev_samp(r).alias("_rsd"))
     if cut_lineage:
         compact = stage_table(compact, "group_profile")
 
-    k0, v, c = F.col("_k") == 0, F.col("_xv"), F.col("_c")
-    has_v = k0 & v.isNotNull()
-    aggs = [F.sum(F.when(k0, c)).alias(count_name),
-            F.sum(F.when(has_v, c)).alias("_nn"),
-            F.count(F.when(has_v, F.lit(1))).alias("_d"),
-            F.sum(F.when(has_v, v * c)).alias("_sum"),
-            F.min(F.when(k0, v)).alias(min_name),
-            F.max(F.when(k0, v)).alias(max_name)]
-    # one row per distinct code in its family, so a count is a distinct count
-    aggs += [F.count(F.when(F.col("_k") == j, F.lit(1))).alias(name)
-             for j, name in enumerate(distinct, start=1)]
-    base = compact.groupBy(*keys).agg(*aggs).withColumn(
-        mean_name, F.col("_sum") / F.col("_nn"))
-
-    values = compact.where(has_v).select(*keys, F.col("_xv").alias("_v"), "_c")
-    dev = null_safe_join(values, base.select(*keys, F.col(mean_name).alias("_mean")), keys) \
-        .groupBy(*keys).agg(F.sum(F.col("_c") * (F.col("_v") - F.col("_mean"))
-                                  * (F.col("_v") - F.col("_mean"))).alias("_ss"))
-    out = null_safe_join(base, dev, keys, "left").withColumn(
-        stddev_name, F.when(F.col("_nn") > 1,
-                            F.sqrt(F.col("_ss") / (F.col("_nn") - F.lit(1)).cast("double"))))
+    k = F.col("_k")
+    base = compact.where(k == -1).select(
+        *keys, F.col("_c").alias(count_name), F.col("_rn").alias("_nn"),
+        (F.col("_rs") / F.col("_rn")).alias(mean_name),
+        F.col("_rmin").alias(min_name), F.col("_rmax").alias(max_name),
+        F.col("_rsd").alias(stddev_name))
+    out = base
+    values = compact.where((k == 0) & F.col("_xv").isNotNull()).select(
+        *keys, F.col("_xv").alias("_v"), "_c")
+    if distinct:
+        dc = compact.where(k > 0).groupBy(*keys).agg(*[
+            F.count(F.when(k == j, F.lit(1))).alias(name)
+            for j, name in enumerate(distinct, start=1)])
+        out = null_safe_join(out, dc, keys, "left")
+        for name in distinct:
+            out = out.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
     if quantiles:
-        stats = base.select(*keys, F.col("_nn").alias("_n"), "_d")
-        out = null_safe_join(out, quantiles_from_counts(values, keys, quantiles, stats=stats),
-                             keys, "left")
-    return out.drop("_nn", "_d", "_sum", "_ss")
+        out = null_safe_join(out, quantiles_from_counts(values, keys, quantiles), keys, "left")
+    return out.drop("_nn")
