@@ -358,3 +358,52 @@ def _stream_incremental_load(i: Inputs) -> DataFrame:
 oracle.register_final("stream_incremental_load", """
 select _month_partition as month, count(*) as rows_in_month from fx_prices group by 1""",
                       ["fx_prices"])
+
+
+# ---- the full run ----------------------------------------------------------------------------
+def _landing_sources(i: Inputs, wh: Warehouse, as_of: date) -> dict[str, Source]:
+    """Landing files written from the fixtures: static tables and monthly price folders."""
+    from costindex.sources.registry import static_parquet
+    out = {}
+    for name, fx_name in STATIC_FIXTURES.items():
+        path = wh.path("landing", f"{name}.parquet")
+        i.fx(fx_name).write.parquet(path)
+        out[name] = static_parquet(i.spark, name, path)
+    out["pricecatcher_prices"] = _prices_source(i, as_of)
+    return out
+
+
+@query("pipeline_full_run")
+def _pipeline_full_run(i: Inputs) -> DataFrame:
+    """Two full runs (state restored between them): changes per run and the data tests.
+
+    The first run inserts every fuel level, GDP value and income version; the
+    second run, a day later on the same sources, finds nothing to change.
+    """
+    from costindex.plans.pipeline import PipelineConfig, run_pipeline
+    from costindex.sources import fixtures as fxm
+    first_wh = Warehouse(i.spark)
+    sources = _landing_sources(i, first_wh, SECOND_AS_OF)
+    cfg = PipelineConfig(services=fxm.SERVICES, food_categories=fxm.FIXTURE_FOOD_CATEGORIES,
+                         state_dir=first_wh.path("state", "committed"))
+    r1 = run_pipeline(first_wh, sources, AT, cfg)
+    second_wh = Warehouse(i.spark)  # a new machine: only the state folder carries over
+    r2 = run_pipeline(second_wh, sources, AT + timedelta(days=1), cfg)
+    runs = []
+    for n, r in ((1, r1), (2, r2)):
+        ch = r["changes"].groupBy("source_name", "change_type").agg(
+            F.count(F.lit(1)).alias("n"))
+        runs.append(ch.select(F.lit(n).alias("run"), F.concat_ws(":", "source_name",
+                                                                   "change_type").alias("item"), "n"))
+        runs.append(r["tests"].select(F.lit(n).alias("run"), F.col("test_name").alias("item"),
+                                      F.col("failures").alias("n")))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).unionByName(runs[3])
+
+
+oracle.register_final("pipeline_full_run", """
+select 1 as run, 'fuel_prices:INSERT' as item, (select count(*) from rs_melt_levels) as n
+union all select 1, 'gdp_quarterly:INSERT', (select count(*) from fx_gdp where value is not null)
+union all select 1, 'household_income:' || change_type, count(*) from inc_fold group by change_type
+union all select r, t, 0 from (values (1), (2)) a(r),
+  (values ('fuel_change_direction'), ('prices_positive'), ('pulse_score_range')) b(t)""",
+                      ["rs_melt_levels", "fx_gdp", "inc_fold"])

@@ -8,9 +8,9 @@ pending month files and one partition-replacing write.
 
 from __future__ import annotations
 
+import re
 import sys
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,21 @@ def load_static(book: RunBook, source: Source, at: datetime, layer: str = "raw")
         return "failed"
 
 
+def month_of_file(source: Source, months: list[str]):
+    """The month a row came from, read off its file path (one scan for all months).
+
+    The path segment of the month template that holds ``{month}`` becomes a
+    pattern; a template whose month is not in a path segment falls back to
+    one tagged scan per month.
+    """
+    probe = source.path_for_month("\x00")
+    seg = next((part for part in probe.split("/") if "\x00" in part), None)
+    if seg is None:
+        raise ValueError("month template must put the month in the path")
+    pattern = re.escape(seg).replace(re.escape("\x00"), r"(\d{4}-\d{2})")
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+
+
 def pending_months(source: Source, watermark_month: str | None) -> list[str]:
     return [m for m in source.months if watermark_month is None or m > watermark_month]
 
@@ -61,17 +76,17 @@ def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw"
     if not months:
         book.log_run(source.name, at, "skipped", notes=f"No new months after {done}")
         return "skipped"
-    frames: list[DataFrame] = []
-    loaded: list[str] = []
+    paths: dict[str, str] = {}
     for m in months:
         path = source.path_for_month(m)
         if not book.wh.exists(path):
             print(f"[{source.name}] {m}: missing {path} -- skipping", file=sys.stderr)
             continue
-        frames.append(book.spark.read.parquet(path).withColumn(PARTITION_COL, F.lit(m)))
-        loaded.append(m)
-    if frames:
-        batch = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        paths[m] = path
+    loaded = list(paths)
+    if paths:
+        batch = book.spark.read.parquet(*paths.values())
+        batch = batch.withColumn(PARTITION_COL, month_of_file(source, list(paths)))
         book.wh.replace_partitions(layer, source.name, batch, PARTITION_COL)
     last = max(loaded) if loaded else done
     if not last:
