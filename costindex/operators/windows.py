@@ -47,3 +47,29 @@ def minmax_scale(df: DataFrame, columns: dict[str, tuple[str, bool]]) -> DataFra
         scaled = F.when(rng != 0, (F.col(src) - lo) / rng)
         out = out.withColumn(name, (F.lit(1) - scaled) if inverse else scaled)
     return out.drop(*[c for c in out.columns if c.startswith("__min_") or c.startswith("__max_")])
+
+
+def with_previous_bucketed(df: DataFrame, partition_by: Sequence[str], order_by: str,
+                           value: str, out: str, bucket) -> DataFrame:
+    """``lag(value)`` by ``order_by`` within ``partition_by``, spread over ordered buckets.
+
+    ``bucket`` must not decrease as ``order_by`` grows within a partition (for
+    example the month of a date).  The window runs per (partition, bucket),
+    so a partition key holding a large share of the rows is spread over many
+    tasks; the first row of each bucket takes the last value of the previous
+    non-empty bucket, found in a per-bucket table (one row per bucket) that is
+    broadcast back when its checked size allows.
+    """
+    from costindex.operators.joins import broadcast_if_small
+    from costindex.operators.keys import null_safe_join
+
+    keys = list(partition_by)
+    b = df.withColumn("_bkt", bucket)
+    w = Window.partitionBy(*keys, "_bkt").orderBy(order_by)
+    b = b.withColumn(out, F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    tails = b.groupBy(*keys, "_bkt").agg(F.max_by(value, order_by).alias("_tail"))
+    tails = tails.withColumn("_prev_tail", F.lag("_tail").over(
+        Window.partitionBy(*keys).orderBy("_bkt"))).drop("_tail")
+    b = null_safe_join(b, broadcast_if_small(tails), keys + ["_bkt"], "left")
+    return b.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_tail"))
+                        .otherwise(F.col(out))).drop("_bkt", "_rn", "_prev_tail")

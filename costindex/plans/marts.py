@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from costindex.functions import round_half_away
 from costindex.operators.aggregates import group_profile
 from costindex.operators.joins import keyed_outer_chain
-from costindex.operators.windows import minmax_scale, pct_change, with_previous
+from costindex.operators.windows import (minmax_scale, pct_change, with_previous,
+                                        with_previous_bucketed)
 from costindex.plans import signals
 
 PRICE_SUMMARY_KEYS = ["month", "state", "item_category"]
@@ -47,7 +48,9 @@ def price_summary_ordered(stg_prices: DataFrame) -> DataFrame:
 
 def fuel_timeline(stg_fuel: DataFrame) -> DataFrame:
     """Each fuel price with the previous one, the change, its direction and percent."""
-    f = with_previous(stg_fuel, ["fuel_type"], "fuel_date", "price", "prev_price")
+    # bucketed by month: a fuel type with a very long history is not ranked in one task
+    f = with_previous_bucketed(stg_fuel, ["fuel_type"], "fuel_date", "price", "prev_price",
+                               F.col("month"))
     price, prev = F.col("price"), F.col("prev_price")
     return f.select(
         "fuel_date", "month", "year", "fuel_type", "price", "prev_price",

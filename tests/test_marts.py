@@ -55,3 +55,16 @@ def test_data_tests_fire_on_corrupted_input(spark):
     assert quality.nulls_in(t, ["d"]).count() == 1
     s = quality.summary("x", t, quality.positive(t, "v")).first()
     assert (s.rows_checked, s.failures) == (3, 1)
+
+
+def test_bucketed_lag_equals_plain_lag(spark):
+    import random
+    from pyspark.sql import Window
+    from costindex.operators.windows import with_previous_bucketed
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["A", "B", None]), d, float(rnd.randint(1, 50))) for d in rnd.sample(range(5000), 600)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
+    bucketed = with_previous_bucketed(df, ["k"], "t", "v", "p", F.floor(F.col("t") / 97))
+    assert plain.exceptAll(bucketed.select(*plain.columns)).count() == 0
+    assert bucketed.count() == 600
