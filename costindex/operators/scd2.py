@@ -59,7 +59,7 @@ def empty_dim(spark) -> DataFrame:
 
 
 def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: float = 1.0,
-               geography_type: str = "state") -> tuple[DataFrame, DataFrame]:
+               geography_type: str = "state", keep=None) -> tuple[DataFrame, DataFrame]:
     """Apply one survey batch to the dimension; returns (new dimension, change rows).
 
     Per geography, in survey-year order: the first row ever is inserted; a
@@ -68,6 +68,8 @@ def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: f
     median counts as 0) expires the current version and becomes current.
     A current version with a null median is never replaced.
     Change rows: geography, old_value, new_value, change_type, _seq.
+    ``keep(name, df)`` may store the fold's output once, so the new versions
+    and the change rows are both read from it instead of folding twice.
     """
     rows = survey_rows(survey)
     cur = dim.where(F.col("is_current")).select(
@@ -78,6 +80,8 @@ def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: f
     ev = deadband_fold(seeded, ["geography"], ["survey_year"], "income_median", tolerance,
                        carry=["income_mean", "_iver"], null_state_blocks=True,
                        null_value_as_zero=True, init_present="_ip", init_value="_iv")
+    if keep is not None:
+        ev = keep("income_fold", ev)
     ev = ev.withColumn("_base", F.coalesce(F.col("_iver"), F.lit(0)))
     last = ev.groupBy("geography").agg(F.max("_seq").alias("_last"))
     ev = ev.join(broadcast_if_small(last), "geography")

@@ -85,7 +85,8 @@ def capture_gdp(raw_gdp: DataFrame, history: DataFrame, run_ts: Column,
 
 def capture_income(raw_income: DataFrame, dim: DataFrame, run_date: Column,
                    keep: Keep = _lazy) -> Capture:
-    table, changes = scd2_apply(raw_income, dim, run_date, INCOME_TOLERANCE)
+    table, changes = scd2_apply(raw_income, dim, run_date, INCOME_TOLERANCE,
+                                keep=None if keep is _lazy else keep)
     changes = keep("income_changes", changes)
     table = keep("dim_household_income", table)
     events = change_events(changes, "household_income", F.col("geography"), "income_median")
