@@ -111,13 +111,14 @@ def run_all(book: RunBook, sources: dict[str, Source], at: datetime,
             only: list[str] | None = None) -> dict[str, str]:
     """Load every source (or the named subset); unknown kinds are skipped."""
     out = {}
-    for name, src in sources.items():
-        if only is not None and name not in only:
-            continue
-        if src.kind == STATIC:
-            out[name] = load_static(book, src, at)
-        elif src.kind == MONTHLY:
-            out[name] = load_monthly(book, src, at)
-        else:
-            print(f"[{name}] unknown source type {src.kind!r} -- skipping", file=sys.stderr)
+    with book.batch():  # bookkeeping rows of the whole run are written once
+        for name, src in sources.items():
+            if only is not None and name not in only:
+                continue
+            if src.kind == STATIC:
+                out[name] = load_static(book, src, at)
+            elif src.kind == MONTHLY:
+                out[name] = load_monthly(book, src, at)
+            else:
+                print(f"[{name}] unknown source type {src.kind!r} -- skipping", file=sys.stderr)
     return out
