@@ -39,6 +39,33 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+# Settings for a large cluster (thousands of cores, ~100 TB of facts).  Scan
+# splits of 512 MB keep the task count manageable; a high initial shuffle
+# partition count lets AQE coalesce down to ~256 MB per reducer and split
+# skewed join partitions; broadcasts stay behind the explicit size checks of
+# operators.joins (the automatic threshold is left at its default).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> SparkSession:
+    """Apply CLUSTER_CONF to a running session (runtime SQL settings only)."""
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     value = spark.conf.get(key, None)
     if value:
