@@ -71,7 +71,7 @@ def merge_history(previous: DataFrame, changes: DataFrame, keys: Sequence[str],
         .alias("_ins"))
     value_type = dict(previous.dtypes)[value]
     upd = latest.where(F.col("_ins") == 0).select(*keys, "_nv", F.lit(True).alias("_hit"))
-    kept = previous.join(broadcast_if_small(upd), keys, "left").select(
+    kept = previous.join(broadcast_if_small(upd, verify_rows=True), keys, "left").select(
         *keys,
         F.when(F.col("_hit"), F.col("_nv").cast(value_type)).otherwise(F.col(value)).alias(value),
         F.when(F.col("_hit"), stamp).otherwise(F.col(stamp_col)).alias(stamp_col))

@@ -100,7 +100,7 @@ def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str
     ranked = vcb.withColumn("_cum", F.sum("_c").over(
         Window.partitionBy(*part).orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ranked = null_safe_join(ranked, broadcast_if_small(bt), part)
+    ranked = null_safe_join(ranked, broadcast_if_small(bt, verify_rows=True), part)
     hi_rank = F.col("_off") + F.col("_cum")
     lo_rank = hi_rank - F.col("_c")
 

@@ -75,7 +75,7 @@ def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: f
     cur = dim.where(F.col("is_current")).select(
         "geography", F.lit(True).alias("_ip"), F.col("income_median").alias("_iv"),
         F.col("survey_year").alias("_iy"), F.col("version").alias("_iver"))
-    seeded = rows.join(broadcast_if_small(cur), "geography", "left").where(
+    seeded = rows.join(broadcast_if_small(cur, verify_rows=True), "geography", "left").where(
         F.col("_iy").isNull() | (F.col("survey_year") >= F.col("_iy")))
     ev = deadband_fold(seeded, ["geography"], ["survey_year"], "income_median", tolerance,
                        carry=["income_mean", "_iver"], null_state_blocks=True,
