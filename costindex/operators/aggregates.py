@@ -60,13 +60,17 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     distinct = dict(distinct or {})
     val = F.col(value).cast("double")
-    none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+    # codes travel as long when every code column is integral (cheaper to hash than text)
+    types = dict(df.dtypes)
+    integral = ("tinyint", "smallint", "int", "bigint")
+    code_type = "bigint" if all(types[c] in integral for c in distinct.values()) else "string"
+    none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast(code_type)
     # family -1: raw rows (moments in scan order); 0: values; j: codes of distinct column j
     fams = [F.struct(F.lit(-1).alias("k"), none_d.alias("xv"), none_s.alias("xs"), val.alias("xr")),
             F.struct(F.lit(0).alias("k"), val.alias("xv"), none_s.alias("xs"), none_d.alias("xr"))]
     for j, col in enumerate(distinct.values(), start=1):
         fams.append(F.struct(F.lit(j).alias("k"), none_d.alias("xv"),
-                             F.col(col).cast("string").alias("xs"), none_d.alias("xr")))
+                             F.col(col).cast(code_type).alias("xs"), none_d.alias("xr")))
     exp = df.select(*keys, F.explode(F.array(*fams)).alias("_f")).select(
         *keys, F.col("_f.k").alias("_k"), F.col("_f.xv").alias("_xv"),
         F.col("_f.xs").alias("_xs"), F.col("_f.xr").alias("_xr"))
