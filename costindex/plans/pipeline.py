@@ -80,15 +80,19 @@ def build_marts(wh: Warehouse, cfg: PipelineConfig) -> dict[str, DataFrame]:
     stg_prices = staging.stg_prices(wh.read_partitioned("raw", "pricecatcher_prices"),
                                     wh.read("raw", "pricecatcher_items"),
                                     wh.read("raw", "pricecatcher_premises"))
+    # marts are clustered inside each file by their read order (no shuffle), so
+    # row-group statistics let month / fuel filters skip data
     price_summary = wh.write_snapshot("marts", "mart_price_summary",
-                                      marts.price_summary(stg_prices))
+                                      marts.price_summary(stg_prices),
+                                      sort_within=["month", "state", "item_category"])
     fuel = wh.write_snapshot("marts", "mart_fuel_timeline", marts.fuel_timeline(
-        staging.stg_fuel(wh.read("warehouse", "fuel_price_history"))))
+        staging.stg_fuel(wh.read("warehouse", "fuel_price_history"))),
+        sort_within=["fuel_type", "fuel_date"])
     score = wh.write_snapshot("marts", "mart_economic_pulse", marts.economic_pulse(
         price_summary, fuel, staging.stg_cpi(wh.read("raw", "cpi_state")),
         staging.stg_transport(wh.read("raw", "transport_ridership"), cfg.services),
         staging.stg_vehicles(wh.read("raw", "vehicle_registrations")),
-        cfg.food_categories, cfg.weights))
+        cfg.food_categories, cfg.weights), sort_within=["month"])
     return {"stg_prices": stg_prices, "mart_price_summary": price_summary,
             "mart_fuel_timeline": fuel, "mart_economic_pulse": score}
 
