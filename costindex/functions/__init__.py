@@ -7,6 +7,7 @@ from costindex.functions.expressions import (  # noqa: F401
     is_in_ci,
     label_lookup,
     month_text,
+    ntz,
     py_str_double,
     round_half_away,
     safe_ratio,

@@ -142,3 +142,8 @@ def interpolate(lo: ColumnLike, hi: ColumnLike, frac: ColumnLike) -> Column:
     lo, hi, frac = _col(lo), _col(hi), _col(frac).cast("double")
     return F.when((frac == 0) | (lo == hi), lo).otherwise(
         fused_multiply_add(lo, F.lit(1.0) - frac, hi * frac))
+
+
+def ntz(moment) -> Column:
+    """A zone-free timestamp literal (independent of the session time zone)."""
+    return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -12,6 +12,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costindex.functions import ntz
+
 from costindex.plans import oracle
 from costindex.plans.queries import (RUN_DATE, RUN_TS, Inputs, capture, query)
 from costindex.sources import loader, state
@@ -125,7 +127,7 @@ def _src_daily_guard(i: Inputs) -> DataFrame:
     loader.run_all(book, sources, later)
     nextday = AT + timedelta(days=1)
     loader.run_all(book, sources, nextday)
-    return book.runs().where(F.col("run_at") > F.lit(AT)).select(
+    return book.runs().where(F.col("run_at") > ntz(AT)).select(
         "source_name", F.date_format("run_at", "yyyy-MM-dd HH:mm").alias("run_at"), "status",
         "rows_loaded", "notes")
 
@@ -238,13 +240,13 @@ def _cdc_run(i: Inputs) -> RunBook:
     book = _fresh(i)
     wh = book.wh
     keep = lambda name, df: wh.write_snapshot("warehouse", name, df)
-    fuel = capture.capture_fuel(i.fx("fx_fuel_wide"), i.fuel_prev, F.lit(AT).cast("timestamp_ntz"),
+    fuel = capture.capture_fuel(i.fx("fx_fuel_wide"), i.fuel_prev, ntz(AT),
                                 keep)
-    gdp = capture.capture_gdp(i.fx("fx_gdp"), i.gdp_prev, F.lit(AT).cast("timestamp_ntz"), keep)
+    gdp = capture.capture_gdp(i.fx("fx_gdp"), i.gdp_prev, ntz(AT), keep)
     inc = capture.capture_income(i.fx("fx_income"), _empty_dim(i), F.lit(RUN_DATE).cast("date"),
                                  keep)
     events = fuel.events.unionByName(gdp.events).unionByName(inc.events)
-    book.append_changes(capture.with_detected_at(events, F.lit(AT).cast("timestamp_ntz")))
+    book.append_changes(capture.with_detected_at(events, ntz(AT)))
     book.log_run("cdc", AT, "success", notes="change capture")
     return book
 

@@ -12,6 +12,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from costindex.functions import ntz
 from pyspark.sql import types as T
 
 from costindex.operators import quality
@@ -53,7 +55,7 @@ def _table_or_empty(wh: Warehouse, layer: str, name: str, schema: T.StructType)
 def run_cdc(book: RunBook, at: datetime) -> DataFrame:
     """Compare the raw tables with the stored histories; write histories and the change log."""
     wh = book.wh
-    stamp = F.lit(at).cast("timestamp_ntz")
+    stamp = ntz(at)
     keep = lambda name, df: wh.write_snapshot("warehouse", name, df)
     events = []
     if wh.has_table("raw", "fuel_prices"):
