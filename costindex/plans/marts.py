@@ -131,7 +131,7 @@ def pulse_score(normalised: DataFrame, weights: Mapping[str, float] = DEFAULT_WE
     )
 
 
-def economic_pulse(price_summary_df: DataFrame, fuel_timeline_df: DataFrame,
+def pressure_score(price_summary_df: DataFrame, fuel_timeline_df: DataFrame,
                    stg_cpi_df: DataFrame, stg_transport_df: DataFrame,
                    stg_vehicles_df: DataFrame,
                    food_categories: Sequence[str] = signals.FOOD_CATEGORIES,

@@ -90,18 +90,18 @@ def build_marts(wh: Warehouse, cfg: PipelineConfig) -> dict[str, DataFrame]:
     fuel = wh.write_snapshot("marts", "mart_fuel_timeline", marts.fuel_timeline(
         staging.stg_fuel(wh.read("warehouse", "fuel_price_history"))),
         sort_within=["fuel_type", "fuel_date"])
-    score = wh.write_snapshot("marts", "mart_economic_pulse", marts.economic_pulse(
+    score = wh.write_snapshot("marts", "mart_pressure_score", marts.pressure_score(
         price_summary, fuel, staging.stg_cpi(wh.read("raw", "cpi_state")),
         staging.stg_transport(wh.read("raw", "transport_ridership"), cfg.services),
         staging.stg_vehicles(wh.read("raw", "vehicle_registrations")),
         cfg.food_categories, cfg.weights), sort_within=["month"])
     return {"stg_prices": stg_prices, "mart_price_summary": price_summary,
-            "mart_fuel_timeline": fuel, "mart_economic_pulse": score}
+            "mart_fuel_timeline": fuel, "mart_pressure_score": score}
 
 
 def run_tests(built: Mapping[str, DataFrame]) -> DataFrame:
     fuel, prices, score = (built["mart_fuel_timeline"], built["stg_prices"],
-                           built["mart_economic_pulse"])
+                           built["mart_pressure_score"])
     return (quality.summary("fuel_change_direction", fuel, quality.accepted_values(
                 fuel, "change_direction", ["UP", "DOWN", "UNCHANGED", "FIRST"]))
             .unionByName(quality.summary("prices_positive", prices,

@@ -20,7 +20,7 @@ def test_cli_runs_the_whole_pipeline(spark, capsys):
     main(["--landing", landing, "--warehouse", target.root, "--state", target.path("state", "s"),
           "--as-of", "2001-12-15"], spark=spark)
     assert "all passed" in capsys.readouterr().out
-    score = target.read("marts", "mart_economic_pulse")
+    score = target.read("marts", "mart_pressure_score")
     assert score.count() > 0
     loaded = target.read_partitioned("raw", "pricecatcher_prices")
     assert loaded.select("_month_partition").distinct().count() == 3
