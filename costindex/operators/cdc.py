@@ -22,13 +22,15 @@ EVENT_COLUMNS = ["source_name", "entity_key", "field_name", "old_value", "new_va
 
 
 def keyed_changes(batch: DataFrame, previous: DataFrame, keys: Sequence[str], value: str,
-                  tolerance: float, order_by: Sequence[str] = ()) -> DataFrame:
+                  tolerance: float, order_by: Sequence[str] = (),
+                  emit_deletes: bool = False) -> DataFrame:
     """INSERT / UPDATE events of ``batch`` against ``previous`` (both keyed by ``keys``).
 
     A key absent from ``previous`` is an INSERT; a key whose value moved by
     more than ``tolerance`` is an UPDATE (a null previous value followed by a
-    value is an UPDATE too).  Output: keys, old_value, new_value,
-    change_type, _seq.
+    value is an UPDATE too).  With ``emit_deletes`` a key of ``previous``
+    that is missing from the batch is a DELETE (the batch is then a full
+    snapshot).  Output: keys, old_value, new_value, change_type, _seq.
     """
     keys = list(keys)
     prev = previous.select(*keys, F.col(value).cast("double").alias("_iv"),
@@ -52,7 +54,13 @@ def keyed_changes(batch: DataFrame, previous: DataFrame, keys: Sequence[str], va
     folded = deadband_fold(repeated, keys, list(order_by), "_val", tolerance,
                            init_present="_ip", init_value="_iv")
     folded = folded.select(*keys, "old_value", "new_value", "change_type", "_seq")
-    return single.unionByName(folded)
+    out = single.unionByName(folded)
+    if emit_deletes:
+        gone = prev.join(counts.select(*keys), keys, "left_anti").select(
+            *keys, F.col("_iv").alias("old_value"), F.lit(None).cast("double").alias("new_value"),
+            F.lit("DELETE").alias("change_type"), F.lit(1).alias("_seq"))
+        out = out.unionByName(gone)
+    return out
 
 
 def merge_history(previous: DataFrame, changes: DataFrame, keys: Sequence[str], value: str,
@@ -65,6 +73,8 @@ def merge_history(previous: DataFrame, changes: DataFrame, keys: Sequence[str],
     its checked size allows a broadcast.
     """
     keys = list(keys)
+    deleted = changes.where(F.col("change_type") == "DELETE").select(*keys).distinct()
+    changes = changes.where(F.col("change_type") != "DELETE")
     latest = changes.groupBy(*keys).agg(
         F.max_by("new_value", "_seq").alias("_nv"),
         F.max(F.when(F.col("change_type") == "INSERT", F.lit(1)).otherwise(F.lit(0)))
@@ -77,6 +87,7 @@ def merge_history(previous: DataFrame, changes: DataFrame, keys: Sequence[str],
         F.when(F.col("_hit"), stamp).otherwise(F.col(stamp_col)).alias(stamp_col))
     ins = latest.where(F.col("_ins") == 1).select(
         *keys, F.col("_nv").cast(value_type).alias(value), stamp.alias(stamp_col))
+    kept = kept.join(broadcast_if_small(deleted, verify_rows=True), keys, "left_anti")
     return kept.unionByName(ins)
 
 

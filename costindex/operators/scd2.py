@@ -59,14 +59,16 @@ def empty_dim(spark) -> DataFrame:
 
 
 def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: float = 1.0,
-               geography_type: str = "state", keep=None) -> tuple[DataFrame, DataFrame]:
+               geography_type: str = "state", keep=None,
+               heal_nulls: bool = False) -> tuple[DataFrame, DataFrame]:
     """Apply one survey batch to the dimension; returns (new dimension, change rows).
 
     Per geography, in survey-year order: the first row ever is inserted; a
     row older than the current version is ignored; a row whose median
     differs from the current median by more than ``tolerance`` (a null new
     median counts as 0) expires the current version and becomes current.
-    A current version with a null median is never replaced.
+    A current version with a null median is never replaced, unless
+    ``heal_nulls`` (then the next non-null median replaces it).
     Change rows: geography, old_value, new_value, change_type, _seq.
     ``keep(name, df)`` may store the fold's output once, so the new versions
     and the change rows are both read from it instead of folding twice.
@@ -78,7 +80,7 @@ def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: f
     seeded = rows.join(broadcast_if_small(cur, verify_rows=True), "geography", "left").where(
         F.col("_iy").isNull() | (F.col("survey_year") >= F.col("_iy")))
     ev = deadband_fold(seeded, ["geography"], ["survey_year"], "income_median", tolerance,
-                       carry=["income_mean", "_iver"], null_state_blocks=True,
+                       carry=["income_mean", "_iver"], null_state_blocks=not heal_nulls,
                        null_value_as_zero=True, init_present="_ip", init_value="_iv")
     if keep is not None:
         ev = keep("income_fold", ev)

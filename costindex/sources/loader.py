@@ -63,16 +63,31 @@ def pending_months(source: Source, watermark_month: str | None) -> list[str]:
     return [m for m in source.months if watermark_month is None or m > watermark_month]
 
 
-def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw") -> str:
+def loaded_months(book: RunBook, source: Source, layer: str = "raw") -> set[str]:
+    """Months present in the raw table (partition folder names: metadata only)."""
+    base = book.wh.path(layer, source.name)
+    prefix = f"{PARTITION_COL}="
+    return {c[len(prefix):] for c in book.wh._children(base) if c.startswith(prefix)}
+
+
+def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw",
+                 retry_gaps: bool = False) -> str:
     """Load the window's months newer than the watermark; a missing month is skipped.
 
     All pending month files are read in one job (each tagged with its month)
     and written with dynamic partition overwrite, so re-loading a month
-    replaces it and leaves every other month untouched.
+    replaces it and leaves every other month untouched.  By default a month
+    is pending when it is newer than the watermark (a month that failed
+    before a later one loaded is not retried); ``retry_gaps`` instead loads
+    every window month that the raw table does not hold yet.
     """
     wm = book.watermark(source.name)
     done = wm.last_max_date if wm is not None else None
-    months = pending_months(source, done)
+    if retry_gaps:
+        have = loaded_months(book, source, layer)
+        months = [m for m in source.months if m not in have]
+    else:
+        months = pending_months(source, done)
     if not months:
         book.log_run(source.name, at, "skipped", notes=f"No new months after {done}")
         return "skipped"
@@ -88,7 +103,7 @@ def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw"
         batch = book.spark.read.parquet(*paths.values())
         batch = batch.withColumn(PARTITION_COL, month_of_file(source, list(paths)))
         book.wh.replace_partitions(layer, source.name, batch, PARTITION_COL)
-    last = max(loaded) if loaded else done
+    last = max([m for m in loaded + [done] if m]) if (loaded or done) else None
     if not last:
         return "failed"
     table = book.wh.read_partitioned(layer, source.name)

@@ -81,3 +81,21 @@ def test_scd2_older_survey_ignored_and_one_current(spark):
     cur = {r.geography: (r.income_median, r.version) for r in second.where("is_current").collect()}
     assert cur == {"A": (200.0, 2), "B": (50.0, 1)}
     assert {r.geography: r.survey_year for r in as_of(second, 2011).collect()} == {"A": 2010, "B": 2010}
+
+
+def test_deletes_are_optional_and_leave_the_history(spark):
+    batch = spark.createDataFrame([("a", 1.0)], "key string, v double")
+    prev = spark.createDataFrame([("a", 1.0, None), ("b", 2.0, None)], "key string, v double, t timestamp_ntz")
+    assert keyed_changes(batch, prev.drop("t"), ["key"], "v", 0.001).count() == 0
+    ev = keyed_changes(batch, prev.drop("t"), ["key"], "v", 0.001, emit_deletes=True)
+    assert [(r.key, r.change_type, r.old_value) for r in ev.collect()] == [("b", "DELETE", 2.0)]
+    hist = merge_history(prev, ev, ["key"], "v", "t", F.lit(None).cast("timestamp_ntz"))
+    assert [r.key for r in hist.collect()] == ["a"]
+
+
+def test_heal_nulls_option(spark):
+    s = _survey(spark, [("S", 2000, None, None), ("S", 2001, 400.0, None)])
+    _, strict = scd2_apply(s, empty_dim(spark), run_date())
+    _, healed = scd2_apply(s, empty_dim(spark), run_date(), heal_nulls=True)
+    assert strict.count() == 1
+    assert [r.change_type for r in healed.orderBy("_seq").collect()] == ["INSERT", "UPDATE"]

@@ -61,3 +61,17 @@ def test_state_roundtrip_and_guard(spark):
     assert res["meta.pipeline_runs"] == ("kept_local", 1)
     assert res["warehouse.gdp_quarterly"] == ("restored", 1)
     assert res["meta.change_log"][0] == "no_state_file"
+
+
+def test_retry_gaps_loads_a_month_that_failed_before(spark):
+    wh = Warehouse(spark)
+    tpl = _landing(spark, wh)
+    book = RunBook(wh)
+    real = monthly_parquet("p", tpl, ["1996-01", "1996-02", "1996-03"])
+    broken = monthly_parquet("p", tpl, ["1996-01", "1996-03"])  # 1996-02 failed this run
+    loader.load_monthly(book, broken, datetime(2026, 1, 1))
+    assert loader.load_monthly(book, real, datetime(2026, 1, 2)) == "skipped"  # parity: gap kept
+    assert loader.load_monthly(book, real, datetime(2026, 1, 3), retry_gaps=True) == "success"
+    months = {r[0] for r in wh.read_partitioned("raw", "p").select("_month_partition").distinct().collect()}
+    assert months == {"1996-01", "1996-02", "1996-03"}
+    assert book.watermark("p").last_max_date == "1996-03"
