@@ -51,8 +51,9 @@ def _static_sources(i: Inputs) -> dict[str, Source]:
 def _landing(i: Inputs) -> str:
     """Monthly price files, written once per session from the fixture (the publisher's files)."""
     path = i.wh.path("landing", "pricecatcher_prices")
-    if not i.wh.exists(f"{path}/_SUCCESS"):
-        i.fx("fx_prices").write.mode("overwrite").partitionBy("_month_partition").parquet(path)
+    with i.wh.lock:
+        if not i.wh.exists(f"{path}/_SUCCESS"):
+            i.fx("fx_prices").write.mode("overwrite").partitionBy("_month_partition").parquet(path)
     return path
 
 

@@ -43,11 +43,16 @@ class Inputs:
         return warehouse_for(self.spark, self.sf_dir)
 
     def keep(self, layer: str):
-        """Materialize a table once per session and sf_dir (marts and histories are tables)."""
+        """Materialize a table once per session and sf_dir (marts and histories are tables).
+
+        Serialized per warehouse, so queries run from several threads never
+        write the same table version twice.
+        """
         def _keep(name: str, df: DataFrame) -> DataFrame:
-            if self.wh.has_table(layer, name):
-                return self.wh.read(layer, name)
-            return self.wh.write_snapshot(layer, name, df)
+            with self.wh.lock:
+                if self.wh.has_table(layer, name):
+                    return self.wh.read(layer, name)
+                return self.wh.write_snapshot(layer, name, df)
         return _keep
 
     def fx(self, name: str) -> DataFrame:

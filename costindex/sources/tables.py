@@ -13,6 +13,8 @@ object store.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from costindex.session import shared_root
@@ -27,6 +29,7 @@ class Warehouse:
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.lock = threading.RLock()
 
     # ---- file system ------------------------------------------------------------
     def _fs(self, path: str):
@@ -101,11 +104,13 @@ class Warehouse:
 
 
 _CACHE: dict[tuple[int, str], Warehouse] = {}
+_CACHE_LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, key: str) -> Warehouse:
     """One warehouse per session and key (e.g. the sf_dir of a query run)."""
     k = (id(spark), key)
-    if k not in _CACHE:
-        _CACHE[k] = Warehouse(spark)
-    return _CACHE[k]
+    with _CACHE_LOCK:
+        if k not in _CACHE:
+            _CACHE[k] = Warehouse(spark)
+        return _CACHE[k]
