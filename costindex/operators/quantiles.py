@@ -78,7 +78,9 @@ def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str
     keys = list(keys)
     if stats is None:
         stats = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
-    widest = stats.agg(F.max("_d")).first()[0] or 0
+    # a total below the bound proves no group is wide (one cheap count, no shuffle)
+    total = vc.count()
+    widest = total if total <= max_values_per_task else (stats.agg(F.max("_d")).first()[0] or 0)
     if widest > max_values_per_task:
         bounds = _bucket_bounds(vc, stats, keys, max_values_per_task, sample_modulus)
         vcb = null_safe_join(vc, broadcast_if_small(bounds), keys, "left").withColumn(
