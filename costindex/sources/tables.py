@@ -69,8 +69,10 @@ class Warehouse:
     def write_snapshot(self, layer: str, name: str, df: DataFrame,
                        sort_within: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back."""
-        versions = self._versions(layer, name)
-        nxt = (versions[-1] + 1) if versions else 1
+        # skip past every version folder, also one left uncommitted by a failed write
+        base = self.path(layer, name)
+        seen = [int(c[2:]) for c in self._children(base) if c.startswith("v=") and c[2:].isdigit()]
+        nxt = (max(seen) + 1) if seen else 1
         target = f"{self.path(layer, name)}/v={nxt:06d}"
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
         out.write.mode("errorifexists").parquet(target)

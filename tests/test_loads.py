@@ -75,3 +75,14 @@ def test_retry_gaps_loads_a_month_that_failed_before(spark):
     months = {r[0] for r in wh.read_partitioned("raw", "p").select("_month_partition").distinct().collect()}
     assert months == {"1996-01", "1996-02", "1996-03"}
     assert book.watermark("p").last_max_date == "1996-03"
+
+
+def test_failed_snapshot_write_is_ignored_and_retried(spark):
+    wh = Warehouse(spark)
+    df = spark.createDataFrame([(1,)], "x int")
+    wh.write_snapshot("warehouse", "t", df)
+    # a crashed write: folder without the commit marker
+    spark.createDataFrame([(7,)], "x int").write.parquet(wh.path("warehouse", "t") + "/v=000002/part")
+    assert [r.x for r in wh.read("warehouse", "t").collect()] == [1]
+    wh.write_snapshot("warehouse", "t", spark.createDataFrame([(2,)], "x int"))
+    assert [r.x for r in wh.read("warehouse", "t").collect()] == [2]
