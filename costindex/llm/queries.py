@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from costindex.llm.common import read
-from costindex.llm import simhash
+from costindex.llm import pii, quality_rules, simhash
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; cutoffs certified on the labelled ones, per language."""
+    return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +20,20 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.pii_report(read(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op4_quality_rules,
         op6_simhash_near_dedup,
+        op10_pii,
     )}
 
 
 def sql_all() -> dict[str, str]:
-    return {}
+    return {
+        "op4_quality_rules": quality_rules.verdict_sql_query(),
+    }
