@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -14,6 +13,9 @@ from costindex.session import stage_table
 #: White space that separates words: space and \t \n \v \f \r (fixed by the query contracts).
 ASCII_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
+#: Elements whose running fold is taken directly (see ``running``).
+ARRAY_BLOCK = 64
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -100,5 +102,30 @@ def number_rows(df: DataFrame, weight: str, out: str, key: str) -> DataFrame:
             .join(sums, b).withColumn(out, F.col(out) + F.col(before)).drop(b, before))
 
 
-def crc(data: bytes) -> int:
-    return zlib.crc32(data) & 0xFFFFFFFF
+def running(values: Column, fold: Callable[[Column], Column]) -> list[Callable]:
+    """Two steps that give, for an array column, the fold of the elements up to and including each.
+
+    ``fold`` reduces an array.  Step one makes the folds of whole blocks of
+    ``ARRAY_BLOCK`` elements, step two uses them; each must be a column of its own.
+    """
+    n_blocks = F.ceil(F.size(values) / ARRAY_BLOCK).cast("int")
+    blocks = F.when(F.size(values) > 0, F.transform(
+        F.sequence(F.lit(0), n_blocks - 1), lambda b: fold(F.slice(values, b * ARRAY_BLOCK + 1, F.lit(ARRAY_BLOCK))))).otherwise(F.array().cast("array<bigint>"))
+
+    def before(block_folds: Column) -> Column:
+        return F.transform(block_folds, lambda _, b: fold(F.slice(block_folds, F.lit(1), b)))
+
+    def total(block_before: Column) -> Column:
+        return F.transform(values, lambda _, i: fold(F.concat(
+            F.array(block_before[F.floor(i / ARRAY_BLOCK).cast("int")]),
+            F.slice(values, F.floor(i / ARRAY_BLOCK).cast("int") * ARRAY_BLOCK + 1, i % ARRAY_BLOCK + 1))))
+
+    return [blocks, before, total]
+
+
+def array_sum(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)
+
+
+def array_max(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: F.greatest(x, y))

@@ -28,12 +28,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from costindex.llm.common import free_name
+from costindex.llm.common import array_max, array_sum, free_name, running
 
 THRESHOLD = 0.8
 #: Characters before and after a span in which context words count.
 CONTEXT = 48
-BLOCK = 64
 
 SPANS = "array<struct<kind:string,start:long,end:long,score:double>>"
 
@@ -119,35 +118,6 @@ KINDS = (
 BASE = tuple(k.name for k in KINDS if k.base)
 
 
-def _running(values: Column, fold: Callable[[Column], Column]) -> list[Callable]:
-    """Two steps that give, for an array column, the fold of the elements up to and including each.
-
-    ``fold`` reduces an array.  Step one makes the folds of whole blocks of
-    ``BLOCK`` elements, step two uses them; each must be a column of its own.
-    """
-    n_blocks = F.ceil(F.size(values) / BLOCK).cast("int")
-    blocks = F.when(F.size(values) > 0, F.transform(
-        F.sequence(F.lit(0), n_blocks - 1), lambda b: fold(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))))).otherwise(F.array().cast("array<bigint>"))
-
-    def before(block_folds: Column) -> Column:
-        return F.transform(block_folds, lambda _, b: fold(F.slice(block_folds, F.lit(1), b)))
-
-    def total(block_before: Column) -> Column:
-        return F.transform(values, lambda _, i: fold(F.concat(
-            F.array(block_before[F.floor(i / BLOCK).cast("int")]),
-            F.slice(values, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK + 1))))
-
-    return [blocks, before, total]
-
-
-def _sum(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)
-
-
-def _max(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: F.greatest(x, y))
-
-
 def with_spans(df: DataFrame, text_col: str = "text", out: str = "spans", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """Add ``out``: the spans of all kinds, by kind as listed, then start."""
     tag = free_name(df, "pii_found")
@@ -189,9 +159,9 @@ def with_spans(df: DataFrame, text_col: str = "text", out: str = "spans", kinds:
     d = step(d, "pieces", lambda k: F.when(F.size(col("found", k)) > 0, F.split(text, k.pattern, -1)).otherwise(none))
     d = step(d, "steps", lambda k: F.transform(
         F.col(col("found", k)), lambda m, i: length(m) + length(F.col(col("pieces", k))[i])))
-    d = step(d, "blocks", lambda k: _running(F.col(col("steps", k)), _sum)[0])
-    d = step(d, "before", lambda k: _running(F.col(col("steps", k)), _sum)[1](F.col(col("blocks", k))))
-    d = step(d, "ends", lambda k: _running(F.col(col("steps", k)), _sum)[2](F.col(col("before", k))))
+    d = step(d, "blocks", lambda k: running(F.col(col("steps", k)), array_sum)[0])
+    d = step(d, "before", lambda k: running(F.col(col("steps", k)), array_sum)[1](F.col(col("blocks", k))))
+    d = step(d, "ends", lambda k: running(F.col(col("steps", k)), array_sum)[2](F.col(col("before", k))))
     d = step(d, "spans", spans)
     d = d.withColumn(out, F.concat(*[F.col(col("spans", k)) for k in named.values()]).cast(SPANS))
     return d.select(*df.columns, out)
@@ -225,7 +195,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     text = F.col(text_col)
     d = with_spans(docs, text_col, s)
     d = d.withColumn(s, F.array_sort(F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))))
-    reach = lambda: _running(F.transform(F.col(s), lambda x: x["end"]), _max)
+    reach = lambda: running(F.transform(F.col(s), lambda x: x["end"]), array_max)
     d = d.withColumn(blocks, reach()[0]).withColumn(before, reach()[1](F.col(blocks))).withColumn(ends, reach()[2](F.col(before)))
 
     def kept(x, i):

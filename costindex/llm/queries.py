@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from costindex.llm.common import read
-from costindex.llm import packing, pii, quality_rules, simhash
+from costindex.llm import chat, packing, pii, quality_rules, simhash, token_counts
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,25 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, each distinct text encoded once."""
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def chat_turns(conversations: DataFrame) -> DataFrame:
+    """All conversations with their text as one part, and conversation -1, whose texts are control strings."""
+    rows = conversations.select("conv_id", "turn", "role", "text")
+    tricky = conversations.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(chat.TRICKY).alias("text"))
+    return rows.unionByName(tricky).withColumn("parts", chat.text_part(F.col("text")))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted and read back."""
+    return chat.chat_digests(chat.format_chat(chat_turns(read(spark, sf_dir, "conversations"))))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     return pii.pii_report(read(spark, sf_dir, "documents"))
@@ -36,6 +55,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_packing,
         op4_quality_rules,
         op6_simhash_near_dedup,
+        op7_token_counts,
+        op9_chat_formatting,
         op10_pii,
     )}
 
@@ -43,4 +64,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def sql_all() -> dict[str, str]:
     return {
         "op4_quality_rules": quality_rules.verdict_sql_query(),
+        "op9_chat_formatting": chat.CHAT_SQL,
     }
