@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from costindex.llm.common import read
-from costindex.llm import chat, packing, pii, quality_rules, simhash, token_counts
+from costindex.llm import bpe, chat, packing, pii, quality_rules, simhash, token_counts
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded by byte-level BPE."""
+    return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 3-word shingles, 3 bits."""
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
@@ -54,6 +59,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op3_packing,
         op4_quality_rules,
+        op5_bpe,
         op6_simhash_near_dedup,
         op7_token_counts,
         op9_chat_formatting,
