@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from costindex.llm.common import read
-from costindex.llm import bpe, chat, packing, pii, quality_rules, simhash, token_counts
+from costindex.llm import bpe, chat, packing, pii, quality_rules, simhash, token_counts, warc
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives in ZIP files and read back by range."""
+    return warc.archive_round_trip(read(spark, sf_dir, "pages"))
+
+
 def chat_turns(conversations: DataFrame) -> DataFrame:
     """All conversations with their text as one part, and conversation -1, whose texts are control strings."""
     rows = conversations.select("conv_id", "turn", "role", "text")
@@ -62,6 +67,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_bpe,
         op6_simhash_near_dedup,
         op7_token_counts,
+        op8_warc,
         op9_chat_formatting,
         op10_pii,
     )}
@@ -70,5 +76,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def sql_all() -> dict[str, str]:
     return {
         "op4_quality_rules": quality_rules.verdict_sql_query(),
+        "op8_warc": warc.ROUND_TRIP_SQL,
         "op9_chat_formatting": chat.CHAT_SQL,
     }
