@@ -8,7 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from costindex.llm.common import read
-from costindex.llm import bpe, chat, packing, pii, quality_rules, simhash, token_counts, warc
+from costindex.llm import bpe, chat, html_extract, packing, pii, quality_rules, simhash, token_counts, warc
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.main_text(read(spark, sf_dir, "pages"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +67,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op2_html_extraction,
         op3_packing,
         op4_quality_rules,
         op5_bpe,
