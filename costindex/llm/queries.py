@@ -8,7 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from costindex.llm.common import read
-from costindex.llm import bpe, chat, html_extract, packing, pii, quality_rules, simhash, token_counts, warc
+from costindex.llm import bpe, chat, embedding_dedup, html_extract, packing, pii, quality_rules, simhash, token_counts, warc
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of a label at a cosine of 0.98 or more."""
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op1_embedding_near_dedup,
         op2_html_extraction,
         op3_packing,
         op4_quality_rules,
