@@ -80,6 +80,29 @@ def unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
+class WordCache(dict):
+    """``compute(word)`` remembered for up to two generations of ``limit`` words.
+
+    When the newer generation is full it becomes the older one; a word found in
+    the older moves on, so frequent words stay.  Long words are not kept.
+    """
+
+    def __init__(self, compute: Callable, limit: int, longest: int = 200):
+        super().__init__()
+        self.compute, self.limit, self.longest, self.older = compute, limit, longest, {}
+
+    def __missing__(self, word):
+        value = self.older.pop(word, None)
+        if value is None:
+            value = self.compute(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value
+
+
 def number_rows(df: DataFrame, weight: str, out: str, key: str) -> DataFrame:
     """Running total of ``weight`` before each row, over the whole table, in no particular but fixed order.
 

@@ -27,11 +27,11 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from costindex.llm.common import text_or_empty
+from costindex.llm.common import WordCache, text_or_empty
 from costindex.session import shared_root
 
 LIMIT = 4096
-CACHE = 500_000
+CACHE = 400_000
 SPACE = "▁"
 COUNTS = "content_digest string, tokenizer_digest string, n_tokens long"
 
@@ -44,23 +44,16 @@ def tokenizer_digest(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes() + options.encode()).hexdigest()
 
 
-class PieceCounts(dict):
-    """Run of spaces (but the first) with the word behind it -> number of pieces."""
+class PieceCounts:
+    """Number of pieces of a text, by runs of spaces (but the first) with the word behind."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = CACHE):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.runs = re.compile(" +[^ ]*")
         self.by_word = not any(SPACE in self.model.id_to_piece(i).lstrip(SPACE) for i in range(self.model.get_piece_size()))
-
-    def __missing__(self, word: str) -> int:
         # a lone space mark is one piece; the model writes no mark before an empty text
-        n = len(self.model.encode(word)) if word else 1
-        if len(word) < 100:
-            if len(self) >= CACHE:
-                self.clear()
-            self[word] = n
-        return n
+        self.words = WordCache(lambda word: len(self.model.encode(word)) if word else 1, limit, 100)
 
     def count(self, text: str) -> int:
         if not text:
@@ -72,7 +65,7 @@ class PieceCounts(dict):
         words = text.split(" ")
         if "" in words:  # runs of spaces, or spaces at an end
             words = [r[1:] for r in self.runs.findall(" " + text)]
-        return sum(map(self.__getitem__, words))
+        return sum(map(self.words.__getitem__, words))
 
 
 class JsonCounts:
