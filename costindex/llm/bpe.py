@@ -39,10 +39,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from costindex.llm.common import append_columns
 
-#: Words kept by a worker.
-CACHE = 700_000
+#: Words kept by a worker in each of two generations.
+CACHE = 350_000
 #: Proposals are made for words up to this many bytes; longer ones are merged exactly.
 LONGEST = 512
+#: Failing words up to this many bytes are merged by scans, longer ones with a heap.
+SHORT = 64
 #: White space of the tokenizers' patterns (Unicode White_Space), fixed.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: How a byte-level tokenizer splits a text into words (fixed pattern).
@@ -89,6 +91,8 @@ class Bpe:
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], order
         self.merge_of = {(int(a), int(b)): (k, int(t)) for k, (a, b, t) in enumerate(zip(left, right, made))}
+        self.rank_of = {int(k): r for r, k in enumerate(keys)}
+        self.made_by = made.tolist()
         ranks = np.arange(len(merges))
         self.ordered = bool((self.rank[left] < ranks).all() and (self.rank[right] < ranks).all()
                             and len(np.unique(made)) == len(made))
@@ -100,8 +104,11 @@ class Bpe:
             for a, b, t, ok in zip(left, right, made, holds):
                 whole[t] = ok and whole[a] and whole[b]
         self.proposed = {self.token_bytes[i]: i for i in np.flatnonzero(whole)}
-        self.longest = max(map(len, self.proposed))
+        self.reach: dict[bytes, int] = {}     # first two bytes -> longest token that starts with them
+        for t in self.proposed:
+            self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     # ---- verification ---------------------------------------------------------------
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -136,18 +143,39 @@ class Bpe:
 
     # ---- encoding -----------------------------------------------------------------
     def propose(self, word: bytes) -> list[int]:
-        out, at, n = [], 0, len(word)
+        """Greedy longest match."""
+        out, at, n, get = [], 0, len(word), self.proposed.get
         while at < n:
-            for end in range(min(n, at + self.longest), at, -1):
-                i = self.proposed.get(word[at:end])
-                if i is not None:
-                    out.append(i)
-                    at = end
-                    break
+            end = min(n, at + self.reach.get(word[at:at + 2], 1))
+            while (i := get(word[at:end])) is None:
+                end -= 1
+            out.append(i)
+            at = end
         return out
 
     def merge(self, word: bytes) -> list[int]:
         """Exact: apply the lowest-ranked merge, leftmost first, until none applies."""
+        return self._merge_short(word) if len(word) <= SHORT else self._merge_long(word)
+
+    def _merge_short(self, word: bytes) -> list[int]:
+        """By scans of the word's pairs: quadratic, but fastest for short words."""
+        ids, size, rank, never = [self.byte_id[b] for b in word], self.size, self.rank_of.get, len(self.made_by)
+        ranks = [rank(a * size + b, never) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == never:
+                break
+            k = ranks.index(least)
+            ids[k:k + 2] = (self.made_by[least],)
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = rank(ids[k] * size + ids[k + 1], never)
+            if k:
+                ranks[k - 1] = rank(ids[k - 1] * size + ids[k], never)
+        return ids
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """With a heap of pairs."""
         ids: list[int] = [self.byte_id[b] for b in word]
         n = len(ids)
         after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
@@ -202,10 +230,13 @@ class Bpe:
         """Ids of each text, a few texts at a time so that only their words are held."""
         for lo in range(0, len(texts), chunk):
             split = [self.pieces(t) for t in texts[lo:lo + chunk]]
-            new = set(chain.from_iterable(split)) - self.cache.keys()
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-                new = set(chain.from_iterable(split))
+            need = set(chain.from_iterable(split))
+            if len(self.cache) + len(need) > CACHE:  # frequent words come back from the older generation
+                self.older, self.cache = self.cache, {}
+            new = need - self.cache.keys()
+            again = new & self.older.keys()
+            self.cache.update((w, self.older.pop(w)) for w in again)
+            new -= again
             for s in new & self.special.keys():
                 self.cache[s] = (self.special[s],)
                 new.discard(s)
