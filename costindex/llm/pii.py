@@ -139,7 +139,11 @@ def with_spans(df: DataFrame, text_col: str = "text", out: str = "spans", kinds:
 
     def spans(k: Kind) -> Column:
         hits, pieces = F.col(col("found", k)), F.col(col("pieces", k))
-        nearby = lambda i: F.lower(F.concat(F.right(pieces[i], F.lit(CONTEXT)), F.lit(" "), F.left(pieces[i + 1], F.lit(CONTEXT))))
+
+        def nearby(i):  # past one earlier match of the kind, as lists of numbers share their heading
+            earlier = F.when(i > 0, F.concat(F.right(pieces[F.greatest(i - 1, F.lit(0))], F.lit(CONTEXT)), hits[F.greatest(i - 1, F.lit(0))])).otherwise(F.lit(""))
+            ahead = F.right(F.concat(earlier, F.right(pieces[i], F.lit(CONTEXT))), F.lit(CONTEXT))
+            return F.lower(F.concat(ahead, F.lit(" "), F.left(pieces[i + 1], F.lit(CONTEXT))))
 
         def scored(m, i):
             s = F.lit(k.score)
