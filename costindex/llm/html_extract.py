@@ -33,7 +33,7 @@ from costindex.llm.common import append_columns
 from costindex.llm.html_labels import PAGES
 
 _UNSEEN = "script|style|noscript|template|svg|math|canvas|iframe|object|audio|video|textarea|select|button|title"
-_ATTRIBUTES = r"""(?:[^'"<>]|"[^"<]*"|'[^'<]*'|(?<=[^=\s])['"])*+"""
+_ATTRIBUTES = r"""(?:=\s*+"[^"<]*"|=\s*+'[^'<]*'|=\s*+[^\s"'<>][^\s<>]*|[^<>=]|=)*+"""
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_UNSEEN})(?=[\s/>]){_ATTRIBUTES}>(?:(?<=/>)|.*?(?:</\1(?=[\s/>])[^>]*>|\Z))"
     rf"|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})>|<[!?/][^>]*>", re.S | re.I)
