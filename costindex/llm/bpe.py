@@ -43,7 +43,7 @@ from costindex.llm.common import append_columns
 CACHE = 350_000
 #: Proposals are made for words up to this many bytes; longer ones are merged exactly.
 LONGEST = 512
-#: Failing words up to this many bytes are merged by scans, longer ones with a heap.
+#: Failing words up to this many bytes are merged side by side, longer ones each with a heap.
 SHORT = 64
 #: White space of the tokenizers' patterns (Unicode White_Space), fixed.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -91,8 +91,7 @@ class Bpe:
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], order
         self.merge_of = {(int(a), int(b)): (k, int(t)) for k, (a, b, t) in enumerate(zip(left, right, made))}
-        self.rank_of = {int(k): r for r, k in enumerate(keys)}
-        self.made_by = made.tolist()
+        self.made_by = made
         ranks = np.arange(len(merges))
         self.ordered = bool((self.rank[left] < ranks).all() and (self.rank[right] < ranks).all()
                             and len(np.unique(made)) == len(made))
@@ -104,12 +103,28 @@ class Bpe:
             for a, b, t, ok in zip(left, right, made, holds):
                 whole[t] = ok and whole[a] and whole[b]
         self.proposed = {self.token_bytes[i]: i for i in np.flatnonzero(whole)}
-        self.reach: dict[bytes, int] = {}     # first two bytes -> longest token that starts with them
-        for t in self.proposed:
-            self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
+        self._make_trie()
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
+    def _make_trie(self) -> None:
+        """Sorted keys (node * 256 + byte) with the next node, and each node's token (-1: none)."""
+        nodes, steps, token = {b"": 0}, {}, [-1]
+        for t, i in self.proposed.items():
+            node = 0
+            for k in range(len(t)):
+                prefix = t[:k + 1]
+                below = nodes.get(prefix)
+                if below is None:
+                    below = nodes[prefix] = len(token)
+                    token.append(-1)
+                    steps[node * 256 + t[k]] = below
+                node = below
+            token[node] = int(i)
+        self.trie_keys = np.array(sorted(steps), np.int64)
+        self.trie_next = np.array([steps[k] for k in self.trie_keys.tolist()], np.int64)
+        self.trie_token = np.array(token, np.int64)
+
     # ---- verification ---------------------------------------------------------------
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -142,37 +157,88 @@ class Bpe:
         return ok
 
     # ---- encoding -----------------------------------------------------------------
-    def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match."""
-        out, at, n, get = [], 0, len(word), self.proposed.get
-        while at < n:
-            end = min(n, at + self.reach.get(word[at:at + 2], 1))
-            while (i := get(word[at:end])) is None:
-                end -= 1
-            out.append(i)
-            at = end
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match of many words at once: (word of each token, token), in order.
+
+        All words walk the trie of the vocabulary byte by byte; a word whose walk
+        ends emits the longest token it passed and starts again behind it.
+        """
+        buffer = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        end = np.cumsum(size)
+        word = np.flatnonzero(size)
+        at = (end - size)[word]
+        stop, start, best, token = end[word], at.copy(), at.copy(), np.zeros(len(word), np.int64)
+        node = np.zeros(len(word), np.int64)
+        found = []
+        while len(word):
+            key = node * 256 + buffer[at]
+            k = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
+            on = (self.trie_keys[k] == key) & (at < stop)
+            node = np.where(on, self.trie_next[k], node)
+            at = at + on
+            seen = np.where(on, self.trie_token[node], -1)
+            token, best = np.where(seen >= 0, seen, token), np.where(seen >= 0, at, best)
+            done = np.flatnonzero(~on)
+            if len(done):
+                found.append((word[done], start[done], token[done]))
+                at[done] = start[done] = best[done]
+                node[done] = 0
+                live = at < stop
+                live |= on
+                if not live.all():
+                    word, at, stop, start, best, token, node = (v[live] for v in (word, at, stop, start, best, token, node))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        owner, start, token = (np.concatenate(v) for v in zip(*found))
+        order = np.argsort(start, kind="stable")
+        return owner[order], token[order]
+
+    def merge(self, words: list[bytes]) -> list[list[int]]:
+        """Exact: apply the lowest-ranked merge, leftmost first, until none applies."""
+        out: list = [None] * len(words)
+        by_size = sorted(range(len(words)), key=lambda k: len(words[k]))
+        short = [k for k in by_size if len(words[k]) <= SHORT]
+        for lo in range(0, len(short), 2048):  # neighbours have similar lengths
+            some = short[lo:lo + 2048]
+            for k, ids in zip(some, self._merge_short([words[k] for k in some])):
+                out[k] = ids
+        for k in by_size[len(short):]:
+            out[k] = self._merge_long(words[k])
         return out
 
-    def merge(self, word: bytes) -> list[int]:
-        """Exact: apply the lowest-ranked merge, leftmost first, until none applies."""
-        return self._merge_short(word) if len(word) <= SHORT else self._merge_long(word)
-
-    def _merge_short(self, word: bytes) -> list[int]:
-        """By scans of the word's pairs: quadratic, but fastest for short words."""
-        ids, size, rank, never = [self.byte_id[b] for b in word], self.size, self.rank_of.get, len(self.made_by)
-        ranks = [rank(a * size + b, never) for a, b in zip(ids, ids[1:])]
-        while ranks:
-            least = min(ranks)
-            if least == never:
+    def _merge_short(self, words: list[bytes]) -> list[list[int]]:
+        """Many short words side by side, one merge of each word a round."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        width = max(1, int(size.max()))
+        cols = np.arange(width)
+        ids = np.full((len(words), width + 1), -1, np.int64)
+        ids[:, :width][cols < size[:, None]] = np.array(self.byte_id)[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = np.full((len(words), width), _NEVER)
+        ranks[:] = self._rank_or_never(ids[:, :-1], ids[:, 1:])
+        live = np.arange(len(words))
+        while len(live):
+            own = ranks[live]
+            k = own.argmin(1)
+            least = own[np.arange(len(live)), k]
+            go = least < _NEVER
+            live, k, least, own = live[go], k[go], least[go], own[go]
+            if not len(live):
                 break
-            k = ranks.index(least)
-            ids[k:k + 2] = (self.made_by[least],)
-            del ranks[k]
-            if k < len(ranks):
-                ranks[k] = rank(ids[k] * size + ids[k + 1], never)
-            if k:
-                ranks[k - 1] = rank(ids[k - 1] * size + ids[k], never)
-        return ids
+            row, at = np.arange(len(live)), k[:, None]
+            new = np.take_along_axis(ids[live], np.minimum(np.arange(width + 1) + (np.arange(width + 1) > at), width), 1)
+            new[:, -1] = -1
+            new[row, k] = self.made_by[least]
+            own = np.take_along_axis(own, np.minimum(cols + (cols >= at), width - 1), 1)
+            own[:, -1] = _NEVER
+            own[row, k] = self._rank_or_never(new[row, k], new[row, k + 1])
+            back = np.flatnonzero(k)
+            own[back, k[back] - 1] = self._rank_or_never(new[back, k[back] - 1], new[back, k[back]])
+            ids[live], ranks[live] = new, own
+        return [r[:r.index(-1)] for r in ids.tolist()]
+
+    def _rank_or_never(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where((a >= 0) & (b >= 0), self._pair_rank(np.maximum(a, 0), np.maximum(b, 0)), _NEVER)
 
     def _merge_long(self, word: bytes) -> list[int]:
         """With a heap of pairs."""
@@ -198,22 +264,25 @@ class Bpe:
     def learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words: proposals, one vectorised check of all pairs, exact merges for the failures."""
         raw = [w.encode("utf-8") for w in words]
-        short = [k for k, w in enumerate(raw) if self.ordered and len(w) <= LONGEST]
-        tokens = [self.propose(raw[k]) for k in short]
         out: list[list[int] | None] = [None] * len(raw)
-        if short:
-            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            flat = np.fromiter(chain.from_iterable(tokens), np.int64, int(sizes.sum()))
-            owner = np.repeat(np.arange(len(short)), sizes)
+        if self.ordered:
+            short = [k for k, w in enumerate(raw) if len(w) <= LONGEST]
+            owner, flat = self.propose([raw[k] for k in short])
             inside = np.flatnonzero(owner[1:] == owner[:-1])
             pairs, of_pair = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
             fine = self.compatible(pairs // self.size, pairs % self.size)[of_pair]
             failed = np.zeros(len(short), bool)
             failed[owner[inside[~fine]]] = True
-            for k, t, bad in zip(short, tokens, failed):
+            ends = np.cumsum(np.bincount(owner, minlength=len(short))).tolist()
+            tokens, begin = flat.tolist(), 0
+            for k, end, bad in zip(short, ends, failed.tolist()):
                 if not bad:
-                    out[k] = t
-        return {w: tuple(t if t is not None else self.merge(b)) for w, b, t in zip(words, raw, out)}
+                    out[k] = tokens[begin:end]
+                begin = end
+        rest = [k for k, t in enumerate(out) if t is None]
+        for k, ids in zip(rest, self.merge([raw[k] for k in rest])):
+            out[k] = ids
+        return {w: tuple(t) for w, t in zip(words, out)}
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text; special tokens are pieces of their own."""
@@ -226,10 +295,16 @@ class Bpe:
             at = m.end()
         return out + self.words.findall(text, at)
 
-    def encode_batch(self, texts: list[str], chunk: int = 64):
-        """Ids of each text, a few texts at a time so that only their words are held."""
-        for lo in range(0, len(texts), chunk):
-            split = [self.pieces(t) for t in texts[lo:lo + chunk]]
+    def encode_batch(self, texts: list[str], chunk: int = 1_000_000):
+        """Ids of each text, some texts at a time (about ``chunk`` characters) so that only their words are held."""
+        lo = 0
+        while lo < len(texts):
+            hi, held = lo, 0
+            while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= chunk):
+                held += len(texts[hi])
+                hi += 1
+            split = [self.pieces(t) for t in texts[lo:hi]]
+            lo = hi
             need = set(chain.from_iterable(split))
             if len(self.cache) + len(need) > CACHE:  # frequent words come back from the older generation
                 self.older, self.cache = self.cache, {}
