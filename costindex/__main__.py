@@ -13,7 +13,7 @@ import argparse
 from datetime import datetime, timezone
 
 from costindex.plans.pipeline import PipelineConfig, run_pipeline
-from costindex.session import apply_cluster_conf
+from costindex.session import apply_cluster_conf, drop_staged
 from costindex.sources.fixtures import SERVICES
 from costindex.sources.registry import default_registry
 from costindex.sources.tables import Warehouse
@@ -25,12 +25,14 @@ def main(argv=None, spark=None) -> None:
     ap.add_argument("--warehouse")
     ap.add_argument("--state")
     ap.add_argument("--sources", nargs="*", help="load only these sources")
+    ap.add_argument("--keep-versions", type=int, default=2, help="versions kept of each table")
     ap.add_argument("--as-of", help="run date YYYY-MM-DD (default: today, UTC)")
     for stage in ("restore", "extract", "cdc", "models", "tests"):
         ap.add_argument(f"--no-{stage}", action="store_true")
     args = ap.parse_args(argv)
 
-    if spark is None:  # a fresh job gets the cluster settings; a passed session is kept as is
+    own = spark is None
+    if own:  # a fresh job gets the cluster settings; a passed session is kept as is
         from pyspark.sql import SparkSession
         spark = apply_cluster_conf(SparkSession.builder.appName("costindex").getOrCreate())
     at = (datetime.fromisoformat(args.as_of) if args.as_of
@@ -44,6 +46,9 @@ def main(argv=None, spark=None) -> None:
                        cdc=not args.no_cdc, models=not args.no_models, tests=not args.no_tests)
     if "tests" in out:
         failed = [r.test_name for r in out["tests"].where("failures > 0").collect()]
+        if own:  # results are written: staged tables and old versions go
+            drop_staged(spark)
+            wh.vacuum(args.keep_versions)
         print(f"data tests: {'all passed' if not failed else 'FAILED ' + ', '.join(failed)}")
         if failed:
             raise SystemExit(1)

@@ -8,7 +8,8 @@ from costindex.functions.expressions import (  # noqa: F401
     label_lookup,
     month_text,
     ntz,
-    py_str_double,
+    number_or_null,
+    number_or_null, py_str_double,
     round_half_away,
     safe_ratio,
     to_int_half_even,

@@ -62,6 +62,12 @@ def month_text(c: ColumnLike) -> Column:
     return F.date_format(F.to_date(_col(c)), "yyyy-MM")
 
 
+def number_or_null(c: ColumnLike) -> Column:
+    """The value as a double; NaN and text that is no number are null."""
+    x = _col(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def year_text(c: ColumnLike) -> Column:
     return F.date_format(F.to_date(_col(c)), "yyyy")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costindex.functions import py_str_double
@@ -37,8 +37,8 @@ def keyed_changes(batch: DataFrame, previous: DataFrame, keys: Sequence[str], va
                            F.lit(True).alias("_ip"))
     b = batch.select(*keys, *[c for c in order_by if c not in keys],
                      F.col(value).cast("double").alias("_val"))
-    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    tagged = b.join(counts, keys)
+    # the window and the join below share one exchange by the keys
+    tagged = b.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     joined = tagged.join(prev, keys, "left")
 
     single = joined.where(F.col("_n") == 1)
@@ -56,7 +56,7 @@ def keyed_changes(batch: DataFrame, previous: DataFrame, keys: Sequence[str], va
     folded = folded.select(*keys, "old_value", "new_value", "change_type", "_seq")
     out = single.unionByName(folded)
     if emit_deletes:
-        gone = prev.join(counts.select(*keys), keys, "left_anti").select(
+        gone = prev.join(b.select(*keys), keys, "left_anti").select(
             *keys, F.col("_iv").alias("old_value"), F.lit(None).cast("double").alias("new_value"),
             F.lit("DELETE").alias("change_type"), F.lit(1).alias("_seq"))
         out = out.unionByName(gone)

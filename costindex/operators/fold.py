@@ -69,7 +69,9 @@ def deadband_fold(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         present, state, seq = False, None, 0
         for pdf in batches:
             out = []
-            kvals = pdf[keys].itertuples(index=False, name=None)
+            # a null key arrives as NaN or NaT, which would not equal itself
+            kvals = (tuple(None if pd.isna(k) else k for k in row)
+                     for row in pdf[keys].itertuples(index=False, name=None))
             for kv, row_ip, row_iv, v, rec in zip(
                     kvals, pdf["_ip"], pdf["_iv"], pdf["__fold_v"],
                     pdf[passthrough].itertuples(index=False, name=None)):

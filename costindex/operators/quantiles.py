@@ -28,12 +28,16 @@ from costindex.operators.joins import broadcast_if_small
 from costindex.operators.keys import null_safe_join
 
 DEFAULT_MAX_VALUES_PER_TASK = 2_000_000
-DEFAULT_SAMPLE_MODULUS = 1024
+SAMPLE_PER_BUCKET = 64
 
 
 def _bucket_bounds(vc: DataFrame, stats: DataFrame, keys: list[str],
-                   max_values: int, modulus: int) -> DataFrame:
-    """Per hot group: a sorted array of bucket lower bounds (bucket 0 has none)."""
+                   max_values: int) -> DataFrame:
+    """Per hot group: a sorted array of bucket lower bounds (bucket 0 has none).
+
+    The sample holds about ``SAMPLE_PER_BUCKET`` values for each bucket.
+    """
+    modulus = max(1, max_values // SAMPLE_PER_BUCKET)
     hot = stats.where(F.col("_d") > F.lit(max_values)).select(
         *keys, F.ceil(F.col("_d") / F.lit(max_values)).cast("int").alias("_nb"))
     sample = null_safe_join(vc, hot, keys).where(
@@ -51,8 +55,7 @@ def _bucket_bounds(vc: DataFrame, stats: DataFrame, keys: list[str],
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Mapping[str, float],
-                    max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK,
-                    sample_modulus: int = DEFAULT_SAMPLE_MODULUS) -> DataFrame:
+                    max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK) -> DataFrame:
     """One row per group: ``keys`` + one double column per entry of ``probs``.
 
     Semantics of SQL ``percentile_cont(p) within group (order by value)``:
@@ -61,12 +64,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     vc = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    return quantiles_from_counts(vc, keys, probs, max_values_per_task, sample_modulus)
+    return quantiles_from_counts(vc, keys, probs, max_values_per_task)
 
 
 def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str, float],
                           max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK,
-                          sample_modulus: int = DEFAULT_SAMPLE_MODULUS,
                           stats: DataFrame | None = None) -> DataFrame:
     """Quantiles from value counts: ``vc`` has keys, ``_v`` (non-null, distinct per group), ``_c``.
 
@@ -82,7 +84,7 @@ def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str
     total = vc.count()
     widest = total if total <= max_values_per_task else (stats.agg(F.max("_d")).first()[0] or 0)
     if widest > max_values_per_task:
-        bounds = _bucket_bounds(vc, stats, keys, max_values_per_task, sample_modulus)
+        bounds = _bucket_bounds(vc, stats, keys, max_values_per_task)
         vcb = null_safe_join(vc, broadcast_if_small(bounds), keys, "left").withColumn(
             "_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))),
                               F.lit(0))).drop("_bounds")

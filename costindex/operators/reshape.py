@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costindex.functions import number_or_null
+
 _FLOAT_TYPES = (T.DoubleType, T.FloatType)
 
 
@@ -32,11 +34,15 @@ def numeric_value_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 
 
 def melt_levels(df: DataFrame, id_col: str, exclude: Sequence[str], name_col: str,
-                value_col: str) -> DataFrame:
-    """Melt the numeric columns of a wide frame to (id, name, value), nulls dropped."""
-    cols = numeric_value_columns(df, list(exclude) + [id_col])
-    src = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    return unpivot_non_null(src, [id_col], cols, name_col, value_col)
+                value_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Melt the numeric columns of a wide frame to (id, carry, name, value).
+
+    Nulls, NaN and text that is no number are dropped.
+    """
+    ids = [id_col, *carry]
+    cols = numeric_value_columns(df, list(exclude) + ids)
+    src = df.select(*ids, *[number_or_null(c).alias(c) for c in cols])
+    return unpivot_non_null(src, ids, cols, name_col, value_col)
 
 
 def pivot_mean(df: DataFrame, row_key: str, column_key: str, value: str,

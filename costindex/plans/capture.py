@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+
+from costindex.functions import number_or_null
 
 from costindex.operators.cdc import change_events, date_key, keyed_changes, merge_history
 from costindex.operators.reshape import melt_levels
@@ -35,22 +38,36 @@ class Capture:
     table: DataFrame     # the history / dimension after this run
 
 
-def fuel_levels(raw_fuel: DataFrame, series_col: str = "series_type",
-                level: str = "level") -> DataFrame:
+# Place of a row in the source files: what orders the rows of a key within one batch.
+FILE_ORDER = ["_file", "_row"]
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Add ``FILE_ORDER`` from the scan's metadata (a frame that is no file scan has no order)."""
+    if set(FILE_ORDER) <= set(df.columns):
+        return df
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return df.withColumns({"_file": F.lit(""), "_row": F.lit(0).cast("long")})
+
+
+def fuel_levels(raw_fuel: DataFrame, series_col: str = "series_type", level: str = "level",
+                carry: Sequence[str] = ()) -> DataFrame:
     """Wide weekly fuel table -> (date, fuel_type, price) price levels, positive only."""
     df = raw_fuel.where(F.col(series_col) == level) if series_col in raw_fuel.columns else raw_fuel
-    long = melt_levels(df, "date", [series_col, "_month_partition"], "fuel_type", "price")
+    long = melt_levels(df, "date", [series_col, "_month_partition"], "fuel_type", "price", carry)
     return long.where(F.col("price") > 0).select(
-        date_key("date", 10).alias("date"), F.upper("fuel_type").alias("fuel_type"), "price")
+        date_key("date", 10).alias("date"), F.upper("fuel_type").alias("fuel_type"), "price", *carry)
 
 
 def capture_fuel(raw_fuel: DataFrame, history: DataFrame, run_ts: Column,
                  keep: Keep = _lazy) -> Capture:
     """``keep(name, df)`` may persist the change set and the new history (cuts lineage)."""
-    batch = fuel_levels(raw_fuel).select(
-        F.to_date("date").alias("date_effective"), "fuel_type", "price")
+    batch = fuel_levels(in_file_order(raw_fuel), carry=FILE_ORDER).select(
+        F.to_date("date").alias("date_effective"), "fuel_type", "price", *FILE_ORDER)
     changes = keep("fuel_changes", keyed_changes(batch, history, FUEL_KEYS, "price",
-                                                 FUEL_TOLERANCE))
+                                                 FUEL_TOLERANCE, FILE_ORDER))
     events = change_events(
         changes, "fuel_prices",
         F.concat(F.col("fuel_type"), F.lit("@"), F.col("date_effective").cast("string")), "price")
@@ -67,14 +84,15 @@ def gdp_rows(raw_gdp: DataFrame) -> DataFrame:
     return raw_gdp.select(
         date_key(F.col(cols["date"]), 7).alias("quarter"),
         F.col(cols["series"]).alias("series"),
-        F.col(cols["value"]).cast("double").alias("value"),
+        number_or_null(F.col(cols["value"])).alias("value"),
+        *[c for c in FILE_ORDER if c in raw_gdp.columns],
     ).where(F.col("value").isNotNull())
 
 
 def capture_gdp(raw_gdp: DataFrame, history: DataFrame, run_ts: Column,
                 keep: Keep = _lazy) -> Capture:
-    changes = keep("gdp_changes", keyed_changes(gdp_rows(raw_gdp), history, GDP_KEYS, "value",
-                                                GDP_TOLERANCE))
+    changes = keep("gdp_changes", keyed_changes(gdp_rows(in_file_order(raw_gdp)), history, GDP_KEYS, "value",
+                                                GDP_TOLERANCE, FILE_ORDER))
     events = change_events(
         changes, "gdp_quarterly",
         F.concat(F.col("series"), F.lit("@"), F.col("quarter")), "value")

@@ -36,6 +36,7 @@ MISSING_SOURCE = "cpi_national"       # its landing file is absent: logged as fa
 FIRST_AS_OF = date(2001, 1, 15)       # window 1999-01 .. 2000-12
 SECOND_AS_OF = date(2001, 12, 15)     # window 1999-12 .. 2001-11
 REPLACED_MONTH = "2001-06"
+SPLIT_FILES = 40                      # files a micro-batch in the split load
 
 
 def _static_sources(i: Inputs) -> dict[str, Source]:
@@ -347,12 +348,9 @@ select fuel_type, fuel_date, price, change_direction from mart_fuel_timeline""",
 @query("stream_incremental_load")
 def _stream_incremental_load(i: Inputs) -> DataFrame:
     """The landing files loaded by the file-source stream: rows per month in the raw table."""
-    from costindex.streaming.incremental import landing_stream, run_incremental_stream
-    landing = _landing(i)
+    from costindex.streaming.incremental import run_incremental_stream
     book = _fresh(i)
-    schema = i.fx("fx_prices").schema
-    stream = landing_stream(i.spark, landing, schema)
-    run_incremental_stream(book, "pricecatcher_prices", stream,
+    run_incremental_stream(book, "pricecatcher_prices", _landing(i), i.fx("fx_prices").schema,
                            book.wh.path("state", "stream_checkpoint"), AT)
     raw = book.wh.read_partitioned("raw", "pricecatcher_prices")
     return raw.groupBy(F.col("_month_partition").alias("month")).agg(
@@ -364,6 +362,31 @@ select _month_partition as month, count(*) as rows_in_month from fx_prices group
                       ["fx_prices"])
 
 
+@query("stream_incremental_load_split")
+def _stream_incremental_load_split(i: Inputs) -> DataFrame:
+    """Every month arrives in two drops, one file a micro-batch: nothing is lost."""
+    from costindex.streaming.incremental import run_incremental_stream
+    book = _fresh(i)
+    prices = i.fx("fx_prices")
+    landing = book.wh.path("landing", "split_prices")
+    late = F.pmod(F.col("item_code"), F.lit(2)) == 1
+    for drop, rows in enumerate((prices.where(~late), prices.where(late))):
+        # a month's rows of one drop go to one file
+        rows.repartition("_month_partition").write.mode("append").partitionBy("_month_partition").parquet(landing)
+        run_incremental_stream(book, "pricecatcher_prices", landing, prices.schema,
+                               book.wh.path("state", "split_checkpoint"), AT + timedelta(days=drop),
+                               max_files_per_trigger=SPLIT_FILES)
+    raw = book.wh.read_partitioned("raw", "pricecatcher_prices")
+    return raw.groupBy(F.col("_month_partition").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows_in_month"),
+        F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"))
+
+
+oracle.register_final("stream_incremental_load_split", """
+select _month_partition as month, count(*) as rows_in_month,
+       sum(round(price * 100)::bigint)::bigint as cents from fx_prices group by 1""", ["fx_prices"])
+
+
 # ---- the full run ----------------------------------------------------------------------------
 def _landing_sources(i: Inputs, wh: Warehouse, as_of: date) -> dict[str, Source]:
     """Landing files written from the fixtures: static tables and monthly price folders."""

@@ -135,7 +135,9 @@ def pressure_score(price_summary_df: DataFrame, fuel_timeline_df: DataFrame,
                    stg_cpi_df: DataFrame, stg_transport_df: DataFrame,
                    stg_vehicles_df: DataFrame,
                    food_categories: Sequence[str] = signals.FOOD_CATEGORIES,
-                   weights: Mapping[str, float] = DEFAULT_WEIGHTS) -> DataFrame:
+                   weights: Mapping[str, float] = DEFAULT_WEIGHTS, keep=None) -> DataFrame:
+    """``keep(name, df)`` may store the signals before they are scaled (scaling reads them twice)."""
     combined = combined_signals(price_summary_df, fuel_timeline_df, stg_cpi_df,
                                 stg_transport_df, stg_vehicles_df, food_categories)
+    combined = keep("combined_signals", combined) if keep else combined
     return pulse_score(normalised_signals(combined), weights)

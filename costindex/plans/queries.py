@@ -131,9 +131,10 @@ class Inputs:
 
     @cached_property
     def combined(self) -> DataFrame:
-        return marts.combined_signals(self.price_summary, self.fuel_timeline, self.stg_cpi,
-                                      self.stg_transport, self.stg_vehicles,
-                                      fx.FIXTURE_FOOD_CATEGORIES)
+        # stored: the scaling reads it twice (once for the bounds)
+        return self.keep("marts")("combined_signals", marts.combined_signals(
+            self.price_summary, self.fuel_timeline, self.stg_cpi, self.stg_transport,
+            self.stg_vehicles, fx.FIXTURE_FOOD_CATEGORIES))
 
     @cached_property
     def normalised(self) -> DataFrame:
@@ -349,43 +350,51 @@ def _score_band(i: Inputs) -> DataFrame:
 @query("dq_accepted_values")
 def _dq_accepted_values(i: Inputs) -> DataFrame:
     t = i.fuel_timeline
-    return quality.summary("fuel_change_direction", t, quality.accepted_values(
-        t, "change_direction", ["UP", "DOWN", "UNCHANGED", "FIRST"]))
+    return quality.summary("fuel_change_direction", t, quality.not_accepted(
+        "change_direction", ["UP", "DOWN", "UNCHANGED", "FIRST"]))
 
 
 @query("dq_positive")
 def _dq_positive(i: Inputs) -> DataFrame:
     s = i.stg_prices
-    return quality.summary("prices_positive", s, quality.positive(s, "price"))
+    return quality.summary("prices_positive", s, quality.not_positive("price"))
 
 
 @query("dq_range")
 def _dq_range(i: Inputs) -> DataFrame:
     s = i.score
-    return quality.summary("pulse_score_range", s, quality.outside_range(s, "pulse_score", 0, 100))
+    return quality.summary("pulse_score_range", s, quality.out_of_range("pulse_score", 0, 100))
 
 
 @query("dq_unique")
 def _dq_unique(i: Inputs) -> DataFrame:
     fuel, gdp, dim = i.fuel.table, i.gdp.table, i.income.table
     cur = dim.where(F.col("is_current"))
-    return (quality.summary("fuel_history_key", fuel,
-                            quality.duplicate_keys(fuel, capture.FUEL_KEYS))
-            .unionByName(quality.summary("gdp_history_key", gdp,
-                                         quality.duplicate_keys(gdp, capture.GDP_KEYS)))
-            .unionByName(quality.summary("income_one_current", cur,
-                                         quality.duplicate_keys(cur, ["geography"]))))
+    return (quality.unique_summary("fuel_history_key", fuel, capture.FUEL_KEYS)
+            .unionByName(quality.unique_summary("gdp_history_key", gdp, capture.GDP_KEYS))
+            .unionByName(quality.unique_summary("income_one_current", cur, ["geography"])))
+
+
+@query("dq_dirty_input")
+def _dq_dirty_input(i: Inputs) -> DataFrame:
+    """The data tests on unclean inputs (raw prices, premises and GDP rows): they find violations."""
+    prices, premises, gdp = i.fx("fx_prices"), i.fx("fx_premises"), i.fx("fx_gdp")
+    return (quality.summary("raw_prices_positive", prices, quality.not_positive("price"))
+            .unionByName(quality.summary("raw_prices_range", prices, quality.out_of_range("price", 1000, 50000)))
+            .unionByName(quality.unique_summary("raw_price_key", prices, ["item_code", "premise_code"]))
+            .unionByName(quality.summary("raw_premises_not_null", premises, quality.any_null(["premise", "state"])))
+            .unionByName(quality.summary("raw_gdp_series", gdp, quality.not_accepted("series", [" F", " O"]))))
 
 
 @query("dq_not_null")
 def _dq_not_null(i: Inputs) -> DataFrame:
     fuel, gdp, dim = i.fuel.table, i.gdp.table, i.income.table
-    return (quality.summary("fuel_history_not_null", fuel, quality.nulls_in(
-                fuel, ["date_effective", "fuel_type", "price", "loaded_at"]))
-            .unionByName(quality.summary("gdp_history_not_null", gdp, quality.nulls_in(
-                gdp, ["quarter", "series", "loaded_at"])))
-            .unionByName(quality.summary("income_dim_not_null", dim, quality.nulls_in(
-                dim, ["geography", "geography_type", "survey_year", "valid_from",
+    return (quality.summary("fuel_history_not_null", fuel, quality.any_null(
+                ["date_effective", "fuel_type", "price", "loaded_at"]))
+            .unionByName(quality.summary("gdp_history_not_null", gdp, quality.any_null(
+                ["quarter", "series", "loaded_at"])))
+            .unionByName(quality.summary("income_dim_not_null", dim, quality.any_null(
+                ["geography", "geography_type", "survey_year", "valid_from",
                       "is_current"]))))
 
 
@@ -407,7 +416,7 @@ def _rep_food_trend(i: Inputs) -> DataFrame:
 
 @query("rep_heatmap")
 def _rep_heatmap(i: Inputs) -> DataFrame:
-    return reports.heatmap(i.price_summary)
+    return reports.heatmap(i.price_summary, columns=fx.FIXTURE_CATEGORIES)
 
 
 @query("rep_ev_share")

@@ -71,7 +71,12 @@ def food_trend(price_summary: DataFrame,
 
 def heatmap(price_summary: DataFrame, labels: Mapping[str, str] = CATEGORY_LABELS,
             columns: Sequence[str] | None = None) -> DataFrame:
-    """State x label grid of mean median price for the newest month."""
+    """State x label grid of mean median price for the newest month.
+
+    ``columns`` are the labels shown (default: all known labels); the list is
+    fixed, so the schema does not depend on the data and no job runs to find it.
+    """
+    columns = list(columns) if columns is not None else list(dict.fromkeys(labels.values()))
     newest = price_summary.agg(F.max("month").alias("month"))
     latest = price_summary.join(F.broadcast(newest), "month")
     cell = latest.groupBy("state", "item_category").agg(

@@ -48,6 +48,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # else coalescing ignores the size above in favour of more tasks
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": "512m",
@@ -77,11 +79,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    is always used.  Only when it is unset (a local test) is a fresh folder
-    created under the system temp directory.
+    is always used.  Where it is unset a local master gets a fresh folder under
+    the system temp directory; on a cluster that is an error, as executors
+    would write to their own disks.
     """
     root = _conf(spark, "spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="costindex-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -95,6 +100,12 @@ def shared_root(spark: SparkSession, name: str | None = None) -> str:
     return f"{root}/costindex/{name or uuid.uuid4().hex}"
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this session's shared folder (call when a job's results are written)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_root(spark, "stage"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_table(df, name: str = "stage"):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

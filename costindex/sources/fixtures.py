@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The ridership columns of the source.
 SERVICES = [
     "bus_rkl", "bus_rkn", "bus_rpn",
     "rail_lrt_ampang", "rail_lrt_kj", "rail_monorail",
@@ -22,6 +23,8 @@ SERVICES = [
 
 # Food categories present in the fixture data (the production list is in plans.signals).
 FIXTURE_FOOD_CATEGORIES = ["PROMO", "SMALL", "LARGE"]
+# All categories of the fixture data; they have no label of their own.
+FIXTURE_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +77,9 @@ def premises(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FUELS = ["ron95", "ron97", "diesel", "ron100", "kerosene"]
+
+
 def fuel_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
@@ -84,11 +90,12 @@ def fuel_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when((F.col("o_orderpriority") == "5-LOW")
                      & (F.pmod(F.col("o_orderkey"), F.lit(9)) != 0),
                      F.col("o_totalprice"))).alias("diesel"),
-    ).select(F.lit("level").alias("series_type"), "date", "ron95", "ron97", "diesel")
-    zero = F.lit(0.0).cast("double")
+        F.max(F.when(F.col("o_orderpriority") == "3-MEDIUM", F.col("o_totalprice"))).alias("ron100"),
+        F.max(F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_totalprice"))).alias("kerosene"),
+    ).select(F.lit("level").alias("series_type"), "date", *FUELS)
     change = o.select(week).distinct().select(
         F.lit("change_weekly").alias("series_type"), "date",
-        zero.alias("ron95"), zero.alias("ron97"), zero.alias("diesel"))
+        *[F.lit(0.0).cast("double").alias(fuel) for fuel in FUELS])
     return level.unionByName(change)
 
 
@@ -107,18 +114,15 @@ def fuel_history_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gdp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    q = F.date_trunc("quarter", F.col("o_orderdate"))
-    rn = F.row_number().over(Window.partitionBy(q, F.col("o_orderstatus")).orderBy("o_orderkey"))
-    first = o.withColumn("_rn", rn).where(F.col("_rn") == 1)
-    return first.select(
-        F.to_date(q).alias("date"),
-        F.concat(F.lit(" "), F.col("o_orderstatus")).alias("series"),
-        F.when((F.month("o_orderdate") == 12) & (F.col("o_orderstatus") == "P"),
-               F.lit(None).cast("double")).otherwise(F.col("o_totalprice")).alias("value"),
-    )
+    """Turnover per quarter and order status (summed in cents, so the order of rows does not matter)."""
+    o = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderstatus", "o_totalprice")
+    quarter = _trunc_date("quarter", F.col("o_orderdate")).alias("date")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    g = o.groupBy(quarter, "o_orderstatus").agg((F.sum(cents) / F.lit(100.0)).alias("turnover"))
+    return g.select(
+        "date", F.concat(F.lit(" "), F.col("o_orderstatus")).alias("series"),
+        F.when((F.month("date") == 10) & (F.col("o_orderstatus") == "P"),
+               F.lit(None).cast("double")).otherwise(F.col("turnover")).alias("value"))
 
 
 def _orders_by_customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,34 +133,37 @@ def _orders_by_customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costindex.operators.quantiles import exact_quantiles
     oc = _orders_by_customer_nation(spark, sf_dir)
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = oc.join(n, oc.c_nationkey == n.n_nationkey)
-    yr = F.year("o_orderdate")
-    g = j.groupBy(F.col("n_name"), F.col("n_nationkey"),
-                  _trunc_date("year", F.col("o_orderdate")).alias("date"), yr.alias("_y")).agg(
-        F.median("o_totalprice").alias("_med"),
+    keys = ["n_name", "n_nationkey", "date"]
+    j = oc.join(n, oc.c_nationkey == n.n_nationkey).select(
+        "n_name", "n_nationkey", _trunc_date("year", F.col("o_orderdate")).alias("date"), "o_totalprice")
+    means = j.groupBy(*keys).agg(
         (F.floor(F.avg("o_totalprice") + F.lit(0.5)).cast("double")).alias("income_mean"))
-    nk8 = F.pmod(F.col("n_nationkey"), F.lit(8))
+    g = means.join(exact_quantiles(j, keys, "o_totalprice", {"_med": 0.5}), keys)
+    nk8, year = F.pmod(F.col("n_nationkey"), F.lit(8)), F.year("date")
     return g.select(
         F.col("n_name").alias("state"), "date",
-        F.when((nk8 == 1) & (F.col("_y") == 1995), F.lit(None).cast("double"))
-         .when((nk8 == 2) & (F.col("_y") == 1998), F.lit(None).cast("double"))
+        F.when((nk8 == 1) & (year == 1995), F.lit(None).cast("double"))
+         .when((nk8 == 2) & (year == 1998), F.lit(None).cast("double"))
          .otherwise(F.col("_med")).alias("income_median"),
         "income_mean")
 
 
 def cpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    oc = _orders_by_customer_nation(spark, sf_dir).where(
-        F.col("o_orderdate") >= F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"))
+    """Mean order value per month, region and segment; the months before 1996 have no index."""
+    oc = _orders_by_customer_nation(spark, sf_dir)
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = oc.join(n, oc.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-    return j.groupBy(
+    g = j.groupBy(
         _trunc_date("month", F.col("o_orderdate")).alias("date"),
         F.concat(F.lit(" "), F.col("r_name")).alias("state"),
         F.col("c_mktsegment").alias("division"),
-    ).agg((F.floor(F.avg("o_totalprice") + F.lit(0.5)).cast("double")).alias("index"))
+    ).agg((F.floor(F.avg("o_totalprice") + F.lit(0.5)).cast("double")).alias("mean_value"))
+    return g.select("date", "state", "division",
+                    F.when(F.year("date") >= 1996, F.col("mean_value")).alias("index"))
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,14 @@ from costindex.sources.meta import RunBook
 from costindex.sources.registry import MONTHLY, STATIC, Source
 
 PARTITION_COL = "_month_partition"
+# Note texts of the run log.
+LOADED_TODAY = "Already loaded today"
+NO_NEW_MONTHS = "No new months after {}"
+LOADED_UP_TO = "Loaded up to {}"
 
 
-def _short(e: Exception) -> str:
-    return str(e).strip().splitlines()[0][:500] if str(e).strip() else type(e).__name__
+def _text(e: Exception) -> str:
+    return str(e) or type(e).__name__
 
 
 def load_static(book: RunBook, source: Source, at: datetime, layer: str = "raw") -> str:
@@ -30,7 +34,7 @@ def load_static(book: RunBook, source: Source, at: datetime, layer: str = "raw")
     wm = book.watermark(source.name)
     if wm is not None and wm.last_loaded_at is not None \
             and wm.last_loaded_at.date() == at.date():
-        book.log_run(source.name, at, "skipped", notes="Already loaded today")
+        book.log_run(source.name, at, "skipped", notes=LOADED_TODAY)
         return "skipped"
     try:
         written = book.wh.write_snapshot(layer, source.name, source.reader())
@@ -39,12 +43,12 @@ def load_static(book: RunBook, source: Source, at: datetime, layer: str = "raw")
         book.log_run(source.name, at, "success", rows_loaded=rows, new_rows=rows)
         return "success"
     except Exception as e:  # noqa: BLE001 -- a failed source is logged, the run goes on
-        book.log_run(source.name, at, "failed", error=_short(e))
-        print(f"[{source.name}] failed: {_short(e)}", file=sys.stderr)
+        book.log_run(source.name, at, "failed", error=_text(e))
+        print(f"[{source.name}] failed: {_text(e)}", file=sys.stderr)
         return "failed"
 
 
-def month_of_file(source: Source, months: list[str]):
+def month_of_file(source: Source):
     """The month a row came from, read off its file path (one scan for all months).
 
     The path segment of the month template that holds ``{month}`` becomes a
@@ -70,13 +74,56 @@ def loaded_months(book: RunBook, source: Source, layer: str = "raw") -> set[str]
     return {c[len(prefix):] for c in book.wh._children(base) if c.startswith(prefix)}
 
 
+def _month_frame(book: RunBook, source: Source, month: str, path: str) -> DataFrame:
+    """One month's file with its own types, cast to the pinned ones; a missing column is an error."""
+    df = book.spark.read.parquet(path)
+    if source.schema is not None:
+        have = {c.lower(): c for c in df.columns}
+        missing = [f.name for f in source.schema if f.name.lower() not in have]
+        if missing:
+            raise ValueError(f"columns missing: {', '.join(missing)}")
+        df = df.select(*[F.col(have[f.name.lower()]).cast(f.dataType).alias(f.name) for f in source.schema])
+    return df.withColumn(PARTITION_COL, F.lit(month))
+
+
+def _load_files(book: RunBook, source: Source, layer: str, paths: dict[str, str]) -> dict[str, str]:
+    """Replace the months' partitions; returns the months that failed with their whole errors.
+
+    All months are first read and written in one job.  When that fails (an
+    unreadable file, types that differ from the others or from the pinned
+    ones) each month is loaded on its own, so only the bad months are skipped.
+    """
+    names = {f.name.lower() for f in source.schema or []}
+    try:
+        reader = book.spark.read
+        plain = reader.parquet(*paths.values())
+        if source.schema is not None and {c.lower(): t for c, t in plain.dtypes if c.lower() in names} != {
+                f.name.lower(): f.dataType.simpleString() for f in source.schema}:
+            raise TypeError("types differ from the pinned ones")
+        if source.schema is not None:
+            plain = plain.select(*[f.name for f in source.schema], "_metadata.file_path")
+        batch = plain.withColumn(PARTITION_COL, month_of_file(source)).drop("file_path")
+        book.wh.replace_partitions(layer, source.name, batch, PARTITION_COL)
+        return {}
+    except Exception:  # noqa: BLE001 -- found again below, for its month
+        failed = {}
+    for month, path in paths.items():
+        try:
+            book.wh.replace_partitions(layer, source.name, _month_frame(book, source, month, path), PARTITION_COL)
+        except Exception as e:  # noqa: BLE001 -- a failed month is logged, the others are loaded
+            failed[month] = _text(e)
+            print(f"[{source.name}] {month}: {_text(e)} -- skipping", file=sys.stderr)
+    return failed
+
+
 def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw",
                  retry_gaps: bool = False) -> str:
     """Load the window's months newer than the watermark; a missing month is skipped.
 
     All pending month files are read in one job (each tagged with its month)
     and written with dynamic partition overwrite, so re-loading a month
-    replaces it and leaves every other month untouched.  By default a month
+    replaces it and leaves every other month untouched.  A month that cannot
+    be loaded is skipped; its whole error is in the run row.  By default a month
     is pending when it is newer than the watermark (a month that failed
     before a later one loaded is not retried); ``retry_gaps`` instead loads
     every window month that the raw table does not hold yet.
@@ -89,7 +136,7 @@ def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw"
     else:
         months = pending_months(source, done)
     if not months:
-        book.log_run(source.name, at, "skipped", notes=f"No new months after {done}")
+        book.log_run(source.name, at, "skipped", notes=NO_NEW_MONTHS.format(done))
         return "skipped"
     paths: dict[str, str] = {}
     for m in months:
@@ -98,20 +145,20 @@ def load_monthly(book: RunBook, source: Source, at: datetime, layer: str = "raw"
             print(f"[{source.name}] {m}: missing {path} -- skipping", file=sys.stderr)
             continue
         paths[m] = path
-    loaded = list(paths)
-    if paths:
-        batch = book.spark.read.parquet(*paths.values())
-        batch = batch.withColumn(PARTITION_COL, month_of_file(source, list(paths)))
-        book.wh.replace_partitions(layer, source.name, batch, PARTITION_COL)
+    failed = _load_files(book, source, layer, paths) if paths else {}
+    loaded = [m for m in paths if m not in failed]
+    errors = "\n".join(f"{m}: {e}" for m, e in failed.items()) or None
     last = max([m for m in loaded + [done] if m]) if (loaded or done) else None
-    if not last:
+    if not last or (failed and not loaded):
+        if errors:
+            book.log_run(source.name, at, "failed", error=errors)
         return "failed"
     table = book.wh.read_partitioned(layer, source.name)
     total = table.count()
     new_rows = table.where(F.col(PARTITION_COL).isin(loaded)).count() if loaded else 0
     book.upsert_watermark(source.name, at, total, last)
-    book.log_run(source.name, at, "success", rows_loaded=total, new_rows=new_rows,
-                 notes=f"Loaded up to {last}")
+    book.log_run(source.name, at, "success", rows_loaded=total, new_rows=new_rows, error=errors,
+                 notes=LOADED_UP_TO.format(last))
     return "success"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from costindex.sources.tables import Warehouse
 
+# Columns of the bookkeeping tables and the form of a run id.
 RUN_LOG = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("source_name", T.StringType()),
@@ -130,10 +131,24 @@ class RunBook:
 
     # change log -------------------------------------------------------------------
     def append_changes(self, events_with_time: DataFrame) -> None:
-        self.wh.append("meta", "change_log", events_with_time.select(*CHANGE_LOG.fieldNames()))
+        """Write the events of whole runs; writing a run again replaces it (one folder per ``detected_at``)."""
+        write_changes(self.wh, events_with_time)
 
     def changes(self) -> DataFrame:
-        return self.wh.read_log("meta", "change_log", CHANGE_LOG)
+        return read_changes(self.wh)
+
+
+RUN_COL = "run"
+
+
+def write_changes(wh: Warehouse, events: DataFrame) -> None:
+    run = F.date_format("detected_at", "yyyyMMdd'T'HHmmssSSSSSS")
+    wh.replace_partitions("meta", "change_log", events.select(*CHANGE_LOG.fieldNames(), run.alias(RUN_COL)), RUN_COL)
+
+
+def read_changes(wh: Warehouse) -> DataFrame:
+    schema = T.StructType([*CHANGE_LOG.fields, T.StructField(RUN_COL, T.StringType())])
+    return wh.read_log("meta", "change_log", schema).drop(RUN_COL)
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,11 +8,21 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STATIC = "static_parquet"
 MONTHLY = "monthly_partitioned_parquet"
 
 
+# The columns of the monthly price files.
+PRICES = T.StructType([
+    T.StructField("date", T.DateType()),
+    T.StructField("premise_code", T.LongType()),
+    T.StructField("item_code", T.LongType()),
+    T.StructField("price", T.DoubleType()),
+])
+
+
 @dataclass(frozen=True)
 class Source:
     """One input: a static table read whole, or monthly files loaded incrementally.
@@ -26,18 +36,13 @@ class Source:
     reader: Callable[[], DataFrame] | None = None
     path_for_month: Callable[[str], str] | None = None
     months: tuple[str, ...] = field(default_factory=tuple)
+    schema: T.StructType | None = None  # pinned column types; files that differ are cast
 
 
 def last_n_months(as_of: date, n: int = 24) -> list[str]:
     """The ``n`` completed months before ``as_of``'s month as 'YYYY-MM', ascending."""
-    y, m = as_of.year, as_of.month
-    out = []
-    for _ in range(n):
-        m -= 1
-        if m == 0:
-            y, m = y - 1, 12
-        out.append(f"{y:04d}-{m:02d}")
-    return out[::-1]
+    this = as_of.year * 12 + as_of.month - 1
+    return ["%04d-%02d" % (k // 12, k % 12 + 1) for k in range(this - n, this)]
 
 
 def month_window(as_of: Column, n: int = 24) -> Column:
@@ -51,10 +56,11 @@ def static_parquet(spark, name: str, path: str, description: str = "") -> Source
     return Source(name, STATIC, description, reader=lambda: spark.read.parquet(path))
 
 
-def monthly_parquet(name: str, template: str, months: list[str], description: str = "") -> Source:
+def monthly_parquet(name: str, template: str, months: list[str], description: str = "",
+                    schema: T.StructType | None = None) -> Source:
     """``template`` holds ``{month}``, e.g. '/landing/prices/{month}.parquet'."""
     return Source(name, MONTHLY, description,
-                  path_for_month=lambda m: template.format(month=m), months=tuple(months))
+                  path_for_month=lambda m: template.format(month=m), months=tuple(months), schema=schema)
 
 
 def default_registry(spark, landing: str, as_of: date) -> dict[str, Source]:
@@ -65,7 +71,7 @@ def default_registry(spark, landing: str, as_of: date) -> dict[str, Source]:
         "pricecatcher_premises": s("pricecatcher_premises", "premise lookup"),
         "pricecatcher_prices": monthly_parquet(
             "pricecatcher_prices", landing + "/pricecatcher_prices/{month}.parquet",
-            last_n_months(as_of, 24), "monthly price records"),
+            last_n_months(as_of, 24), "monthly price records", PRICES),
         "cpi_state": s("cpi_state", "monthly CPI by state and division"),
         "cpi_national": s("cpi_national", "monthly national CPI by division"),
         "fuel_prices": s("fuel_prices", "weekly fuel prices, wide"),

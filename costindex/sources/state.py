@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from costindex.sources.meta import CHANGE_LOG, RUN_LOG
+from costindex.sources.meta import RUN_LOG, read_changes, write_changes
 from costindex.sources.tables import Warehouse
 
-# table -> (layer, name, kind); kind "log" = append-only, "snapshot" = versioned
+# The stateful tables.  table -> (layer, name, kind); kind "log" = append-only, "snapshot" = versioned
 STATEFUL_TABLES = {
     "meta.pipeline_runs": ("meta", "pipeline_runs", "log"),
     "meta.change_log": ("meta", "change_log", "log"),
@@ -21,10 +21,12 @@ STATEFUL_TABLES = {
     "warehouse.gdp_quarterly": ("warehouse", "gdp_quarterly", "snapshot"),
     "warehouse.dim_household_income": ("warehouse", "dim_household_income", "snapshot"),
 }
-_LOG_SCHEMAS = {"pipeline_runs": RUN_LOG, "change_log": CHANGE_LOG}
+_LOG_SCHEMAS = {"pipeline_runs": RUN_LOG}
 
 
 def _read(wh: Warehouse, layer: str, name: str, kind: str) -> DataFrame | None:
+    if name == "change_log":
+        return read_changes(wh) if wh.exists(wh.path(layer, name)) else None
     if kind == "log":
         if not wh.exists(wh.path(layer, name)):
             return None
@@ -33,7 +35,10 @@ def _read(wh: Warehouse, layer: str, name: str, kind: str) -> DataFrame | None:
 
 
 def export_state(wh: Warehouse, state_dir: str) -> list[tuple[str, int | None]]:
-    """Write each existing stateful table to ``state_dir/<table>.parquet``; rows per table."""
+    """Write each existing stateful table as a new version of ``state_dir/<table>.parquet``; rows per table.
+
+    The version before stays, so a write that dies half way loses nothing.
+    """
     out = []
     for table, (layer, name, kind) in STATEFUL_TABLES.items():
         df = _read(wh, layer, name, kind)
@@ -41,8 +46,7 @@ def export_state(wh: Warehouse, state_dir: str) -> list[tuple[str, int | None]]:
             out.append((table, None))
             continue
         target = f"{state_dir.rstrip('/')}/{table}.parquet"
-        df.write.mode("overwrite").parquet(target)
-        out.append((table, wh.spark.read.parquet(target).count()))
+        out.append((table, wh.write_at(target, df).count()))
     return out
 
 
@@ -51,17 +55,20 @@ def import_state(wh: Warehouse, state_dir: str) -> list[tuple[str, str, int | No
     out = []
     for table, (layer, name, kind) in STATEFUL_TABLES.items():
         src = f"{state_dir.rstrip('/')}/{table}.parquet"
-        if not wh.exists(src):
+        if not wh.has_table_at(src):
             out.append((table, "no_state_file", None))
             continue
         current = _read(wh, layer, name, kind)
         if current is not None and current.limit(1).count() > 0:
             out.append((table, "kept_local", current.count()))
             continue
-        snap = wh.spark.read.parquet(src)
+        snap = wh.read_at(src)
         if current is not None:
             snap = snap.select(*current.columns)  # by name
-        if kind == "log":
+        if name == "change_log":
+            write_changes(wh, snap)
+            restored = read_changes(wh)
+        elif kind == "log":
             wh.append(layer, name, snap)
             restored = _read(wh, layer, name, kind)
         else:

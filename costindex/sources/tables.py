@@ -47,8 +47,7 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     # ---- snapshot tables ----------------------------------------------------------
-    def _versions(self, layer: str, name: str) -> list[int]:
-        base = self.path(layer, name)
+    def versions_at(self, base: str) -> list[int]:
         out = []
         for child in self._children(base):
             if child.startswith("v=") and self.exists(f"{base}/{child}/_SUCCESS"):
@@ -56,12 +55,16 @@ class Warehouse:
         return sorted(out)
 
     def has_table(self, layer: str, name: str) -> bool:
-        return bool(self._versions(layer, name)) or self.exists(
-            f"{self.path(layer, name)}/_SUCCESS")
+        return self.has_table_at(self.path(layer, name))
+
+    def has_table_at(self, base: str) -> bool:
+        return bool(self.versions_at(base)) or self.exists(f"{base}/_SUCCESS")
 
     def read(self, layer: str, name: str) -> DataFrame:
-        versions = self._versions(layer, name)
-        base = self.path(layer, name)
+        return self.read_at(self.path(layer, name))
+
+    def read_at(self, base: str) -> DataFrame:
+        versions = self.versions_at(base)
         if versions:
             return self.spark.read.parquet(f"{base}/v={versions[-1]:06d}")
         return self.spark.read.parquet(base)
@@ -69,15 +72,29 @@ class Warehouse:
     def write_snapshot(self, layer: str, name: str, df: DataFrame,
                        sort_within: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back."""
+        return self.write_at(self.path(layer, name), df, sort_within)
+
+    def write_at(self, base: str, df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:
         # skip past every version folder, also one left uncommitted by a failed write
-        base = self.path(layer, name)
         seen = [int(c[2:]) for c in self._children(base) if c.startswith("v=") and c[2:].isdigit()]
         nxt = (max(seen) + 1) if seen else 1
-        target = f"{self.path(layer, name)}/v={nxt:06d}"
+        target = f"{base}/v={nxt:06d}"
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
         out.write.mode("errorifexists").parquet(target)
         return self.spark.read.parquet(target)
 
+    def vacuum(self, retain: int = 2) -> None:
+        """Delete all but the newest ``retain`` committed versions of every snapshot table.
+
+        Call between runs: a frame that still reads an old version would fail.
+        """
+        for layer in LAYERS:
+            for name in self._children(f"{self.root}/{layer}"):
+                base = self.path(layer, name)
+                for v in self.versions_at(base)[:-retain]:
+                    old = f"{base}/v={v:06d}"
+                    self._fs(old).delete(self._Path(old), True)
+
     # ---- append-only logs -----------------------------------------------------------
     def append(self, layer: str, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(layer, name))
@@ -105,13 +122,13 @@ class Warehouse:
         return self.read(layer, name).count()
 
 
-_CACHE: dict[tuple[int, str], Warehouse] = {}
+_CACHE: dict[tuple[str, str], Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, key: str) -> Warehouse:
     """One warehouse per session and key (e.g. the sf_dir of a query run)."""
-    k = (id(spark), key)
+    k = (spark.sparkContext.applicationId, key)
     with _CACHE_LOCK:
         if k not in _CACHE:
             _CACHE[k] = Warehouse(spark)

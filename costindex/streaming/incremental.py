@@ -2,16 +2,15 @@
 
 New month folders dropped into the landing area are picked up by a file
 stream source (the stream's checkpoint remembers which files were seen, so
-it is the high-water mark), and each micro-batch replaces exactly the
-months it carries in the raw table (dynamic partition overwrite).  A
-re-played batch rewrites the same months with the same rows, so the sink is
+it is the high-water mark).  A micro-batch only tells which months have new
+files: all landing files of those months are read again and replace those
+months in the raw table (dynamic partition overwrite).  So a month may
+arrive in several files, batches and runs, and no row is lost; a re-played
+batch rewrites the same months with the same rows, so the sink is
 idempotent and the job is safe to restart after a failure.  Run it with the
 ``availableNow`` trigger for the monthly schedule (process what has
 arrived, then stop) or with a processing-time trigger to follow the
 landing area continuously.
-
-Each month is expected to arrive whole in one batch (a month is published
-as one file set); a month that is published again replaces the old one.
 """
 
 from __future__ import annotations
@@ -39,22 +38,27 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
     return reader.parquet(landing_dir)
 
 
-def run_incremental_stream(book: RunBook, source_name: str, stream: DataFrame,
-                           checkpoint_dir: str, at: datetime, available_now: bool = True):
+def run_incremental_stream(book: RunBook, source_name: str, landing_dir: str, schema: T.StructType,
+                           checkpoint_dir: str, at: datetime, available_now: bool = True,
+                           max_files_per_trigger: int | None = None):
     """Start the load; returns the streaming query (already finished with availableNow)."""
+    stream = landing_stream(book.spark, landing_dir, schema, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         months = sorted(r[0] for r in batch.select(PARTITION_COL).distinct().collect())
         if not months:  # the month list is bounded by the months in one batch
             return
-        book.wh.replace_partitions("raw", source_name, batch, PARTITION_COL)
+        whole = book.spark.read.schema(schema).option("basePath", landing_dir).parquet(
+            *[f"{landing_dir.rstrip('/')}/{PARTITION_COL}={m}" for m in months])
+        book.wh.replace_partitions("raw", source_name, whole, PARTITION_COL)
         table = book.wh.read_partitioned("raw", source_name)
         total = table.count()
         new_rows = table.where(F.col(PARTITION_COL).isin(months)).count()
         wm = book.watermark(source_name)
         last = max([months[-1]] + ([wm.last_max_date] if wm and wm.last_max_date else []))
         book.upsert_watermark(source_name, at, total, last)
-        book.log_run(source_name, at, "success", rows_loaded=total, new_rows=new_rows,
+        # one run row per batch: batches of one run share its time
+        book.log_run(f"{source_name}/{epoch_id}", at, "success", rows_loaded=total, new_rows=new_rows,
                      notes=f"batch {epoch_id}: {months[0]}..{months[-1]}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option(

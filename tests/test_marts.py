@@ -53,7 +53,7 @@ def test_data_tests_fire_on_corrupted_input(spark):
     assert quality.outside_range(t, "v", 0, 100).count() == 2
     assert quality.duplicate_keys(t.union(t), ["d"]).count() == 3
     assert quality.nulls_in(t, ["d"]).count() == 1
-    s = quality.summary("x", t, quality.positive(t, "v")).first()
+    s = quality.summary("x", t, quality.not_positive("v")).first()
     assert (s.rows_checked, s.failures) == (3, 1)
 
 

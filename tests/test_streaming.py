@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from costindex.sources import fixtures
 from costindex.sources.meta import RunBook
 from costindex.sources.tables import Warehouse
-from costindex.streaming.incremental import landing_stream, run_incremental_stream
+from costindex.streaming.incremental import run_incremental_stream
 
 from conftest import SF_SMALL
 
@@ -17,16 +17,28 @@ def test_stream_picks_up_only_new_months_and_matches_full_load(spark):
     landing = wh.path("landing", "p")
     ckpt = wh.path("state", "ckpt")
     prices.where("_month_partition < '1998-01'").write.partitionBy("_month_partition").parquet(landing)
-    run_incremental_stream(book, "p", landing_stream(spark, landing, prices.schema), ckpt,
-                           datetime(2026, 1, 1))
+    run_incremental_stream(book, "p", landing, prices.schema, ckpt, datetime(2026, 1, 1))
     first = wh.read_partitioned("raw", "p").count()
     prices.where("_month_partition >= '1998-01'").write.mode("append") \
         .partitionBy("_month_partition").parquet(landing)
-    run_incremental_stream(book, "p", landing_stream(spark, landing, prices.schema), ckpt,
-                           datetime(2026, 1, 2))
+    run_incremental_stream(book, "p", landing, prices.schema, ckpt, datetime(2026, 1, 2))
     raw = wh.read_partitioned("raw", "p")
     assert 0 < first < raw.count() == prices.count()
     assert raw.select("_month_partition", "price").exceptAll(
         prices.select("_month_partition", "price")).count() == 0
     assert book.watermark("p").last_max_date == prices.agg(F.max("_month_partition")).first()[0]
     assert book.runs().count() == 2
+
+
+def test_a_month_in_several_files_batches_and_runs_keeps_all_rows(spark):
+    wh = Warehouse(spark)
+    book = RunBook(wh)
+    landing, ckpt = wh.path("landing", "q"), wh.path("state", "q")
+    df = spark.createDataFrame([(k, 1.0 * k, f"2000-0{1 + k % 3}") for k in range(90)],
+                               "item_code int, price double, _month_partition string")
+    for drop in range(2):
+        part = df.where(F.pmod("item_code", F.lit(2)) == drop)
+        part.repartition(3).write.mode("append").partitionBy("_month_partition").parquet(landing)
+        run_incremental_stream(book, "q", landing, df.schema, ckpt, datetime(2026, 1, 1 + drop), max_files_per_trigger=1)
+    raw = wh.read_partitioned("raw", "q")
+    assert raw.count() == 90 and raw.agg(F.sum("price")).first()[0] == sum(range(90))
