@@ -36,6 +36,8 @@ MISSING_SOURCE = "cpi_national"       # its landing file is absent: logged as fa
 FIRST_AS_OF = date(2001, 1, 15)       # window 1999-01 .. 2000-12
 SECOND_AS_OF = date(2001, 12, 15)     # window 1999-12 .. 2001-11
 REPLACED_MONTH = "2001-06"
+FAILURE_MONTHS = ["2001-01", "2001-02", "2001-03", "2001-04"]
+DRIFTED_MONTH, UNREADABLE_MONTH = "2001-02", "2001-03"
 SPLIT_FILES = 40                      # files a micro-batch in the split load
 
 
@@ -174,6 +176,42 @@ select date '2026-02-03', 'pricecatcher_prices', 'skipped', 0, 0, 'No new months
                       ["fx_prices"])
 
 
+@query("src_month_failure")
+def _src_month_failure(i: Inputs) -> DataFrame:
+    """Four months, one with text prices and one unreadable: only the unreadable one is skipped."""
+    from costindex.sources.registry import PRICES
+    book = _fresh(i)
+    prices = i.fx("fx_prices").select("date", F.col("premise_code").cast("long").alias("premise_code"),
+                                      F.col("item_code").cast("long").alias("item_code"), "price", "_month_partition")
+    landing = book.wh.path("landing", "failing_prices")
+    for month in FAILURE_MONTHS:
+        rows = prices.where(F.col("_month_partition") == month).drop("_month_partition")
+        if month == DRIFTED_MONTH:
+            rows = rows.withColumn("price", F.col("price").cast("string"))
+        path = f"{landing}/{month}.parquet"
+        if month == UNREADABLE_MONTH:
+            rows.select(F.lit("no parquet").alias("value")).write.text(path)
+        else:
+            rows.write.parquet(path)
+    source = monthly_parquet("prices", landing + "/{month}.parquet", FAILURE_MONTHS, schema=PRICES)
+    loader.load_monthly(book, source, AT)
+    raw = book.wh.read_partitioned("raw", "prices")
+    per_month = raw.groupBy(F.col("_month_partition").alias("item")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"))
+    run = book.runs().select(
+        F.concat_ws(" ", "status", "notes").alias("item"), F.col("rows_loaded").alias("n"),
+        F.col("error_message").startswith(f"{UNREADABLE_MONTH}: ").cast("long").alias("cents"))
+    return per_month.unionByName(run)
+
+
+_GOOD_MONTHS = "_month_partition in ('2001-01', '2001-02', '2001-04')"
+oracle.register_final("src_month_failure", f"""
+select _month_partition as item, count(*) as n, sum(round(price * 100)::bigint)::bigint as cents
+from fx_prices where {_GOOD_MONTHS} group by 1
+union all
+select 'success Loaded up to 2001-04', count(*), 1 from fx_prices where {_GOOD_MONTHS}""", ["fx_prices"])
+
+
 @query("src_partition_replace")
 def _src_partition_replace(i: Inputs) -> DataFrame:
     """Re-load one month twice (idempotent), then replace it with its positive rows only."""

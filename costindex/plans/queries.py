@@ -26,6 +26,7 @@ RUN_TS = "2026-02-01 06:00:00"
 PREV_TS = "2026-01-01 06:00:00"
 RUN_DATE = "2026-02-01"
 AS_OF_YEAR = 1998
+HOT_BOUND = 200  # distinct values a task ranks, in the query that forces buckets
 
 
 def ts(text: str):
@@ -375,6 +376,31 @@ def _dq_unique(i: Inputs) -> DataFrame:
             .unionByName(quality.unique_summary("income_one_current", cur, ["geography"])))
 
 
+@query("agg_quantiles_hot")
+def _agg_quantiles_hot(i: Inputs) -> DataFrame:
+    """Quartiles with a small bound, so that every category is split into value buckets."""
+    from costindex.functions import round_half_away as r2
+    from costindex.operators.quantiles import exact_quantiles
+    q = exact_quantiles(i.stg_prices, ["item_category"], "price",
+                        {"p25": 0.25, "p50": 0.5, "p75": 0.75}, max_values_per_task=HOT_BOUND)
+    return q.select("item_category", *[r2(F.col(c), 2).alias(c) for c in ("p25", "p50", "p75")])
+
+
+@query("cdc_value_repeated")
+def _cdc_value_repeated(i: Inputs) -> DataFrame:
+    """Text prices, one row per order: keys repeat in file order, some are NaN or no number."""
+    from costindex.plans.pipeline import FUEL_HISTORY
+    o = fx.table(i.spark, i.sf_dir, "orders")
+    k = F.col("o_orderkey")
+    raw = o.select(
+        F.to_date(F.date_trunc("week", "o_orderdate")).alias("date"),
+        F.when(k % 13 == 0, "n/a").when(k % 17 == 0, "NaN")
+         .otherwise(F.col("o_totalprice").cast("string")).alias("ron95"),
+        F.lit("orders").alias("_file"), k.alias("_row"))
+    empty = i.spark.createDataFrame([], FUEL_HISTORY)
+    return capture.capture_fuel(raw, empty, ts(RUN_TS)).events
+
+
 @query("dq_dirty_input")
 def _dq_dirty_input(i: Inputs) -> DataFrame:
     """The data tests on unclean inputs (raw prices, premises and GDP rows): they find violations."""

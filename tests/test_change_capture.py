@@ -99,3 +99,27 @@ def test_heal_nulls_option(spark):
     _, healed = scd2_apply(s, empty_dim(spark), run_date(), heal_nulls=True)
     assert strict.count() == 1
     assert [r.change_type for r in healed.orderBy("_seq").collect()] == ["INSERT", "UPDATE"]
+
+
+def test_repeated_keys_follow_file_order_and_nan_is_no_value(spark):
+    from costindex.plans import capture
+    from costindex.plans.pipeline import FUEL_HISTORY
+    from costindex.sources.tables import Warehouse
+    wh = Warehouse(spark)
+    nan = float("nan")
+    raw = wh.write_snapshot("raw", "fuel", spark.createDataFrame(
+        [("level", "2024-01-01", 3.0), ("level", "2024-01-01", 2.0), ("level", "2024-01-08", nan)],
+        "series_type string, date string, ron95 double").coalesce(1))
+    keep = lambda name, df: wh.write_snapshot("warehouse", name, df)
+    from pyspark.sql import functions as F
+    stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    got = capture.capture_fuel(raw, spark.createDataFrame([], FUEL_HISTORY), stamp, keep)
+    assert sorted((e.change_type, e.old_value, e.new_value) for e in got.events.collect()) == [("INSERT", None, "3.0"), ("UPDATE", "3.0", "2.0")]
+    assert [r.price for r in got.table.collect()] == [2.0]
+
+
+def test_null_numeric_keys_are_one_key(spark):
+    from costindex.operators.fold import deadband_fold
+    rows = spark.createDataFrame([(None, 1, 1.0), (None, 2, 5.0), (7, 1, 1.0)], "k int, t int, v double")
+    got = deadband_fold(rows, ["k"], ["t"], "v", 0.5).collect()
+    assert sorted((r.k is None, r.change_type) for r in got) == [(False, "INSERT"), (True, "INSERT"), (True, "UPDATE")]

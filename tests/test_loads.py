@@ -86,3 +86,71 @@ def test_failed_snapshot_write_is_ignored_and_retried(spark):
     assert [r.x for r in wh.read("warehouse", "t").collect()] == [1]
     wh.write_snapshot("warehouse", "t", spark.createDataFrame([(2,)], "x int"))
     assert [r.x for r in wh.read("warehouse", "t").collect()] == [2]
+
+
+def test_subset_of_sources_and_unknown_kinds(spark, capsys):
+    from costindex.sources.registry import STATIC, Source
+    book = RunBook(Warehouse(spark))
+    sources = {"a": Source("a", STATIC, reader=lambda: spark.range(3)),
+               "b": Source("b", STATIC, reader=lambda: spark.range(4)),
+               "c": Source("c", "web page")}
+    assert loader.run_all(book, sources, datetime(2026, 1, 1), only=["b", "c"]) == {"b": "success"}
+    assert "unknown source type" in capsys.readouterr().err
+    assert not book.wh.has_table("raw", "a") and book.wh.row_count("raw", "b") == 4
+
+
+def test_whole_error_text_is_kept(spark):
+    from costindex.sources.registry import STATIC, Source
+    text = "first line\n" + "x" * 2000
+
+    def broken():
+        raise ValueError(text)
+
+    book = RunBook(Warehouse(spark))
+    assert loader.load_static(book, Source("a", STATIC, reader=broken), datetime(2026, 1, 1)) == "failed"
+    assert book.runs().first().error_message == text
+
+
+def test_events_survive_a_crash_before_the_histories_and_are_not_doubled(spark, monkeypatch):
+    from costindex.plans import pipeline
+    wh = Warehouse(spark)
+    wh.write_snapshot("raw", "gdp_quarterly", spark.createDataFrame(
+        [("2024-01-01", "x", 1.0), ("2024-04-01", "x", 2.0)], "date string, series string, value double"))
+    book, at = RunBook(wh), datetime(2026, 1, 1)
+    real = wh.write_snapshot
+
+    def dies(layer, name, df, sort_within=None):
+        if name == "gdp_quarterly" and layer == "warehouse":
+            raise OSError("lost")
+        return real(layer, name, df, sort_within)
+
+    monkeypatch.setattr(wh, "write_snapshot", dies)
+    try:
+        pipeline.run_cdc(book, at)
+        raise AssertionError("no crash")
+    except OSError:
+        pass
+    assert book.changes().count() == 2 and not wh.has_table("warehouse", "gdp_quarterly")
+    monkeypatch.setattr(wh, "write_snapshot", real)
+    assert pipeline.run_cdc(book, at).count() == 2
+    assert book.changes().count() == 2 and wh.read("warehouse", "gdp_quarterly").count() == 2
+    assert pipeline.run_cdc(book, datetime(2026, 1, 2)).count() == 0
+
+
+def test_state_export_keeps_the_version_before(spark):
+    wh = Warehouse(spark)
+    sd = wh.path("state", "v")
+    for n in (1, 2, 3):
+        wh.write_snapshot("warehouse", "gdp_quarterly", spark.range(n).selectExpr("cast(id as string) quarter"))
+        state.export_state(wh, sd)
+    target = f"{sd}/warehouse.gdp_quarterly.parquet"
+    assert wh.versions_at(target) == [1, 2, 3] and wh.read_at(target).count() == 3
+    wh.vacuum(retain=1)
+    assert wh.versions_at(wh.path("warehouse", "gdp_quarterly")) == [3]
+
+
+def test_marts_are_sorted_within_their_files(spark):
+    wh = Warehouse(spark)
+    df = spark.range(1000).selectExpr("id * 7919 % 1000 as month").repartition(3)
+    out = wh.write_snapshot("marts", "m", df, sort_within=["month"])
+    assert out.rdd.glom().map(lambda rows: [r.month for r in rows] == sorted(r.month for r in rows)).reduce(lambda a, b: a and b)
