@@ -31,7 +31,7 @@ from costindex.llm.common import WordCache, text_or_empty
 from costindex.session import shared_root
 
 LIMIT = 4096
-CACHE = 400_000
+CACHE = 250_000
 SPACE = "▁"
 COUNTS = "content_digest string, tokenizer_digest string, n_tokens long"
 
