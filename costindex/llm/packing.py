@@ -32,15 +32,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from costindex.llm.common import number_rows, partitions, stage
+from costindex.llm.bpe import byte_alphabet
+from costindex.llm.common import WordCache, number_rows, partitions, stage
 
 SEQUENCE = 4096
 END_ID = 2
 FILL = 16
 #: Length classes: steps of FINE up to FINE_TO, of COARSE beyond.
 FINE, FINE_TO, COARSE = 8, 256, 32
-#: Entries in each of a worker's two caches of encoded words.
-CACHE = 400_000
+#: Words in each generation of a worker's caches.
+CACHE = 120_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -50,46 +51,47 @@ def class_sizes() -> list[int]:
 
 # ---- encoding -------------------------------------------------------------------
 
-class WordIds(dict):
-    """Text between white space (bytes) -> its ids as little-endian unsigned 32-bit.
+class WordIds:
+    """Ids of texts as little-endian unsigned 32-bit, word by word.
 
     The tokenizer drops white space and splits there first, so a text's ids are
-    its words' ids in order.  Words of ASCII letters with punctuation behind are
-    looked up in two parts, as the tokenizer splits them so too.
+    its words' ids in order.  A word of letters up to U+00FF with punctuation
+    behind is looked up in two parts, as the tokenizer splits it there too, and
+    its letters go to the model directly: there lower-casing is all that the
+    normaliser does.  Any other word goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[bytes, bytes] = {}
-        self.plain = re.compile(rb"([A-Za-z]+)([.,!?;:#$%&*]*)")
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
+        self.model = self.tokenizer.model
+        # U+00C0 to U+00FF without the two signs among them, in UTF-8
+        self.plain = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,!?;:#$%&*]*)")
+        shown = {b: c for c, b in byte_alphabet().items()}
+        self.shown = [shown[b] for b in range(256)]
+        self.words = WordCache(self._word, limit)
+        self.letters = WordCache(self._letters, limit)
+        self.others = WordCache(self._encode, limit // 10)
+
+    def _word(self, word: bytes) -> bytes:
         m = self.plain.fullmatch(word)
-        ids = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"") if m else self._encode(word)
-        if len(word) < 200:
-            self[word] = ids
-        return ids
-
-    def _part(self, part: bytes) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) >= CACHE:
-                self.parts.clear()
-            ids = self._encode(part)
-            if len(part) < 200:
-                self.parts[part] = ids
-        return ids
+        if not m:
+            return self._encode(word)
+        ids = self.letters[m[1].decode("utf-8").lower()]
+        return ids + self.others[m[2]] if m[2] else ids
+
+    def _letters(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = "".join(map(self.shown.__getitem__, letters.encode("utf-8")))
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
 
     def _encode(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8").split()))
+        return b"".join(map(self.words.__getitem__, text.encode("utf-8").split()))
 
 
 _WORDS: dict[str, WordIds] = {}
