@@ -345,10 +345,11 @@ def with_ids(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids
 def with_decoded(ids: DataFrame, path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """Add the text that the ids decode to (null ids: empty)."""
     schema = ids.select("*", F.lit(None).cast("string").alias(out)).schema
+    at = ids.columns.index(ids_col)
 
     def run(batches):
         for b in batches:
-            texts = [model(path).decode(i or []) for i in b.column(ids.columns.index(ids_col)).to_pylist()]
+            texts = [model(path).decode(i or []) for i in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
 
     return ids.mapInArrow(run, schema)
