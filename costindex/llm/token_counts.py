@@ -27,7 +27,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from costindex.llm.common import WordCache, text_or_empty
+from costindex.llm.common import WordCache, stage, text_or_empty
 from costindex.session import shared_root
 
 LIMIT = 4096
@@ -127,5 +127,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
         _stored(spark, cache_path, version).select("content_digest"), "content_digest", "left_anti")
     _encode(unknown.dropDuplicates(["content_digest"]), tokenizer_path, version).write.mode("append").parquet(cache_path)
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), digest)
-    return (keyed.join(_stored(spark, cache_path, version), "content_digest", "left")
+    # stored once more without the aggregation, so that the join can split a digest with very many rows
+    counts = stage(_stored(spark, cache_path, version), "token-counts")
+    return (keyed.join(counts, "content_digest", "left")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
