@@ -36,10 +36,21 @@ def _window_partitions(plan: str) -> list[str]:
 
 
 def test_score_has_no_single_partition_window(spark):
+    from costindex.plans import marts
+    from costindex.sources.fixtures import FIXTURE_FOOD_CATEGORIES
     i = Inputs(spark, SF_SMALL)
-    parts = _window_partitions(_plan(i.score)) + _window_partitions(_plan(i.fuel_timeline))
+    # the frames before they are stored: the score itself reads stored tables
+    signals = marts.combined_signals(i.price_summary, marts.fuel_timeline(i.stg_fuel), i.stg_cpi,
+                                     i.stg_transport, i.stg_vehicles, FIXTURE_FOOD_CATEGORIES)
+    parts = _window_partitions(_plan(signals))
     assert parts, "expected the quantile and lag windows"
     assert "[]" not in parts
+    assert "[]" not in _window_partitions(_plan(i.score))
+
+
+def test_score_reads_the_stored_signals_only(spark):
+    plan = Inputs(spark, SF_SMALL).score._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_extendedprice" not in plan and "o_totalprice" not in plan
 
 
 def test_price_summary_reads_the_fact_once(spark):
