@@ -232,3 +232,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     return (rows.join(result, on, "left")
             .select("vec_id", F.coalesce("rep_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+
+
+LINKS_SQL = f"""
+with recursive v as (
+  select row_number() over () as k, vec_id, label, embedding::double[] as e,
+    label is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0 as fine
+  from embeddings),
+pairs as (
+  select a.k as a, b.k as b from v a join v b on a.label = b.label and a.k <> b.k
+  where a.fine and b.fine and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+reached(k, id) as (select k, vec_id from v union select p.b, r.id from reached r join pairs p on p.a = r.k),
+least as (select k, min(id) as component_id from reached group by k),
+counted as (select a as k, count(*) as n from pairs group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id is not distinct from component_id as kept
+from v join least using (k) left join counted using (k)"""

@@ -87,6 +87,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def sql_all() -> dict[str, str]:
     return {
+        "op1_embedding_near_dedup": embedding_dedup.LINKS_SQL,
         "op4_quality_rules": quality_rules.verdict_sql_query(),
         "op8_warc": warc.ROUND_TRIP_SQL,
         "op9_chat_formatting": chat.CHAT_SQL,
