@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # join stays a shuffle join (AQE may still switch it at run time from the
 # measured size).
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+# A scan's estimate is its compressed file size; rows in memory may be this many times larger.
+COMPRESSION = 8
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -21,33 +23,39 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def _row_bytes(df: DataFrame) -> int:
-    """Bytes per row for the broadcast bound: fixed widths, strings counted generously."""
-    fixed = {"byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "boolean": 1}
-    width = 16
-    for f in df.schema.fields:
-        name = f.dataType.typeName()
-        width += 64 if name in ("string", "binary") else fixed.get(name, 8)
-    return width
+def _fixed_row_bytes(df: DataFrame) -> int:
+    """Bytes per row without the content of strings."""
+    return 16 + 8 * len(df.schema.fields)
+
+
+def measured_bytes(df: DataFrame, max_bytes: int) -> int | None:
+    """Size of the rows in memory (fixed widths plus the strings' lengths), None when above ``max_bytes``.
+
+    At most as many rows as fit under the limit are read, which bounds the check's own cost.
+    """
+    limit_rows = max_bytes // _fixed_row_bytes(df)
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+               if f.dataType.typeName() in ("string", "binary")]
+    content = F.sum(sum(strings, F.lit(0)).cast("long")) if strings else F.lit(0).cast("long")
+    rows, text = df.limit(limit_rows + 1).agg(F.count(F.lit(1)), content).first()
+    size = rows * _fixed_row_bytes(df) + (text or 0)
+    return size if rows <= limit_rows and size <= max_bytes else None
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                        verify_rows: bool = False) -> DataFrame:
     """Hint a broadcast only behind a size check; otherwise leave a shuffle join.
 
-    The plan estimate (no job) decides first.  Estimates of joined or
-    aggregated plans are loose upper bounds, so with ``verify_rows`` a
-    dimension that looks too big is counted (one job over the dimension
-    only) and broadcast when rows x row width fits under ``max_bytes``.
+    The plan estimate (no job) decides first, allowing for compression.
+    Estimates of joined or aggregated plans are loose upper bounds, so with
+    ``verify_rows`` a dimension that looks too big is measured (one job over
+    the dimension only) and broadcast when it fits under ``max_bytes``.
     """
     size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
+    if size is not None and size <= max_bytes // COMPRESSION:
+        return F.broadcast(df)
+    if verify_rows and measured_bytes(df, max_bytes) is not None:
         return F.broadcast(df)
-    if verify_rows:
-        limit_rows = max_bytes // _row_bytes(df)
-        # counting at most limit_rows + 1 rows bounds the check's own cost
-        if df.limit(limit_rows + 1).count() <= limit_rows:
-            return F.broadcast(df)
     return df
 
 
