@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -41,7 +42,7 @@ FILL = 16
 #: Length classes: steps of FINE up to FINE_TO, of COARSE beyond.
 FINE, FINE_TO, COARSE = 8, 256, 32
 #: Words in each generation of a worker's caches.
-CACHE = 120_000
+CACHE = 160_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -51,6 +52,10 @@ def class_sizes() -> list[int]:
 
 # ---- encoding -------------------------------------------------------------------
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit, word by word.
 
@@ -84,11 +89,11 @@ class WordIds:
     def _letters(self, letters: str) -> bytes:
         if not letters.isascii():
             letters = "".join(map(self.shown.__getitem__, letters.encode("utf-8")))
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        return _packed([t.id for t in self.model.tokenize(letters)])
 
     def _encode(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return _packed(ids)
 
     def text(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.encode("utf-8").split()))
