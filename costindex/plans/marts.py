@@ -41,11 +41,6 @@ def price_summary(stg_prices: DataFrame) -> DataFrame:
     return stats.withColumn("mom_pct_change", pct_change("median_price", "prev_median_price", 2))
 
 
-def price_summary_ordered(stg_prices: DataFrame) -> DataFrame:
-    return price_summary(stg_prices).orderBy(
-        F.col("month").desc(), F.col("state"), F.col("item_category"))
-
-
 def fuel_timeline(stg_fuel: DataFrame) -> DataFrame:
     """Each fuel price with the previous one, the change, its direction and percent."""
     # bucketed by month: a fuel type with a very long history is not ranked in one task
