@@ -43,7 +43,7 @@ TARGET_RECALL = 1.0
 #: Vectors that the codebooks are fitted on (those with the least hashes).
 SAMPLE = 8192
 #: Wished vectors per cell and label, and most centroids per half.
-PER_CELL, MOST_CENTROIDS = 32, 256
+PER_CELL, MOST_CENTROIDS = 256, 256
 #: Most vectors of one side in a task.
 CHUNK = 512
 
