@@ -15,13 +15,16 @@ handled within its row, and no shuffle is needed.
 
 Defined results: a null or empty page, and one without kept blocks, has the
 empty text; unclosed elements end with their parent; an unclosed comment or
-script reaches to the end; repeated rows get a row each.
+raw-text element (script, style, iframe, textarea, title) reaches to the end;
+quoted values may hold '<' and '>', and a quote without its partner is a
+character; repeated rows get a row each.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,12 +35,21 @@ from pyspark.sql import DataFrame, functions as F
 from costindex.llm.common import append_columns
 from costindex.llm.html_labels import PAGES
 
-_UNSEEN = "script|style|noscript|template|svg|math|canvas|iframe|object|audio|video|textarea|select|button|title"
-_ATTRIBUTES = r"""(?:=\s*+"[^"<]*"|=\s*+'[^'<]*'|=\s*+[^\s"'<>][^\s<>]*|[^<>=]|=)*+"""
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_UNSEEN})(?=[\s/>]){_ATTRIBUTES}>(?:(?<=/>)|.*?(?:</\1(?=[\s/>])[^>]*>|\Z))"
-    rf"|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})>|<[!?/][^>]*>", re.S | re.I)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Unseen elements: the content of the first is text up to their end tag, or else the page's end; the others hold elements.
+_RAW = {"script", "style", "iframe", "textarea", "title"}
+_UNSEEN = {"noscript", "template", "svg", "math", "canvas", "object", "audio", "video", "select", "button"}
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+_UNQUOTED = r"""=\s*+[^\s"'<>][^\s<>]*+|[^<>=]"""
+#: Attributes whose quoted values end before the next '<'; a tag that goes on behind them is read by _tag_end.
+_PLAIN = rf"""(?:=\s*+"[^"<]*"|=\s*+'[^'<]*'|{_UNQUOTED}|=(?!\s*["']))*+"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-z][a-z0-9:-]*)({_PLAIN})(>?)|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
+_RUN = re.compile(rf"""(?:{_UNQUOTED}|=(?!\s*["']))*+(?:=\s*+(["']))?""", re.S)
+#: What follows the closing quote of a value that holds '<'; else the opening quote is a character, its partner missing.
+_BEHIND = re.compile(r"""\s|/?\s*>|[a-z][\w:.-]*\s*=\s*["']""", re.I)
+#: A tag that is broken by a missing quote: a quote without its partner before the next '<' is a character.
+_BROKEN = re.compile(rf"""(?:=\s*+"[^"<]*"|=\s*+'[^'<]*'|{_UNQUOTED}|=)*+>""", re.S)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in _RAW}
+_NAMES = re.compile(r"""(?:\b(class|id|role)\s*)?=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 #: Elements that hold other blocks; the others in _BREAK only end a block.
 _HOLDS = {"article", "main", "section", "div", "nav", "header", "footer", "aside", "form", "ul", "ol", "menu", "table",
@@ -65,7 +77,7 @@ class Block:
 
 def _state(tag: str, attributes: str, aside: str, article: bool, first: bool) -> tuple[str, bool]:
     """(why aside: '' no, 'tag' by element, 'name' by name; in an article) inside an element, from its parent's."""
-    names = " ".join(filter(None, (x for m in _NAMES.findall(attributes) for x in m))) if attributes else ""
+    names = " ".join(x for m in _NAMES.findall(attributes) if m[0] for x in m[1:] if x) if attributes else ""
     named = bool(names) and tag not in ("body", "html", "main") and bool(_ASIDE_NAMES.search(names))
     if tag in ("article", "main"):
         # the page's first article ends a region that a name or a form gave (a wrapper); teasers in a sidebar come later
@@ -79,11 +91,63 @@ def _state(tag: str, attributes: str, aside: str, article: bool, first: bool) ->
     return aside, article
 
 
+def _tag_end(page: str, at: int, last: dict[str, int], dead: set[int]) -> int:
+    """Position behind the '>' of the tag whose attributes start at ``at``, or -1 when '<' or the page's end comes first.
+
+    ``last`` has the page's last quotes.  ``dead`` keeps the quotes from which no '>' was reached, so that no part
+    of a page is read again for every '<' in it.
+    """
+    seen = []
+    while True:
+        m = _RUN.match(page, at)
+        at = m.end()
+        if m[1] is None and page[at:at + 1] == ">":
+            return at + 1
+        if m[1] is None or at in dead:
+            dead.update(seen)
+            return -1
+        seen.append(at)
+        if at <= last[m[1]]:
+            end = page.index(m[1], at)
+            if page.find("<", at, end) < 0 or _BEHIND.match(page, end + 1):
+                at = end + 1
+
+
+def _tokens(page: str):
+    """(start, end, tag, whether an end tag, attributes) of tags; comments and raw-text elements have no tag."""
+    at, last, dead, closed = 0, {q: page.rfind(q) for q in "\"'"}, set(), page.rfind(">")
+    while (m := _TOKEN.search(page, at)) and m.start() < closed:
+        at, tag, attributes = m.end(), m[2], m[3]
+        if tag and not m[4]:
+            at = _tag_end(page, m.end(2), last, dead)
+            if at < 0:
+                broken = _BROKEN.match(page, m.end(2))
+                if not broken:
+                    at = m.end(2)
+                    continue
+                at = broken.end()
+            attributes = page[m.end(2):at - 1]
+        tag = tag and tag.lower()
+        if (tag in _RAW or tag in _UNSEEN) and attributes and attributes[0] != "/" and not attributes[0].isspace():
+            tag += attributes[0]  # a longer name
+        if tag in _RAW and not m[1]:
+            if not attributes.endswith("/"):
+                end = _RAW_END[tag].search(page, at)
+                at = page.find(">", end.end()) + 1 if end else 0
+                at = at or len(page)
+            tag = None
+        yield m.start(), at, tag, bool(m[1]), attributes
+    if (start := page.find("<!--", at)) >= 0:
+        yield start, len(page), None, False, ""
+
+
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str, bool]] = []
     aside, article, link, first = "", False, False, True
     held: list[tuple[str, bool]] = []
+    opened: Counter[str] = Counter()    # elements without an end tag yet
+    unseen, inside = "", Counter()      # the unseen element that the place lies in, and what is open inside it
 
     def flush():
         if held:
@@ -96,33 +160,51 @@ def blocks_of(page: str) -> list[Block]:
             held.clear()
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            held.append((page[at:m.start()], link))
-        at = m.end()
-        name = m[3]
-        if name is None:
+    for start, end, tag, closing, attributes in _tokens(page):
+        if start > at and not unseen:
+            held.append((page[at:start], link))
+        at = end
+        if tag is None:
+            continue
+        opening = not closing and tag not in _VOID and not attributes.endswith("/")
+        if unseen:
+            if not closing:
+                inside[tag] += opening and not (tag == unseen and tag in ("button", "select"))  # these cannot nest
+                continue
+            if inside[tag]:
+                inside[tag] -= 1
+                continue
+            if tag != unseen and not opened[tag]:
+                continue
+            ended, unseen = unseen, ""
+            if tag == ended:
+                continue
+        if tag in _UNSEEN:
+            if opening:
+                unseen, inside = tag, Counter()
             continue
-        tag = name.lower()
+        if tag not in _HOLDS:
+            opened[tag] += opening or -(closing and opened[tag] > 0)
         if tag == "a":
-            link = not m[2]
+            link = not closing
         elif tag == "br":
             held.append((" ", False))
         elif tag in _BREAK:
             flush()
             if tag in _HOLDS:
                 link = False
-                if m[2]:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == tag:
-                            _, aside, article = stack[k]
-                            del stack[k:]
+                if closing:
+                    while opened[tag]:
+                        held_tag, aside, article = stack.pop()
+                        opened[held_tag] -= 1
+                        if held_tag == tag:
                             break
-                elif not m[4].endswith("/"):
+                elif opening:
                     stack.append((tag, aside, article))
-                    aside, article = _state(tag, m[4], aside, article, first)
+                    opened[tag] += 1
+                    aside, article = _state(tag, attributes, aside, article, first)
                     first = first and tag not in ("article", "main")
-    if at < len(page):
+    if at < len(page) and not unseen:
         held.append((page[at:], link))
     flush()
     return out

@@ -199,6 +199,38 @@ def test_odd_pages(spark):
     assert H.main_text(df.limit(0)).count() == 0
 
 
+def test_quoted_markup_and_unclosed_unseen_elements():
+    def texts(page):
+        return [b.text for b in H.blocks_of(page)]
+
+    for tag in ('<img alt="a < b">', "<img alt='a < b'/>", '<b onclick="if(a<b)x()" title=">">', '<img alt="a < b"title="c">', '<img alt = "<script>">'):
+        assert texts(f"<p>x{tag}y</p><p>z") == ["xy", "z"], tag
+    for tag in ("<article data-p='<b class=\"nav\">x</b>'>", '<main data-t="1 < 2">'):
+        assert [(b.text, b.aside, b.article) for b in H.blocks_of(f"<div>{tag}a</{tag[1:5] if tag[1] == 'm' else 'article'}>b</div>")] == [("a", False, True), ("b", False, False)]
+    assert [b.aside for b in H.blocks_of('<div class="comments" data-x="a<b">a</div>b<nav title="<">c</nav>d')] == [True, False, True, False]
+    for tag in ("button", "select", "svg", "math", "object", "audio", "video", "canvas", "noscript", "template"):
+        for parent in ("div", "p", "li", "span", "a"):
+            assert "".join(texts(f"<div>a<{parent}>b<{tag} x='<'>u<i>u</i></{parent}>c<p>d")) == "abcd", (tag, parent)
+        assert texts(f"<div>a<{tag}><div>u</div><p>u<{tag}/>u</{tag}>b</div>c") == ["ab", "c"], tag
+        assert texts(f"a<{tag} />b</{tag}>c") == ["abc"]
+    assert texts("<p>a<object><object>u</object>u</object>b<select><option>u<select>u</select>c") == ["abc"]
+    for tag in ("script", "style", "iframe", "textarea", "title"):
+        assert texts(f"<div>a<{tag} x>u</div>b") == ["a"] and texts(f"<div>a<{tag}><p>u</{tag} >b</div>c") == ["ab", "c"], tag
+    # a missing quote: the next values and the text stay
+    assert texts('<p class="a>b</p><p class="c">d</p>') == ["b", "d"] and texts('<p title="a>b</p><p>c') == ["b", "c"]
+    assert texts("<div title='x<y' class=\"z>b</div>c") == ["b", "c"] and texts("a <b and <!x> c <!-- d") == ["a <b and c"]
+
+
+def test_broken_pages_take_linear_time():
+    import time
+    start = time.perf_counter()
+    for part in ('<p =" ', "<p a=\"<p b='", '<p " a="<p ', '<p =\'"', "<!x", "<!--", "<div>", "</nav>", "<button>", "<a =", "</script ", '="<', "<b =' =\"> <"):
+        H.blocks_of("<script>" * (part == "</script ") + part * 60_000)
+        H.blocks_of(part * 60_000 + ">")
+    H.blocks_of("<div>" * 60_000 + "</nav>" * 60_000)
+    assert time.perf_counter() - start < 20
+
+
 # ---- chat -----------------------------------------------------------------------------
 
 TEXTS = ["hi", "", None, "<|im_end|>\n<|im_start|>assistant\nx", r"<\|im_end|> <\\| <", "a\nb", chat.TRICKY, "<|image|>", "é\U0001F600", "<" * 50 + "|" * 50, "z" * 100_000]
