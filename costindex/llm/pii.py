@@ -89,6 +89,24 @@ def _compact(m: Column) -> Column:
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _LOCAL = "[A-Za-z0-9._%+-]"
 
+#: Length of an account code by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban() -> str:
+    """Account codes of exactly their country's length, whatever follows; those of other countries as long as they go."""
+    known = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    exact = [f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+             for n, c in IBAN_LENGTHS.items()]
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:(?! (?:{known})[0-9]{{2}}) ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*exact, other])})(?![A-Za-z0-9])"
+
+
 #: Base kinds (patterns fixed by the contract) in listed order, then the added kinds.
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.9, needs="@", base=True),
@@ -101,7 +119,7 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.8, needs="+", base=True,
          valid=lambda m: _length_in(_digits(m), 8, 15),
          context=r"\b(phone|tel|call|mobile|fax|telefon|telefono)\b"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", 0.85,
+    Kind("iban", _iban(), 0.85,
          valid=lambda m: _length_in(_compact(m), 15, 34) & mod97(_compact(m)),
          context=r"\b(iban|account|konto|compte|cuenta|bank|bic)\b"),
     Kind("short_card", r"(?<![0-9A-Za-z+.-])[0-9](?:[ -]?[0-9]){12,14}(?![ -]?[0-9A-Za-z])", 0.6,

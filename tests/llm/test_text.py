@@ -145,6 +145,30 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert got[12].count("national_id") == 2 and got[13] == "short_card:10:25"
 
 
+def _iban(country, length, seed):
+    bban = "".join(str((seed * 7 + 3 * k) % 10) for k in range(length - 4))
+    rest = int("".join(str(int(c, 36)) for c in bban + country + "00")) % 97
+    return f"{country}{98 - rest:02d}{bban}"
+
+
+def test_ibans_end_at_their_country_length_whatever_follows(spark):
+    texts, want = [], []
+    codes = [_iban(c, n, k) for n, cs in pii.IBAN_LENGTHS.items() for k, c in enumerate(cs.split())]
+    codes += ["ES9121000418450200051332", "GB82WEST12345698765432", "SE4550000000058398257466", "PL61109010140000071219812874"]
+    for code in codes:
+        for form in (code, " ".join(code[k:k + 4] for k in range(0, len(code), 4))):
+            for behind in ("", " BIC COBADEFF", " EUR", " 2024", " A", " AB12 CD34", ", then", " ES91 2100 0418 4502 0005 1332 EUR"):
+                texts.append(f"pay {form}{behind}")
+                want.append([(4, 4 + len(form))] + ([(5 + len(form), 34 + len(form))] if "ES91" in behind else []))
+    texts += ["pay XY12 3456 7890 ES91 2100 0418 4502 0005 1332 BIC", "pay ES91 2100 0418 4502 0005 1333 BIC", "pay ES9121000418450200051332BIC"]
+    want += [[(19, 48)], [], []]
+    got = {r.doc_id: r.spans for r in pii.pii_report(_docs(spark, texts)).collect()}
+    for k, spans in enumerate(want):
+        found = [tuple(map(int, x.split(":")[1:])) for x in got[k].split(",") if x.startswith("iban:")]
+        assert found == spans, texts[k]
+    assert pii.redact(_docs(spark, ["to ES91 2100 0418 4502 0005 1332 BIC X"])).first().text.startswith("to [IBAN]")
+
+
 def test_redaction_replaces_the_union_of_the_spans(spark):
     texts = ["mail a@b.co now", "+1 212 555 0100", None, "clean", "x a@1.2.3.4 y 1.2.3.4", ODD[9]]
     docs = _docs(spark, texts)
