@@ -197,8 +197,16 @@ def _links(placed: DataFrame, kind: np.dtype, threshold: float, chunk: int) -> D
     return tasks.groupBy(*cell, "a", "b").applyInArrow(compare, "node long, links long, root long")
 
 
+def centroids(total: float | None, squares: float | None, per_cell: int) -> int:
+    """Centroids per half, from the sums of the labels' sizes and of their squares.
+
+    The label of the mean vector has squares / total vectors: many tiny labels do not hide a large one.
+    """
+    return int(np.clip(np.ceil(np.sqrt((squares or 0) / (total or 1) / per_cell)), 1, MOST_CENTROIDS))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, id_col: str = "vec_id",
-                    vector_col: str = "embedding", label_col: str = "label", sample: int = SAMPLE, chunk: int = CHUNK) -> DataFrame:
+                    vector_col: str = "embedding", label_col: str = "label", sample: int = SAMPLE, chunk: int = CHUNK, per_cell: int = PER_CELL) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.  Labels are integers."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"), F.col(label_col).alias("label"))
     element = rows.schema["embedding"].dataType.elementType.simpleString()
@@ -211,8 +219,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     valid = F.coalesce(fine, F.lit(False))
     reps = stage(rows.filter(valid).groupBy("label", "embedding").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
                  .withColumn("node", F.monotonically_increasing_id()), "embedding-distinct")
-    total, labels = reps.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
-    k = int(np.clip(np.ceil(np.sqrt(total / max(1, labels) / PER_CELL)), 1, MOST_CENTROIDS))
+    n = F.col("count").cast("double")
+    k = centroids(*reps.groupBy("label").count().agg(F.sum(n), F.sum(n * n)).first(), per_cell)
     drawn = [r[0] for r in reps.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(sample).collect()]
     grids = {}
     for dim in sorted({len(v) for v in drawn}):

@@ -147,6 +147,31 @@ def test_embedding_links_match_all_pairs(spark, chunk):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("chunk", [512, 8])
+def test_embedding_links_across_cells_match_all_pairs(spark, monkeypatch, chunk):
+    grids, kept = [], E.Grid.__init__
+
+    def noted(self, sample, k, threshold, target_recall):
+        kept(self, sample, k, threshold, target_recall)
+        grids.append(self)
+
+    monkeypatch.setattr(E.Grid, "__init__", noted)
+    rows = _vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = E.near_duplicates(df, chunk=chunk, per_cell=4).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == _brute(rows, 0.98)
+    x = E.unit(np.array([r[1] for r in rows if r[0] is not None and r[0] >= 0]))
+    grid = next(g for g in grids if g.half == 16)
+    visits = list(grid.visit(x))
+    assert min(map(len, grid.books)) >= 4 and len({home for home, _ in visits}) > 4 and any(cells for _, cells in visits)
+
+
+def test_grid_size_follows_the_large_label():
+    tiny, hot = [1] * 200_000, 100_000
+    assert E.centroids(hot + len(tiny), hot ** 2 + len(tiny), 256) >= 10
+    assert E.centroids(5120, 20 * 256 ** 2, 256) == 1 and E.centroids(None, None, 256) == 1
+
+
 def test_traversal_visits_every_cell_that_can_hold_a_link_and_reaches_a_lower_target():
     rng = np.random.default_rng(2)
     centres = E.unit(rng.normal(size=(60, 16)))
