@@ -243,3 +243,106 @@ def test_pipeline_stages_take_effect(spark):
     assert changed.count() and changed.filter("n_chars != length(text)").count() == 0
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert packed.select("doc_id").distinct().count() == sizes[3]
+
+
+def _binomial_tail(n, risk, k):
+    from math import comb
+    return 1.0 if n == 0 or k >= n * risk else sum(comb(n, i) * risk ** i * (1 - risk) ** (n - i) for i in range(k + 1))
+
+
+def _judged_good(docs, quality):
+    """Ids of the documents that the base rule and the cutoffs certified on the labels keep."""
+    from costindex.llm import quality_rules as Q
+    passed, scores = {}, {}
+    for i, text, lang, *_ in docs:
+        c = dict(zip(Q.COUNTS, Q.text_counts(text)))
+        if c["n_words"] >= 50 and 100 * c["n_repeat_words"] <= 50 * c["n_words"]:
+            passed[i] = lang
+            scores[i] = {r: c[top] * 1000 // c[bottom] for r, (top, bottom, _) in Q.RULES.items()}
+    known = {i: quality[i] for i in passed if i in quality}
+    level = 0.05 / (4 * len({passed[i] for i, q in known.items() if q}))
+    keep = set(passed)
+    for lang in set(passed.values()):
+        good, bad = ([i for i, q in known.items() if q == v and passed[i] == lang] for v in (1, 0))
+        for rule, (_, _, cuts) in Q.RULES.items():
+            best, gain = None, 0
+            for cut in sorted(cuts, reverse=True):
+                k, b = (sum(scores[i][rule] > cut for i in x) for x in (good, bad))
+                if _binomial_tail(len(good), 0.005, k) > level:
+                    break
+                if b - k > gain:
+                    best, gain = cut, b - k
+            if best is not None:
+                keep -= {i for i in passed if passed[i] == lang and scores[i][rule] > best}
+    return keep
+
+
+def _fingerprint(text):
+    import xxhash
+    words = text.encode().lower().split()
+    h = [xxhash.xxh64_intdigest(b" ".join(words[i:i + 3]), 42) for i in range(max(1, len(words) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def _least_of_each_group(docs):
+    prints = {i: _fingerprint(t) for i, t in docs.items()}
+    least = {}
+    for i in sorted(docs):
+        if i not in least:
+            found, new = {i}, [i]
+            while new:
+                new = [j for j in docs if j not in found and any((prints[j] ^ prints[k]).bit_count() <= 3 for k in new)]
+                found |= set(new)
+            least |= dict.fromkeys(found, i)
+    return set(least.values())
+
+
+def test_pipeline_run_against_a_plain_version(spark, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(12)
+    marks = {"[EMAIL]": "ann.lee@mail.example.org", "[PHONE]": "+49 30 1234 5678", "[IP]": "10.20.30.40", "[CARD]": "4111 1111 1111 1111",
+             "[IBAN]": "ES91 2100 0418 4502 0005 1332"}
+    words = [a + b for a in ("lo", "mi", "ta", "re", "su") for b in ("rem", "na", "ver", "dol", "stan", "quel", "bur", "fi")]
+    plain = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(60)]
+    docs, want, quality = [], {}, {}
+
+    def add(template, lang="en", label=None):
+        i = len(docs) + 1
+        text = template
+        for mark, value in marks.items():
+            text = text.replace(mark, value)
+        docs.append((i, text, lang, "s", len(text)))
+        want[i] = template
+        if label is not None:
+            quality[i] = label
+
+    for k in range(1300):
+        add(plain[k % 40], label=1)                                            # enough labels, many exact copies
+    for k in range(40):
+        add(" ".join(f"{w}##" for w in plain[k].split()), label=0 if k < 30 else None)  # certified away in en
+    for k in range(4):
+        add(" ".join(f"{w}##" for w in plain[40 + k].split()), "de", 0)        # but not in de
+    for k in range(40, 60):
+        add(plain[k] + " write to [EMAIL] or call [PHONE] now", "de")
+        add(plain[k] + " write to [EMAIL] or call [PHONE] then", "fr")         # near copies
+    add(f"{plain[3][::-1]} host [IP], card [CARD]; pay [IBAN] EUR", "de")
+    add("too short", "en")
+    add("over and over again " * 40, "en")
+    keep = _judged_good(docs, quality)
+    assert not keep & set(range(1301, 1341)) and set(range(1341, 1345)) <= keep
+    left = _least_of_each_group({i: t for i, t, *_ in docs if i in keep})
+    assert 40 < len(left) < len(keep)
+    rng.shuffle(docs)
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(quality.items()), "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    pieces = defaultdict(list)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces[r.doc_id].append(r)
+    assert set(pieces) == left
+    t = Tokenizer.from_file(WORDS)
+    for i, own in pieces.items():
+        ids, at = np.array(t.encode(want[i], add_special_tokens=False).ids + [2], "<u4"), 0
+        for p in sorted(own, key=lambda p: p.start):
+            assert (p.start, p.doc_tokens, p.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + p.length].tobytes()))
+            at += p.length
+        assert at == len(ids)
