@@ -402,7 +402,7 @@ select _month_partition as month, count(*) as rows_in_month from fx_prices group
 
 @query("stream_incremental_load_split")
 def _stream_incremental_load_split(i: Inputs) -> DataFrame:
-    """Every month arrives in two drops, one file a micro-batch: nothing is lost."""
+    """Every month arrives in two drops, SPLIT_FILES files a micro-batch: nothing is lost."""
     from costindex.streaming.incremental import run_incremental_stream
     book = _fresh(i)
     prices = i.fx("fx_prices")
