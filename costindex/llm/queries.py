@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from costindex.llm.common import read
-from costindex.llm import bpe, chat, embedding_dedup, html_extract, packing, pii, quality_rules, simhash, token_counts, warc
+from costindex.llm import (
+    bpe, chat, conversation_repair, embedding_dedup, html_extract, packing, periodic_runs, pii, quality_rules, simhash,
+    stream_dedup, token_counts, warc)
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +72,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents, passed through a stream with keyed state."""
+    return stream_dedup.exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired by the cheapest edits."""
+    return conversation_repair.repair_report(read(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of which get a repeated tail first."""
+    docs = periodic_runs.planted(read(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.with_runs(docs))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup,
@@ -82,6 +100,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc,
         op9_chat_formatting,
         op10_pii,
+        op11_exact_dedup,
+        op12_conversation_repair,
+        op13_periodic_runs,
     )}
 
 
@@ -91,4 +112,6 @@ def sql_all() -> dict[str, str]:
         "op4_quality_rules": quality_rules.verdict_sql_query(),
         "op8_warc": warc.ROUND_TRIP_SQL,
         "op9_chat_formatting": chat.CHAT_SQL,
+        "op11_exact_dedup": stream_dedup.DUPLICATES_SQL,
+        "op12_conversation_repair": conversation_repair.REPAIR_SQL,
     }
