@@ -44,6 +44,8 @@ STATE_STORE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # an executor keeps the files of a state partition (several MB even when empty) only while a task works on it
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
