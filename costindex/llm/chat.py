@@ -9,7 +9,8 @@ count are recorded.  A turn is written as
 
 Control strings begin with ``<|``.  Inside texts a backslash is put between the
 two (``<|`` to ``<\|``, ``<\|`` to ``<\\|`` and so on), so a text never holds a
-control string, and taking one backslash away restores it.  In roles ``%``,
+control string, and taking one backslash away restores it; neighbouring text
+parts count as one text.  In roles ``%``,
 newlines and ``<`` are percent-encoded.
 
 Defined results: rows are ordered by turn (null first), then role and parts;
@@ -23,13 +24,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from costindex.llm.common import array_sum, running
+from costindex.llm.common import array_sum, with_running
 
 START, END = "<|im_start|>", "<|im_end|>"
 PARTS = "array<struct<type:string,text:string,ref:string,n_tokens:long>>"
 #: Part type: (placeholder, tokens it expands to when the part does not say).
 PLACEHOLDERS = {"image": ("<|image|>", 576), "audio": ("<|audio|>", 750), "document": ("<|document|>", 1024)}
 OTHER = ("<|attachment|>", 0)
+#: Stands before the number of a placeholder while a turn is put together.
+MARK = "\x01"
 
 
 def escape(text: Column) -> Column:
@@ -61,17 +64,31 @@ def _is_text(part: Column) -> Column:
     return F.coalesce(part["type"] == "text", F.lit(True))
 
 
-def _by_type(part: Column, item: int) -> Column:
-    out = F.lit(OTHER[item])
-    for name, values in PLACEHOLDERS.items():
-        out = F.when(part["type"] == name, F.lit(values[item])).otherwise(out)
-    return out
+def _expanded(part: Column) -> Column:
+    out = F.lit(OTHER[1])
+    for name, (_, n_tokens) in PLACEHOLDERS.items():
+        out = F.when(part["type"] == name, F.lit(n_tokens)).otherwise(out)
+    return F.coalesce(part["n_tokens"], out.cast("long"))
 
 
 def visit(parts: Column) -> Column:
-    """The text of a turn: escaped text and placeholders, in order."""
-    return F.array_join(F.transform(parts, lambda p: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit(""))))
-                                    .otherwise(_by_type(p, 0))), "")
+    """The text of a turn: escaped text and placeholders, in order.
+
+    Neighbouring text parts are joined before they are escaped, as a control
+    string may be cut between them.  Until then a placeholder is ``MARK`` and its
+    number, and ``MARK`` itself, where a text holds it, is ``MARK`` and a zero.
+    """
+    def marked(p: Column) -> Column:
+        number = F.lit(str(len(PLACEHOLDERS) + 1))
+        for k, name in enumerate(PLACEHOLDERS, start=1):
+            number = F.when(p["type"] == name, F.lit(str(k))).otherwise(number)
+        text = F.replace(F.coalesce(p["text"], F.lit("")), F.lit(MARK), F.lit(MARK + "0"))
+        return F.when(_is_text(p), text).otherwise(F.concat(F.lit(MARK), number))
+
+    body = escape(F.array_join(F.transform(parts, marked), ""))
+    for k, (placeholder, _) in enumerate([*PLACEHOLDERS.values(), OTHER], start=1):
+        body = F.replace(body, F.lit(f"{MARK}{k}"), F.lit(placeholder))
+    return F.replace(body, F.lit(MARK + "0"), F.lit(MARK))
 
 
 def format_chat(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -90,17 +107,15 @@ def format_chat(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn
         t["role"].alias("role"), _role_out(t["role"]).alias("head"), visit(t["parts"]).alias("body"))))
     d = d.withColumn("texts", F.transform("written", lambda w: F.concat(
         F.lit(START), w["head"], F.lit("\n"), w["body"], F.lit(END + "\n"))))
-    d = d.withColumn("sizes", F.transform("texts", lambda x: F.length(x).cast("bigint")))
-    blocks, before, ends = running(F.col("sizes"), array_sum)
-    d = d.withColumn("size_blocks", blocks).withColumn("size_before", before(F.col("size_blocks"))).withColumn("ends", ends(F.col("size_before")))
+    d = with_running(d, {"ends": (F.transform("texts", lambda x: F.length(x).cast("bigint")), array_sum)})
     tail = len(END) + 1
-    spans = F.filter(F.transform("written", lambda w, i: F.struct(
-        (F.col("ends")[i] - F.lit(tail) - F.length(w["body"])).cast("long").alias("start"),
-        (F.col("ends")[i] - F.lit(tail)).cast("long").alias("end"), (w["role"] == learn_role).alias("learn"))), lambda s: s["learn"])
+    spans = F.filter(F.zip_with("written", "ends", lambda w, end: F.struct(
+        (end - F.lit(tail) - F.length(w["body"])).cast("long").alias("start"),
+        (end - F.lit(tail)).cast("long").alias("end"), (w["role"] == learn_role).alias("learn"))), lambda s: s["learn"])
     attached = F.flatten(F.transform("turns", lambda t, i: F.transform(
         F.filter(t["parts"], lambda p: ~_is_text(p)),
         lambda p: F.struct(i.cast("long").alias("turn"), p["type"].alias("type"), p["ref"].alias("ref"),
-                           F.coalesce(p["n_tokens"], _by_type(p, 1).cast("long")).alias("n_tokens")))))
+                           _expanded(p).alias("n_tokens")))))
     d = d.withColumn("attachments", attached)
     return d.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.array_join("texts", "").alias("formatted"),

@@ -125,25 +125,36 @@ def number_rows(df: DataFrame, weight: str, out: str, key: str) -> DataFrame:
             .join(sums, b).withColumn(out, F.col(out) + F.col(before)).drop(b, before))
 
 
-def running(values: Column, fold: Callable[[Column], Column]) -> list[Callable]:
-    """Two steps that give, for an array column, the fold of the elements up to and including each.
-
-    ``fold`` reduces an array.  Step one makes the folds of whole blocks of
-    ``ARRAY_BLOCK`` elements, step two uses them; each must be a column of its own.
+def with_running(df: DataFrame, columns: dict[str, tuple[Column, Callable[[Column], Column]]]) -> DataFrame:
+    """Add array columns: for every element of an array, the fold of the elements up to and including it.
+
+    ``columns`` maps a new name to the array and to ``fold``, which reduces an
+    array.  Blocks of ``ARRAY_BLOCK`` elements are folded first, so an array of m
+    elements costs m * ARRAY_BLOCK + (m / ARRAY_BLOCK)^2 steps.  What a lambda reads
+    is its own argument, or a column read twice: the optimizer would put any other
+    column's expression into the lambda and evaluate it for every element.
     """
-    n_blocks = F.ceil(F.size(values) / ARRAY_BLOCK).cast("int")
-    blocks = F.when(F.size(values) > 0, F.transform(
-        F.sequence(F.lit(0), n_blocks - 1), lambda b: fold(F.slice(values, b * ARRAY_BLOCK + 1, F.lit(ARRAY_BLOCK))))).otherwise(F.array().cast("array<bigint>"))
-
-    def before(block_folds: Column) -> Column:
-        return F.transform(block_folds, lambda _, b: fold(F.slice(block_folds, F.lit(1), b)))
-
-    def total(block_before: Column) -> Column:
-        return F.transform(values, lambda _, i: fold(F.concat(
-            F.array(block_before[F.floor(i / ARRAY_BLOCK).cast("int")]),
-            F.slice(values, F.floor(i / ARRAY_BLOCK).cast("int") * ARRAY_BLOCK + 1, i % ARRAY_BLOCK + 1))))
-
-    return [blocks, before, total]
+    n = {c: [free_name(df, f"{c}_{x}") for x in ("blocks", "folds", "before")] for c in columns}
+    empty = F.array().cast("array<array<bigint>>")
+
+    def cut(values: Column) -> Column:
+        last = F.ceil(F.size(values) / ARRAY_BLOCK).cast("int") - 1
+        return F.when(F.size(values) > 0, F.transform(
+            F.sequence(F.lit(0), last), lambda b: F.slice(values, b * ARRAY_BLOCK + 1, F.lit(ARRAY_BLOCK)))).otherwise(empty)
+
+    def earlier(folds: Column, fold: Callable[[Column], Column]) -> Column:
+        return F.transform(folds, lambda _, b: fold(F.slice(folds, F.lit(1), b)))
+
+    def total(fold: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+        return lambda values, before: F.transform(values, lambda _, j: fold(
+            F.concat(F.array(before), F.slice(values, F.lit(1), j + 1))))
+
+    d = df.withColumns({c: values.cast("array<bigint>") for c, (values, _) in columns.items()})
+    d = d.withColumns({n[c][0]: cut(F.col(c)) for c in columns})
+    d = d.withColumns({n[c][1]: F.transform(n[c][0], fold) for c, (_, fold) in columns.items()})
+    d = d.withColumns({n[c][2]: earlier(F.col(n[c][1]), fold) for c, (_, fold) in columns.items()})
+    d = d.withColumns({c: F.flatten(F.zip_with(n[c][0], n[c][2], total(fold))) for c, (_, fold) in columns.items()})
+    return d.drop(*[x for names in n.values() for x in names])
 
 
 def array_sum(a: Column) -> Column:

@@ -8,7 +8,9 @@ stay when their score reaches ``THRESHOLD``.
 Positions come from splitting the text by the pattern and extracting the
 matches: a match starts after all earlier pieces and matches.  The running sums
 are taken in blocks, so a text with very many matches costs m * 64 + (m / 64)^2
-steps, not m^2.  Everything runs in the row, without a shuffle.
+steps, not m^2; redaction cuts the text into blocks once, so that a piece between
+two spans costs its length and no walk from the text's start.  Everything runs in
+the row, without a shuffle.
 
 The patterns of the base kinds equal the contract's: possessive quantifiers
 (which cannot recurse or backtrack on long runs) are used only where the next
@@ -28,11 +30,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from costindex.llm.common import array_max, array_sum, free_name, running
+from costindex.llm.common import array_max, array_sum, free_name, with_running
 
 THRESHOLD = 0.8
 #: Characters before and after a span in which context words count.
 CONTEXT = 48
+#: Code points of a block in which redaction looks up the pieces that stay.
+TEXT_BLOCK = 1024
 
 SPANS = "array<struct<kind:string,start:long,end:long,score:double>>"
 
@@ -155,35 +159,43 @@ def with_spans(df: DataFrame, text_col: str = "text", out: str = "spans", kinds:
     def length(x: Column) -> Column:
         return F.length(x).cast("bigint")
 
-    def spans(k: Kind) -> Column:
+    def shifted(values: Column) -> Column:
+        return F.concat(F.array(F.lit("")), F.slice(values, F.lit(1), F.greatest(F.size(values) - 1, F.lit(0))))
+
+    def nearby(k: Kind) -> Column:
+        """The text around each match, past one earlier match of the kind, as lists of numbers share their heading."""
+        if not (k.context or k.against):
+            return none
         hits, pieces = F.col(col("found", k)), F.col(col("pieces", k))
+        ahead = F.zip_with(shifted(F.slice(pieces, F.lit(1), F.size(hits))), shifted(hits),
+                           lambda piece, hit: F.concat(F.right(piece, F.lit(CONTEXT)), hit))
+        ahead = F.zip_with(ahead, F.slice(pieces, F.lit(1), F.size(hits)),
+                           lambda earlier, piece: F.right(F.concat(earlier, F.right(piece, F.lit(CONTEXT))), F.lit(CONTEXT)))
+        return F.zip_with(ahead, F.slice(pieces, F.lit(2), F.size(hits)),
+                          lambda before, piece: F.lower(F.concat(before, F.lit(" "), F.left(piece, F.lit(CONTEXT)))))
 
-        def nearby(i):  # past one earlier match of the kind, as lists of numbers share their heading
-            earlier = F.when(i > 0, F.concat(F.right(pieces[F.greatest(i - 1, F.lit(0))], F.lit(CONTEXT)), hits[F.greatest(i - 1, F.lit(0))])).otherwise(F.lit(""))
-            ahead = F.right(F.concat(earlier, F.right(pieces[i], F.lit(CONTEXT))), F.lit(CONTEXT))
-            return F.lower(F.concat(ahead, F.lit(" "), F.left(pieces[i + 1], F.lit(CONTEXT))))
+    def spans(k: Kind) -> Column:
+        placed = F.zip_with(col("found", k), col("ends", k), lambda m, end: F.struct(m.alias("text"), end.alias("end")))
 
-        def scored(m, i):
+        def scored(m, near):
             s = F.lit(k.score)
             if k.context:
-                s = s + F.when(nearby(i).rlike(k.context), 0.3).otherwise(0.0)
+                s = s + F.when(near.rlike(k.context), 0.3).otherwise(0.0)
             if k.against:
-                s = s - F.when(nearby(i).rlike(k.against), 0.3).otherwise(0.0)
-            end = F.col(col("ends", k))[i]
-            ok = k.valid(m) if k.valid else F.lit(True)
-            return F.when(ok, F.struct(F.lit(k.name).alias("kind"), (end - length(m)).alias("start"), end.alias("end"),
-                                       F.least(F.lit(1.0), s).alias("score")))
+                s = s - F.when(near.rlike(k.against), 0.3).otherwise(0.0)
+            ok = k.valid(m["text"]) if k.valid else F.lit(True)
+            return F.when(ok, F.struct(F.lit(k.name).alias("kind"), (m["end"] - length(m["text"])).alias("start"),
+                                       m["end"].alias("end"), F.least(F.lit(1.0), s).alias("score")))
 
         stays = (lambda s: s.isNotNull()) if k.base else (lambda s: s.isNotNull() & (s["score"] >= THRESHOLD))
-        return F.filter(F.transform(hits, scored), stays)
+        return F.filter(F.zip_with(placed, col("near", k), scored), stays)
 
     d = step(df, "found", found)
     d = step(d, "pieces", lambda k: F.when(F.size(col("found", k)) > 0, F.split(text, k.pattern, -1)).otherwise(none))
-    d = step(d, "steps", lambda k: F.transform(
-        F.col(col("found", k)), lambda m, i: length(m) + length(F.col(col("pieces", k))[i])))
-    d = step(d, "blocks", lambda k: running(F.col(col("steps", k)), array_sum)[0])
-    d = step(d, "before", lambda k: running(F.col(col("steps", k)), array_sum)[1](F.col(col("blocks", k))))
-    d = step(d, "ends", lambda k: running(F.col(col("steps", k)), array_sum)[2](F.col(col("before", k))))
+    d = step(d, "near", nearby)
+    d = with_running(d, {col("ends", k): (F.zip_with(
+        col("found", k), F.slice(col("pieces", k), F.lit(1), F.size(col("found", k))), lambda m, piece: length(m) + length(piece)), array_sum)
+        for k in named.values()})
     d = step(d, "spans", spans)
     d = d.withColumn(out, F.concat(*[F.col(col("spans", k)) for k in named.values()]).cast(SPANS))
     return d.select(*df.columns, out)
@@ -213,22 +225,28 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     the table has it, gets the new length of changed texts.
     """
     tag = free_name(docs, "pii_redact")
-    s, blocks, before, ends, new = (f"{tag}_{x}" for x in ("spans", "blocks", "before", "ends", "text"))
+    s, blocks, ends, new = (f"{tag}_{x}" for x in ("spans", "blocks", "ends", "text"))
     text = F.col(text_col)
     d = with_spans(docs, text_col, s)
     d = d.withColumn(s, F.array_sort(F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))))
-    reach = lambda: running(F.transform(F.col(s), lambda x: x["end"]), array_max)
-    d = d.withColumn(blocks, reach()[0]).withColumn(before, reach()[1](F.col(blocks))).withColumn(ends, reach()[2](F.col(before)))
+    d = with_running(d, {ends: (F.transform(s, lambda x: x["end"]), array_max)})
+    changed = F.size(s) > 0
+    d = d.withColumn(blocks, F.when(changed, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))))
+
+    def between(start: Column, end: Column) -> Column:
+        first = F.floor(start / TEXT_BLOCK).cast("int")
+        n = F.floor((end - 1) / TEXT_BLOCK).cast("int") - first + 1
+        own = F.array_join(F.slice(F.col(blocks), first + 1, n), "")
+        return F.when(end > start, F.substr(own, (start - first * TEXT_BLOCK + 1).cast("int"), (end - start).cast("int"))).otherwise(F.lit(""))
 
-    def kept(x, i):
-        done = F.when(i > 0, F.col(ends)[F.greatest(i - 1, F.lit(0))]).otherwise(F.lit(0).cast("bigint"))
-        return F.when((i == 0) | (x["start"] >= done), F.concat(
-            F.substr(text, (done + 1).cast("int"), (x["start"] - done).cast("int")), F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise(F.lit(""))
+    def kept(x, done):
+        return F.when(x["start"] >= done, F.concat(between(done, x["start"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise(F.lit(""))
 
+    zero = F.array(F.lit(0).cast("bigint"))
+    earlier = F.concat(zero, F.slice(F.col(ends), F.lit(1), F.greatest(F.size(ends) - 1, F.lit(0))))
     last = F.element_at(F.col(ends), -1)
-    changed = F.size(s) > 0
     d = d.withColumn(new, F.when(changed, F.concat(
-        F.array_join(F.transform(F.col(s), kept), ""), F.substr(text, (last + 1).cast("int")))).otherwise(text))
+        F.array_join(F.zip_with(s, earlier, kept), ""), between(last, F.length(text).cast("bigint")))).otherwise(text))
     cols = {text_col: F.col(new)}
     if length_col and length_col in docs.columns:
         cols[length_col] = F.when(changed, F.length(new).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
