@@ -1,21 +1,25 @@
 """Change capture against the previous snapshot, history merge, change events.
 
-``keyed_changes`` is set-based: the batch is left-joined to the previous
-snapshot once (no per-row look-ups).  Keys that occur more than once in one
-batch are sequential by nature (the second row compares with the first row's
-accepted value), so only those keys go through the ordered fold.
+``keyed_changes`` is set-based: the batch is reduced to a row per key by a
+partial aggregate, which also tells how often each key occurs, and that table is
+left-joined to the previous snapshot once (no per-row look-ups, no window over
+the batch).  Keys that occur more than once in one batch are sequential by
+nature (the second row compares with the first row's accepted value), so only
+their rows are read again and go through the ordered fold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costindex.functions import py_str_double
 from costindex.operators.fold import deadband_fold
 from costindex.operators.joins import broadcast_if_small
+from costindex.operators.keys import null_safe_join
+from costindex.session import stage_table
 
 EVENT_COLUMNS = ["source_name", "entity_key", "field_name", "old_value", "new_value",
                  "change_type"]
@@ -30,31 +34,34 @@ def keyed_changes(batch: DataFrame, previous: DataFrame, keys: Sequence[str], va
     more than ``tolerance`` is an UPDATE (a null previous value followed by a
     value is an UPDATE too).  With ``emit_deletes`` a key of ``previous``
     that is missing from the batch is a DELETE (the batch is then a full
-    snapshot).  Output: keys, old_value, new_value, change_type, _seq.
+    snapshot).  Rows of a key that occurs several times are taken in the order
+    of ``order_by``; without it such a batch is an error.
+    Output: keys, old_value, new_value, change_type, _seq.
     """
     keys = list(keys)
     prev = previous.select(*keys, F.col(value).cast("double").alias("_iv"),
                            F.lit(True).alias("_ip"))
     b = batch.select(*keys, *[c for c in order_by if c not in keys],
                      F.col(value).cast("double").alias("_val"))
-    # the window and the join below share one exchange by the keys
-    tagged = b.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    joined = tagged.join(prev, keys, "left")
+    # for a key that occurs once, the largest value is its value
+    counted = stage_table(b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_val").alias("_val")), "cdc_keys")
 
-    single = joined.where(F.col("_n") == 1)
+    single = counted.where(F.col("_n") == 1).join(prev, keys, "left")
     old, new = F.col("_iv"), F.col("_val")
     ctype = (F.when(F.col("_ip").isNull(), F.lit("INSERT"))
              .when(old.isNull() & new.isNotNull(), F.lit("UPDATE"))
              .when(F.abs(old - new) > F.lit(float(tolerance)), F.lit("UPDATE")))
-    single = single.select(*keys, F.when(F.col("_ip").isNotNull(), old).alias("old_value"),
-                           new.alias("new_value"), ctype.alias("change_type"),
-                           F.lit(1).alias("_seq")).where(F.col("change_type").isNotNull())
-
-    repeated = joined.where(F.col("_n") > 1)
-    folded = deadband_fold(repeated, keys, list(order_by), "_val", tolerance,
-                           init_present="_ip", init_value="_iv")
-    folded = folded.select(*keys, "old_value", "new_value", "change_type", "_seq")
-    out = single.unionByName(folded)
+    out = single.select(*keys, F.when(F.col("_ip").isNotNull(), old).alias("old_value"),
+                        new.alias("new_value"), ctype.alias("change_type"),
+                        F.lit(1).alias("_seq")).where(F.col("change_type").isNotNull())
+
+    again = counted.where(F.col("_n") > 1).select(*keys)
+    if not again.isEmpty():
+        if not order_by:
+            raise ValueError(f"keys {keys} repeat in the batch, and nothing orders its rows")
+        rows = null_safe_join(b, again, keys, "left_semi").join(prev, keys, "left")
+        folded = deadband_fold(rows, keys, list(order_by), "_val", tolerance, init_present="_ip", init_value="_iv")
+        out = out.unionByName(folded.select(*keys, "old_value", "new_value", "change_type", "_seq"))
     if emit_deletes:
         gone = prev.join(b.select(*keys), keys, "left_anti").select(
             *keys, F.col("_iv").alias("old_value"), F.lit(None).cast("double").alias("new_value"),

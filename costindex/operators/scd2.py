@@ -32,14 +32,14 @@ def resolve_column(columns: Sequence[str], *parts: str) -> str | None:
     return None
 
 
-def survey_rows(raw: DataFrame) -> DataFrame:
-    """Normalise a survey table to (geography, survey_year, income_median, income_mean).
+def survey_rows(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Normalise a survey table to (geography, survey_year, income_median, income_mean) and the carried columns.
 
     Columns are found by name: geography contains 'state', period 'year' or
     'date' (its first four characters are the year), median 'median',
     mean 'mean' (optional).
     """
-    cols = raw.columns
+    cols = [c for c in raw.columns if c not in carry]
     geo = resolve_column(cols, "state")
     period = resolve_column(cols, "year", "date")
     med = resolve_column(cols, "median")
@@ -50,7 +50,7 @@ def survey_rows(raw: DataFrame) -> DataFrame:
         F.col(geo).cast("string").alias("geography"),
         F.substring(F.col(period).cast("string"), 1, 4).cast("int").alias("survey_year"),
         F.col(med).cast("double").alias("income_median"),
-        (F.col(mean).cast("double") if mean else F.lit(None).cast("double")).alias("income_mean"),
+        (F.col(mean).cast("double") if mean else F.lit(None).cast("double")).alias("income_mean"), *carry,
     )
 
 
@@ -60,10 +60,11 @@ def empty_dim(spark) -> DataFrame:
 
 def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: float = 1.0,
                geography_type: str = "state", keep=None,
-               heal_nulls: bool = False) -> tuple[DataFrame, DataFrame]:
+               heal_nulls: bool = False, order_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Apply one survey batch to the dimension; returns (new dimension, change rows).
 
-    Per geography, in survey-year order: the first row ever is inserted; a
+    Per geography, in survey-year order (rows of one year in the order of
+    ``order_by``, else by value): the first row ever is inserted; a
     row older than the current version is ignored; a row whose median
     differs from the current median by more than ``tolerance`` (a null new
     median counts as 0) expires the current version and becomes current.
@@ -73,13 +74,13 @@ def scd2_apply(survey: DataFrame, dim: DataFrame, run_date: Column, tolerance: f
     ``keep(name, df)`` may store the fold's output once, so the new versions
     and the change rows are both read from it instead of folding twice.
     """
-    rows = survey_rows(survey)
+    rows = survey_rows(survey, order_by)
     cur = dim.where(F.col("is_current")).select(
         "geography", F.lit(True).alias("_ip"), F.col("income_median").alias("_iv"),
         F.col("survey_year").alias("_iy"), F.col("version").alias("_iver"))
     seeded = rows.join(broadcast_if_small(cur, verify_rows=True), "geography", "left").where(
         F.col("_iy").isNull() | (F.col("survey_year") >= F.col("_iy")))
-    ev = deadband_fold(seeded, ["geography"], ["survey_year"], "income_median", tolerance,
+    ev = deadband_fold(seeded, ["geography"], ["survey_year", *order_by], "income_median", tolerance,
                        carry=["income_mean", "_iver"], null_state_blocks=not heal_nulls,
                        null_value_as_zero=True, init_present="_ip", init_value="_iv")
     if keep is not None:

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from costindex.functions import number_or_null
 
@@ -42,14 +41,9 @@ class Capture:
 FILE_ORDER = ["_file", "_row"]
 
 
-def in_file_order(df: DataFrame) -> DataFrame:
-    """Add ``FILE_ORDER`` from the scan's metadata (a frame that is no file scan has no order)."""
-    if set(FILE_ORDER) <= set(df.columns):
-        return df
-    try:
-        return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    except AnalysisException:
-        return df.withColumns({"_file": F.lit(""), "_row": F.lit(0).cast("long")})
+def in_file_order(scan: DataFrame) -> DataFrame:
+    """A Parquet scan with ``FILE_ORDER`` added from its metadata."""
+    return scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def fuel_levels(raw_fuel: DataFrame, series_col: str = "series_type", level: str = "level",
@@ -62,12 +56,16 @@ def fuel_levels(raw_fuel: DataFrame, series_col: str = "series_type", level: str
 
 
 def capture_fuel(raw_fuel: DataFrame, history: DataFrame, run_ts: Column,
-                 keep: Keep = _lazy) -> Capture:
-    """``keep(name, df)`` may persist the change set and the new history (cuts lineage)."""
-    batch = fuel_levels(in_file_order(raw_fuel), carry=FILE_ORDER).select(
-        F.to_date("date").alias("date_effective"), "fuel_type", "price", *FILE_ORDER)
+                 keep: Keep = _lazy, order: Sequence[str] = ()) -> Capture:
+    """``keep(name, df)`` may persist the change set and the new history (cuts lineage).
+
+    ``order`` names the columns that order the rows of a key; without them the
+    keys must be unique.
+    """
+    batch = fuel_levels(raw_fuel, carry=order).select(
+        F.to_date("date").alias("date_effective"), "fuel_type", "price", *order)
     changes = keep("fuel_changes", keyed_changes(batch, history, FUEL_KEYS, "price",
-                                                 FUEL_TOLERANCE, FILE_ORDER))
+                                                 FUEL_TOLERANCE, order))
     events = change_events(
         changes, "fuel_prices",
         F.concat(F.col("fuel_type"), F.lit("@"), F.col("date_effective").cast("string")), "price")
@@ -76,7 +74,7 @@ def capture_fuel(raw_fuel: DataFrame, history: DataFrame, run_ts: Column,
     return Capture(changes, events, table)
 
 
-def gdp_rows(raw_gdp: DataFrame) -> DataFrame:
+def gdp_rows(raw_gdp: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Long GDP rows keyed by (quarter = first 7 characters of the date, series)."""
     cols = {c.lower(): c for c in raw_gdp.columns}
     if "series" not in cols or "value" not in cols:
@@ -85,14 +83,15 @@ def gdp_rows(raw_gdp: DataFrame) -> DataFrame:
         date_key(F.col(cols["date"]), 7).alias("quarter"),
         F.col(cols["series"]).alias("series"),
         number_or_null(F.col(cols["value"])).alias("value"),
-        *[c for c in FILE_ORDER if c in raw_gdp.columns],
+        *carry,
     ).where(F.col("value").isNotNull())
 
 
 def capture_gdp(raw_gdp: DataFrame, history: DataFrame, run_ts: Column,
-                keep: Keep = _lazy) -> Capture:
-    changes = keep("gdp_changes", keyed_changes(gdp_rows(in_file_order(raw_gdp)), history, GDP_KEYS, "value",
-                                                GDP_TOLERANCE, FILE_ORDER))
+                keep: Keep = _lazy, order: Sequence[str] = ()) -> Capture:
+    """``order`` as in ``capture_fuel``."""
+    changes = keep("gdp_changes", keyed_changes(gdp_rows(raw_gdp, order), history, GDP_KEYS, "value",
+                                                GDP_TOLERANCE, order))
     events = change_events(
         changes, "gdp_quarterly",
         F.concat(F.col("series"), F.lit("@"), F.col("quarter")), "value")
@@ -102,9 +101,10 @@ def capture_gdp(raw_gdp: DataFrame, history: DataFrame, run_ts: Column,
 
 
 def capture_income(raw_income: DataFrame, dim: DataFrame, run_date: Column,
-                   keep: Keep = _lazy) -> Capture:
+                   keep: Keep = _lazy, order: Sequence[str] = ()) -> Capture:
+    """``order`` names the columns that order a geography's rows of one year; without them they go by value."""
     table, changes = scd2_apply(raw_income, dim, run_date, INCOME_TOLERANCE,
-                                keep=None if keep is _lazy else keep)
+                                keep=None if keep is _lazy else keep, order_by=order)
     changes = keep("income_changes", changes)
     table = keep("dim_household_income", table)
     events = change_events(changes, "household_income", F.col("geography"), "income_median")

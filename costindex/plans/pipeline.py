@@ -72,17 +72,20 @@ def run_cdc(book: RunBook, at: datetime) -> DataFrame:
             return df
         return wh.write_snapshot("warehouse", name, df)
 
+    def in_order(name):
+        return capture.in_file_order(wh.read("raw", name))
+
     events = []
     if wh.has_table("raw", "fuel_prices"):
         prev = _table_or_empty(wh, "warehouse", "fuel_price_history", FUEL_HISTORY)
-        events.append(capture.capture_fuel(wh.read("raw", "fuel_prices"), prev, stamp, keep).events)
+        events.append(capture.capture_fuel(in_order("fuel_prices"), prev, stamp, keep, capture.FILE_ORDER).events)
     if wh.has_table("raw", "gdp_quarterly"):
         prev = _table_or_empty(wh, "warehouse", "gdp_quarterly", GDP_HISTORY)
-        events.append(capture.capture_gdp(wh.read("raw", "gdp_quarterly"), prev, stamp, keep).events)
+        events.append(capture.capture_gdp(in_order("gdp_quarterly"), prev, stamp, keep, capture.FILE_ORDER).events)
     if wh.has_table("raw", "household_income"):
         prev = _table_or_empty(wh, "warehouse", "dim_household_income", DIM_SCHEMA)
-        events.append(capture.capture_income(wh.read("raw", "household_income"), prev,
-                                             F.lit(at.date()), keep).events)
+        events.append(capture.capture_income(in_order("household_income"), prev,
+                                             F.lit(at.date()), keep, capture.FILE_ORDER).events)
     if not events:
         return None
     all_events = events[0]

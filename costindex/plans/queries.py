@@ -398,7 +398,7 @@ def _cdc_value_repeated(i: Inputs) -> DataFrame:
          .otherwise(F.col("o_totalprice").cast("string")).alias("ron95"),
         F.lit("orders").alias("_file"), k.alias("_row"))
     empty = i.spark.createDataFrame([], FUEL_HISTORY)
-    return capture.capture_fuel(raw, empty, ts(RUN_TS)).events
+    return capture.capture_fuel(raw, empty, ts(RUN_TS), order=capture.FILE_ORDER).events
 
 
 @query("dq_dirty_input")

@@ -113,7 +113,7 @@ def test_repeated_keys_follow_file_order_and_nan_is_no_value(spark):
     keep = lambda name, df: wh.write_snapshot("warehouse", name, df)
     from pyspark.sql import functions as F
     stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
-    got = capture.capture_fuel(raw, spark.createDataFrame([], FUEL_HISTORY), stamp, keep)
+    got = capture.capture_fuel(capture.in_file_order(raw), spark.createDataFrame([], FUEL_HISTORY), stamp, keep, capture.FILE_ORDER)
     assert sorted((e.change_type, e.old_value, e.new_value) for e in got.events.collect()) == [("INSERT", None, "3.0"), ("UPDATE", "3.0", "2.0")]
     assert [r.price for r in got.table.collect()] == [2.0]
 
@@ -123,3 +123,32 @@ def test_null_numeric_keys_are_one_key(spark):
     rows = spark.createDataFrame([(None, 1, 1.0), (None, 2, 5.0), (7, 1, 1.0)], "k int, t int, v double")
     got = deadband_fold(rows, ["k"], ["t"], "v", 0.5).collect()
     assert sorted((r.k is None, r.change_type) for r in got) == [(False, "INSERT"), (True, "INSERT"), (True, "UPDATE")]
+
+
+def test_repeated_keys_need_an_order(spark):
+    import pytest
+    batch = spark.createDataFrame([("k", 3.0), ("k", 2.0)], "key string, v double")
+    prev = spark.createDataFrame([], "key string, v double")
+    with pytest.raises(ValueError, match="repeat"):
+        keyed_changes(batch, prev, ["key"], "v", 0.001)
+
+
+def test_unique_keys_plan_no_window_and_no_python(spark):
+    batch = spark.range(100).selectExpr("cast(id as string) key", "cast(id as double) v")
+    prev = spark.createDataFrame([], "key string, v double")
+    plan = keyed_changes(batch, prev, ["key"], "v", 0.001)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" not in plan
+
+
+def test_null_keys_that_repeat_are_one_key(spark):
+    batch = spark.createDataFrame([(None, 1, 1.0), (None, 2, 5.0), ("a", 3, 1.0)], "key string, n int, v double")
+    prev = spark.createDataFrame([], "key string, v double")
+    got = keyed_changes(batch, prev, ["key"], "v", 0.001, order_by=["n"]).collect()
+    assert sorted((r.key is None, r.change_type) for r in got) == [(False, "INSERT"), (True, "INSERT"), (True, "UPDATE")]
+
+
+def test_survey_rows_of_one_year_follow_the_file(spark):
+    rows = [("A", 2010, 500.0, 1.0, 0), ("A", 2010, 100.0, 1.0, 1)]
+    s = spark.createDataFrame(rows, "state string, year int, income_median double, income_mean double, _row int")
+    dim, _ = scd2_apply(s, empty_dim(spark), run_date(), order_by=["_row"])
+    assert [r.income_median for r in dim.orderBy("version").collect()] == [500.0, 100.0]
