@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costindex.operators.keys import null_safe_join
+from costindex.operators.quantiles import exact_quantiles
 from costindex.session import stage_table
-from costindex.operators.quantiles import quantiles_from_counts
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
@@ -34,6 +34,15 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, st
     return out
 
 
+def group_number(keys: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes that stand for a group's keys (two of 10^9 groups meet in both with a chance below 10^-20).
+
+    Which keys are null is hashed too, as a hash of a row skips its nulls.
+    """
+    nulls = F.concat(*[F.col(k).isNull().cast("int").cast("string") for k in keys])
+    return [F.xxhash64(*keys, nulls).alias("_g1"), F.xxhash64(F.lit("group"), nulls, *reversed(keys)).alias("_g2")]
+
+
 def group_profile(df: DataFrame, keys: Sequence[str], value: str,
                   quantiles: Mapping[str, float] | None = None,
                   distinct: Mapping[str, str] | None = None,
@@ -42,62 +51,30 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str,
                   stddev_name: str = "stddev", cut_lineage: bool = True) -> DataFrame:
     """count / mean / min / max / sample stddev, exact quantiles, distinct counts per group.
 
-    The input is read ONCE: every row is expanded (narrow, no shuffle) into
-    one row per measure family -- the raw row (count, sum, min, max and
-    sample stddev, accumulated in scan order like a plain aggregate), its
-    value (for exact quantiles), and each code whose distinct count is
-    wanted -- and a single map-side combined aggregate reduces them per
-    (group, family, value).  Every measure is computed from that compact
-    table, so the fact is scanned and shuffled once whatever the number of
-    measures; a group holding a large share of the rows is spread over many
-    reducers by its values and codes.
-
-    With ``cut_lineage`` the compact table is checkpointed to the session's
-    shared checkpoint folder: the many branches then plan against a small
-    stored table instead of re-planning the whole input lineage each, and a
-    lost executor re-reads it instead of recomputing the scan.
+    The input is read ONCE, whatever the number of measures: the columns that
+    are needed are stored as a narrow table (with ``cut_lineage``; the session's
+    shared checkpoint folder), and no row is multiplied.  Every measure is a
+    map-side combined aggregate over the columns it needs: the moments per group
+    (accumulated in scan order like a plain aggregate), value counts per
+    (group, value) for the quantiles, and (group, code) pairs for each distinct
+    count.  So a group holding a large share of the rows is spread over many
+    reducers by its values and codes.  Beside the moments, groups go by the two
+    numbers of ``group_number``, which are cheaper to hash and to shuffle than
+    text keys.
     """
-    keys = list(keys)
+    keys, number = list(keys), ["_g1", "_g2"]
     distinct = dict(distinct or {})
-    val = F.col(value).cast("double")
-    # codes travel as long when every code column is integral (cheaper to hash than text)
-    types = dict(df.dtypes)
-    integral = ("tinyint", "smallint", "int", "bigint")
-    code_type = "bigint" if all(types[c] in integral for c in distinct.values()) else "string"
-    none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast(code_type)
-    # family -1: raw rows (moments in scan order); 0: values; j: codes of distinct column j
-    fams = [F.struct(F.lit(-1).alias("k"), none_d.alias("xv"), none_s.alias("xs"), val.alias("xr")),
-            F.struct(F.lit(0).alias("k"), val.alias("xv"), none_s.alias("xs"), none_d.alias("xr"))]
-    for j, col in enumerate(distinct.values(), start=1):
-        fams.append(F.struct(F.lit(j).alias("k"), none_d.alias("xv"),
-                             F.col(col).cast(code_type).alias("xs"), none_d.alias("xr")))
-    exp = df.select(*keys, F.explode(F.array(*fams)).alias("_f")).select(
-        *keys, F.col("_f.k").alias("_k"), F.col("_f.xv").alias("_xv"),
-        F.col("_f.xs").alias("_xs"), F.col("_f.xr").alias("_xr"))
-    exp = exp.where((F.col("_k") <= 0) | F.col("_xs").isNotNull())
-    r = F.col("_xr")
-    compact = exp.groupBy(*keys, "_k", "_xv", "_xs").agg(
-        F.count(F.lit(1)).alias("_c"), F.count(r).alias("_rn"), F.sum(r).alias("_rs"),
-        F.min(r).alias("_rmin"), F.max(r).alias("_rmax"), F.stddev_samp(r).alias("_rsd"))
+    narrow = df.select(*keys, *group_number(keys), F.col(value).cast("double").alias("_x"),
+                       *[F.col(c).alias(f"_code{j}") for j, c in enumerate(distinct.values())])
     if cut_lineage:
-        compact = stage_table(compact, "group_profile")
-
-    k = F.col("_k")
-    base = compact.where(k == -1).select(
-        *keys, F.col("_c").alias(count_name), F.col("_rn").alias("_nn"),
-        (F.col("_rs") / F.col("_rn")).alias(mean_name),
-        F.col("_rmin").alias(min_name), F.col("_rmax").alias(max_name),
-        F.col("_rsd").alias(stddev_name))
-    out = base
-    values = compact.where((k == 0) & F.col("_xv").isNotNull()).select(
-        *keys, F.col("_xv").alias("_v"), "_c")
-    if distinct:
-        dc = compact.where(k > 0).groupBy(*keys).agg(*[
-            F.count(F.when(k == j, F.lit(1))).alias(name)
-            for j, name in enumerate(distinct, start=1)])
-        out = null_safe_join(out, dc, keys, "left")
-        for name in distinct:
-            out = out.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
+        narrow = stage_table(narrow, "group_profile")
+    x = F.col("_x")
+    out = narrow.groupBy(*keys, *number).agg(
+        F.count(F.lit(1)).alias(count_name), (F.sum(x) / F.count(x)).alias(mean_name),
+        F.min(x).alias(min_name), F.max(x).alias(max_name), F.stddev_samp(x).alias(stddev_name))
+    for j, name in enumerate(distinct):
+        counted = distinct_counts(narrow, number, {name: f"_code{j}"})
+        out = out.join(counted, number, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
     if quantiles:
-        out = null_safe_join(out, quantiles_from_counts(values, keys, quantiles), keys, "left")
-    return out.drop("_nn")
+        out = out.join(exact_quantiles(narrow, number, "_x", quantiles), number, "left")
+    return out.drop(*number)

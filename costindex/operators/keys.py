@@ -17,10 +17,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """
     if not keys:
         return left.crossJoin(right)  # only ever used with a one-row side
-    r = right
     renamed = {k: f"__r_{k}" for k in keys}
-    for k, new in renamed.items():
-        r = r.withColumnRenamed(k, new)
+    r = right.select(*[F.col(c).alias(renamed.get(c, c)) for c in right.columns])
     cond: Column | None = None
     for k, new in renamed.items():
         c = left[k].eqNullSafe(r[new])

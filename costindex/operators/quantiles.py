@@ -14,6 +14,11 @@ executor.  Here the work is spread:
 4. each (group, bucket) is ranked exactly in its own window partition; one
    aggregate per group then picks the values at ranks floor(pos) and
    ceil(pos), interpolated with a single rounding like SQL ``percentile_cont``.
+
+All of this is one plan for narrow and wide groups: which groups are wide is
+found when it runs.  Where none is, the sample and the bounds are empty tables,
+every group is its own bucket, and nothing but a lookup in an empty table is
+added.  No job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -24,31 +29,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costindex.functions.expressions import interpolate
-from costindex.operators.joins import broadcast_if_small
 from costindex.operators.keys import null_safe_join
 
 DEFAULT_MAX_VALUES_PER_TASK = 2_000_000
 SAMPLE_PER_BUCKET = 64
 
 
-def _bucket_bounds(vc: DataFrame, stats: DataFrame, keys: list[str],
-                   max_values: int) -> DataFrame:
-    """Per hot group: a sorted array of bucket lower bounds (bucket 0 has none).
+def _bucket_bounds(vc: DataFrame, hot: DataFrame, keys: list[str], max_values: int) -> DataFrame:
+    """Per wide group: a sorted array of bucket lower bounds (bucket 0 has none).
 
     The sample holds about ``SAMPLE_PER_BUCKET`` values for each bucket.
     """
     modulus = max(1, max_values // SAMPLE_PER_BUCKET)
-    hot = stats.where(F.col("_d") > F.lit(max_values)).select(
-        *keys, F.ceil(F.col("_d") / F.lit(max_values)).cast("int").alias("_nb"))
     sample = null_safe_join(vc, hot, keys).where(
         F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.col("_v")), F.lit(modulus)) == 0)
     w = Window.partitionBy(*keys).orderBy("_v")
-    sample = (sample
-              .withColumn("_rn", F.row_number().over(w))
-              .withColumn("_sn", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-    sample = sample.withColumn(
-        "_bi", F.floor((F.col("_rn") - 1) * F.col("_nb") / F.col("_sn")).cast("int"))
-    firsts = (sample.where(F.col("_bi") > 0)
+    bucket = F.floor((F.row_number().over(w) - 1) * F.col("_nb") / F.count(F.lit(1)).over(Window.partitionBy(*keys))).cast("int")
+    firsts = (sample.withColumn("_bi", bucket).where(F.col("_bi") > 0)
               .groupBy(*keys, "_bi").agg(F.min("_v").alias("_lb")))
     return firsts.groupBy(*keys).agg(F.array_sort(F.collect_list("_lb")).alias("_bounds"))
 
@@ -68,43 +65,30 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str, float],
-                          max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK,
-                          stats: DataFrame | None = None) -> DataFrame:
-    """Quantiles from value counts: ``vc`` has keys, ``_v`` (non-null, distinct per group), ``_c``.
-
-    ``stats`` (keys, ``_n`` values, ``_d`` distinct values) may be passed when
-    already known.  Bucketing is planned only when some group has more
-    distinct values than ``max_values_per_task`` (one scalar aggregate over
-    the per-group stats decides); otherwise each group is ranked whole.
-    """
+                          max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK) -> DataFrame:
+    """Quantiles from value counts: ``vc`` has keys, ``_v`` (non-null, distinct per group), ``_c``."""
     keys = list(keys)
-    if stats is None:
-        stats = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
-    # a total below the bound proves no group is wide (one cheap count, no shuffle)
-    total = vc.count()
-    widest = total if total <= max_values_per_task else (stats.agg(F.max("_d")).first()[0] or 0)
-    if widest > max_values_per_task:
-        bounds = _bucket_bounds(vc, stats, keys, max_values_per_task)
-        vcb = null_safe_join(vc, broadcast_if_small(bounds), keys, "left").withColumn(
-            "_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))),
-                              F.lit(0))).drop("_bounds")
-        # rank offset of each bucket inside its group (a tiny table: buckets per group)
-        bt = vcb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"))
-        bt = bt.withColumn("_off", F.coalesce(F.sum("_bc").over(
-            Window.partitionBy(*keys).orderBy("_bk")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        bt = null_safe_join(bt, stats.select(*keys, "_n"), keys).drop("_bc")
-        part = keys + ["_bk"]
-    else:
-        vcb = vc
-        bt = stats.select(*keys, "_n", F.lit(0).cast("long").alias("_off"))
-        part = keys
+    # wide groups and their buckets are few, whatever the data: for 10^12 values in all 500,000 rows or so, so
+    # what is broadcast here is bounded
+    d = F.count(F.lit(1))
+    hot = F.broadcast(vc.groupBy(*keys).agg(F.ceil(d / F.lit(max_values_per_task)).cast("int").alias("_nb")).where(F.col("_nb") > 1))
+    bounds = F.broadcast(_bucket_bounds(vc, hot, keys, max_values_per_task))
+    vcb = null_safe_join(vc, bounds, keys, "left").withColumn(
+        "_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))), F.lit(0)))
+    # rank offset of each bucket inside its wide group
+    whole = Window.partitionBy(*keys)
+    bt = vcb.where(F.col("_bounds").isNotNull()).groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc")).select(
+        *keys, "_bk", F.sum("_bc").over(whole).alias("_all"),
+        F.sum("_bc").over(whole.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    part = keys + ["_bk"]
 
     # exact ranks inside each (group, bucket): rows [lo, hi) of the sorted values
-    ranked = vcb.withColumn("_cum", F.sum("_c").over(
-        Window.partitionBy(*part).orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ranked = null_safe_join(ranked, broadcast_if_small(bt, verify_rows=True), part)
+    w = Window.partitionBy(*part).orderBy("_v")
+    ranked = vcb.drop("_bounds").withColumns({
+        "_cum": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_own": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    ranked = null_safe_join(ranked, F.broadcast(bt), part, "left").withColumns({
+        "_n": F.coalesce("_all", "_own"), "_off": F.coalesce("_off", F.lit(0))})
     hi_rank = F.col("_off") + F.col("_cum")
     lo_rank = hi_rank - F.col("_c")
 
