@@ -7,6 +7,7 @@ returns what was written, read back.  Run times are parameters.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -36,8 +37,6 @@ MISSING_SOURCE = "cpi_national"       # its landing file is absent: logged as fa
 FIRST_AS_OF = date(2001, 1, 15)       # window 1999-01 .. 2000-12
 SECOND_AS_OF = date(2001, 12, 15)     # window 1999-12 .. 2001-11
 REPLACED_MONTH = "2001-06"
-FAILURE_MONTHS = ["2001-01", "2001-02", "2001-03", "2001-04"]
-DRIFTED_MONTH, UNREADABLE_MONTH = "2001-02", "2001-03"
 SPLIT_FILES = 40                      # files a micro-batch in the split load
 
 
@@ -176,40 +175,118 @@ select date '2026-02-03', 'pricecatcher_prices', 'skipped', 0, 0, 'No new months
                       ["fx_prices"])
 
 
+#: What befalls a month's file, by the month of the year; the other months arrive as they should.
+DAMAGES = {1: "text", 2: "missing", 3: "renamed", 4: "added", 5: "retyped", 6: "unreadable", 7: "words", 8: "mixed"}
+REFUSED = {"missing", "renamed", "unreadable", "words"}
+
+
+def _damaged(rows: DataFrame, damage: str | None) -> DataFrame:
+    price = F.col("price")
+    if damage == "text":
+        return rows.withColumn("price", price.cast("string"))
+    if damage == "missing":
+        return rows.drop("price")
+    if damage == "renamed":
+        return rows.withColumnRenamed("price", "amount")
+    if damage == "added":
+        return rows.withColumn("note", F.lit("new"))
+    if damage == "retyped":  # codes as int, price as decimal
+        return rows.withColumns({"item_code": F.col("item_code").cast("int"), "price": price.cast("decimal(12,2)")})
+    if damage == "words":
+        return rows.withColumn("price", F.lit("twelve"))
+    return rows
+
+
 @query("src_month_failure")
 def _src_month_failure(i: Inputs) -> DataFrame:
-    """Four months, one with text prices and one unreadable: only the unreadable one is skipped."""
+    """All months, many of them damaged: those that do not fit the pinned columns are refused, the others load."""
     from costindex.sources.registry import PRICES
     book = _fresh(i)
     prices = i.fx("fx_prices").select("date", F.col("premise_code").cast("long").alias("premise_code"),
                                       F.col("item_code").cast("long").alias("item_code"), "price", "_month_partition")
+    staged = book.wh.path("landing", "all_prices")
+    prices.write.partitionBy("_month_partition").parquet(staged)
+    months = sorted(loader.folder_values(book.wh, staged, "_month_partition"))
     landing = book.wh.path("landing", "failing_prices")
-    for month in FAILURE_MONTHS:
-        rows = prices.where(F.col("_month_partition") == month).drop("_month_partition")
-        if month == DRIFTED_MONTH:
-            rows = rows.withColumn("price", F.col("price").cast("string"))
-        path = f"{landing}/{month}.parquet"
-        if month == UNREADABLE_MONTH:
+    plain = prices.drop("_month_partition").schema
+
+    def land(month: str) -> None:
+        rows = i.spark.read.schema(plain).parquet(f"{staged}/_month_partition={month}").coalesce(1)
+        damage, path = DAMAGES.get(int(month[5:])), f"{landing}/{month}.parquet"
+        if damage == "unreadable":
             rows.select(F.lit("no parquet").alias("value")).write.text(path)
+        elif damage == "mixed":  # one file as it should be, one with text prices
+            odd = F.pmod(F.col("item_code"), F.lit(2)) == 1
+            rows.where(~odd).write.parquet(path)
+            rows.where(odd).withColumn("price", F.col("price").cast("string")).write.mode("append").parquet(path)
         else:
-            rows.write.parquet(path)
-    source = monthly_parquet("prices", landing + "/{month}.parquet", FAILURE_MONTHS, schema=PRICES)
-    loader.load_monthly(book, source, AT)
+            _damaged(rows, damage).write.parquet(path)
+
+    with ThreadPoolExecutor(8) as pool:  # the publisher's files; each is a job of one task
+        list(pool.map(land, months))
+    loader.load_monthly(book, monthly_parquet("prices", landing + "/{month}.parquet", months, schema=PRICES), AT)
     raw = book.wh.read_partitioned("raw", "prices")
     per_month = raw.groupBy(F.col("_month_partition").alias("item")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"))
+    errors = F.filter(F.split("error_message", "\n"), lambda line: line.rlike("^[0-9]{4}-[0-9]{2}: "))
     run = book.runs().select(
         F.concat_ws(" ", "status", "notes").alias("item"), F.col("rows_loaded").alias("n"),
-        F.col("error_message").startswith(f"{UNREADABLE_MONTH}: ").cast("long").alias("cents"))
+        F.size(errors).cast("long").alias("cents"))
     return per_month.unionByName(run)
 
 
-_GOOD_MONTHS = "_month_partition in ('2001-01', '2001-02', '2001-04')"
+_REFUSED_MONTHS = "(" + ", ".join(f"'{m:02d}'" for m, damage in DAMAGES.items() if damage in REFUSED) + ")"
+_MONTHS = f"""(select _month_partition as item, count(*) as n, sum(round(price * 100)::bigint)::bigint as cents,
+  right(_month_partition, 2) in {_REFUSED_MONTHS} as refused from fx_prices group by 1) months"""
 oracle.register_final("src_month_failure", f"""
-select _month_partition as item, count(*) as n, sum(round(price * 100)::bigint)::bigint as cents
-from fx_prices where {_GOOD_MONTHS} group by 1
+select item, n, cents from {_MONTHS} where not refused
 union all
-select 'success Loaded up to 2001-04', count(*), 1 from fx_prices where {_GOOD_MONTHS}""", ["fx_prices"])
+select 'success Loaded up to ' || max(item) filter (not refused), (sum(n) filter (not refused))::bigint, count(*) filter (refused)
+from {_MONTHS}""", ["fx_prices"])
+
+
+# ---- E-10 the NaN rule ------------------------------------------------------------------------
+#: Rows whose measure is NaN in the landing files (null in the oracle): Spark condition, DuckDB condition.
+NAN_ROWS = {
+    "fx_prices": ("price", "item_code % 11 = 5"),
+    "fx_cpi": ("index", "month(date) = 3 and division = 'BUILDING'"),
+    "fx_vehicles": ("registrations", "month(date) = 5 and type = 'MACHINERY'"),
+    "fx_ridership": ("bus_rkl", "day(date) = 13"),
+}
+
+
+@query("load_nan_rule")
+def _load_nan_rule(i: Inputs) -> DataFrame:
+    """Sources with NaN in prices, index, registrations and ridership: loaded, staged, made into marts and scored."""
+    from costindex.plans import marts, staging
+    from costindex.sources import fixtures as fxm
+    from costindex.sources.registry import PRICES
+    book = _fresh(i)
+    wh = book.wh
+
+    def with_nan(name: str) -> DataFrame:
+        column, condition = NAN_ROWS[name]
+        return i.fx(name).withColumn(column, F.when(F.expr(condition), F.lit(float("nan"))).otherwise(F.col(column).cast("double")))
+
+    landing = wh.path("landing", "nan_prices")
+    with_nan("fx_prices").select(*[F.col(f.name).cast(f.dataType) for f in PRICES], "_month_partition").write.partitionBy(
+        "_month_partition").parquet(landing)
+    months = sorted(loader.folder_values(wh, landing, "_month_partition"))
+    sources = {"prices": monthly_parquet("prices", landing + "/_month_partition={month}", months, schema=PRICES)}
+    for name in ("fx_cpi", "fx_vehicles", "fx_ridership"):
+        sources[name] = Source(name, STATIC, reader=lambda name=name: with_nan(name))
+    loader.run_all(book, sources, AT)
+    prices = staging.stg_prices(wh.read_partitioned("raw", "prices"), i.fx("fx_items"), i.fx("fx_premises"))
+    return marts.pressure_score(
+        wh.write_snapshot("marts", "mart_price_summary", marts.price_summary(prices)), i.fuel_timeline,
+        staging.stg_cpi(wh.read("raw", "fx_cpi")), staging.stg_transport(wh.read("raw", "fx_ridership"), fxm.SERVICES),
+        staging.stg_vehicles(wh.read("raw", "fx_vehicles")), fxm.FIXTURE_FOOD_CATEGORIES,
+        keep=lambda name, df: wh.write_snapshot("marts", name, df))
+
+
+oracle.register_final("load_nan_rule", "select * from mart_score", ["mart_score"], {
+    name: f"select * replace (case when {condition} then null else {column} end as {column}) from ({oracle.FIXTURES[name]}) clean"
+    for name, (column, condition) in NAN_ROWS.items()})
 
 
 @query("src_partition_replace")

@@ -43,6 +43,19 @@ class Warehouse:
             return []
         return [st.getPath().getName() for st in self._fs(path).listStatus(self._Path(path))]
 
+    def data_files(self, path: str) -> list[str]:
+        """The data files at ``path`` (a file, or a folder of files), without markers and hidden ones."""
+        fs, root = self._fs(path), self._Path(path)
+        if not fs.getFileStatus(root).isDirectory():
+            return [path]
+        out, entries = [], fs.listFiles(root, True)
+        while entries.hasNext():
+            p = entries.next().getPath()
+            inner = p.toUri().getPath()[len(fs.makeQualified(root).toUri().getPath()):]
+            if not any(part.startswith(("_", ".")) for part in inner.split("/") if part):
+                out.append(p.toString())
+        return sorted(out)
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 

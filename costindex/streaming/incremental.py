@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costindex.sources.loader import PARTITION_COL
+from costindex.sources.loader import PARTITION_COL, without_nan
 from costindex.sources.meta import RunBook
 
 
@@ -50,7 +50,7 @@ def run_incremental_stream(book: RunBook, source_name: str, landing_dir: str, sc
             return
         whole = book.spark.read.schema(schema).option("basePath", landing_dir).parquet(
             *[f"{landing_dir.rstrip('/')}/{PARTITION_COL}={m}" for m in months])
-        book.wh.replace_partitions("raw", source_name, whole, PARTITION_COL)
+        book.wh.replace_partitions("raw", source_name, without_nan(whole), PARTITION_COL)
         table = book.wh.read_partitioned("raw", source_name)
         total = table.count()
         new_rows = table.where(F.col(PARTITION_COL).isin(months)).count()

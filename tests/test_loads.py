@@ -154,3 +154,58 @@ def test_marts_are_sorted_within_their_files(spark):
     df = spark.range(1000).selectExpr("id * 7919 % 1000 as month").repartition(3)
     out = wh.write_snapshot("marts", "m", df, sort_within=["month"])
     assert out.rdd.glom().map(lambda rows: [r.month for r in rows] == sorted(r.month for r in rows)).reduce(lambda a, b: a and b)
+
+
+def _months(spark, wh, frames):
+    base = wh.path("landing", "months")
+    for month, df in frames.items():
+        df.coalesce(1).write.parquet(f"{base}/{month}.parquet")
+    return base + "/{month}.parquet"
+
+
+def test_month_that_lacks_a_column_is_refused_with_or_without_a_pinned_schema(spark):
+    from costindex.sources.registry import PRICES
+    good = spark.createDataFrame([(None, 1, 2, 3.5)], PRICES)
+    frames = {"2024-01": good, "2024-02": good.drop("price"), "2024-03": good.withColumn("more", F.lit(1))}
+    for schema in (PRICES, None):
+        wh = Warehouse(spark)
+        src = monthly_parquet("p", _months(spark, wh, frames), list(frames), schema=schema)
+        book = RunBook(wh)
+        assert loader.load_monthly(book, src, datetime(2026, 1, 1)) == "success"
+        rows = {r._month_partition: r.price for r in wh.read_partitioned("raw", "p").collect()}
+        assert rows == {"2024-01": 3.5, "2024-03": 3.5}
+        assert book.runs().first().error_message == "2024-02: columns missing: price"
+
+
+def test_contract_of_an_unpinned_source_is_the_raw_table(spark):
+    wh = Warehouse(spark)
+    first = spark.createDataFrame([(1, 2.0)], "a long, b double")
+    frames = {"2024-01": first, "2024-02": spark.createDataFrame([("7", 3.0)], "a string, b double"),
+              "2024-03": spark.createDataFrame([(8,)], "a long")}
+    template = _months(spark, wh, frames)
+    book = RunBook(wh)
+    loader.load_monthly(book, monthly_parquet("p", template, ["2024-01"]), datetime(2026, 1, 1))
+    loader.load_monthly(book, monthly_parquet("p", template, list(frames)), datetime(2026, 1, 2))
+    assert sorted((r.a, r.b) for r in wh.read_partitioned("raw", "p").collect()) == [(1, 2.0), (7, 3.0)]
+
+
+def test_types_that_cannot_be_cast_are_refused_before_data_is_read(spark):
+    wh = Warehouse(spark)
+    frames = {"2024-01": spark.createDataFrame([(1, 2.0)], "a long, b double"),
+              "2024-02": spark.createDataFrame([(1, [2.0])], "a long, b array<double>")}
+    src = monthly_parquet("p", _months(spark, wh, frames), list(frames))
+    contract, plans = loader.plan_months(RunBook(wh), src, "raw", {m: src.path_for_month(m) for m in frames})
+    assert contract["b"].dataType.typeName() == "double"
+    assert plans["2024-01"].refused is None and "CAST" in plans["2024-02"].refused.upper()
+
+
+def test_nan_is_no_value_in_any_load(spark):
+    from costindex.sources.registry import STATIC, Source
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, "x"), (2, 1.0, None)], "a long, `b.c` double, d string")
+    wh = Warehouse(spark)
+    book = RunBook(wh)
+    loader.load_static(book, Source("s", STATIC, reader=lambda: df), datetime(2026, 1, 1))
+    assert [tuple(r) for r in wh.read("raw", "s").orderBy("a").collect()] == [(1, None, "x"), (2, 1.0, None)]
+    loader.load_monthly(book, monthly_parquet("p", _months(spark, wh, {"2024-01": df}), ["2024-01"]), datetime(2026, 1, 1))
+    assert [tuple(r)[:3] for r in wh.read_partitioned("raw", "p").orderBy("a").collect()] == [(1, None, "x"), (2, 1.0, None)]
