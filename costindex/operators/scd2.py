@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,3 +120,25 @@ def as_of(dim: DataFrame, year: int | Column) -> DataFrame:
         "geography", F.col("_v.income_median").alias("income_median"),
         F.col("_v.income_mean").alias("income_mean"),
         F.col("_v.survey_year").alias("survey_year"))
+
+
+def as_of_join(rows: DataFrame, dim: DataFrame, geography: str, year: str) -> DataFrame:
+    """``rows`` with the version in force for each row's geography and year: income_median, income_mean, survey_year.
+
+    Versions become intervals of years (a later version of the same year hides
+    the earlier one), and an interval becomes one entry per year, no further
+    than the years that ``rows`` have.  What is joined is then an equality on
+    (geography, year) against a table of at most geographies x years, so rows
+    of one geography stay spread and no window runs over them.  Rows without a
+    version in force get nulls.
+    """
+    span = rows.agg(F.min(F.col(year).cast("int")).alias("_lo"), F.max(F.col(year).cast("int")).alias("_hi"))
+    after = F.lead("survey_year").over(Window.partitionBy("geography").orderBy("survey_year", "version"))
+    first = F.greatest("survey_year", "_lo")
+    last = F.least(F.coalesce(F.col("_next") - 1, F.col("_hi")), F.col("_hi"))
+    entries = (dim.withColumn("_next", after).crossJoin(F.broadcast(span))  # one row
+               .where(first <= last)
+               .select(F.col("geography").alias("_g"), F.explode(F.sequence(first, last)).alias("_y"),
+                       "income_median", "income_mean", "survey_year"))
+    match = (rows[geography] == entries["_g"]) & (rows[year].cast("int") == entries["_y"])
+    return rows.join(broadcast_if_small(entries), match, "left").drop("_g", "_y")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from costindex.functions import collapse_whitespace, round_half_away
 from costindex.operators import quality
-from costindex.operators.scd2 import as_of, empty_dim
+from costindex.operators.scd2 import as_of, as_of_join, empty_dim
 from costindex.plans import capture, marts, reports, signals, staging
 from costindex.sources import fixtures as fx
 from costindex.sources.tables import Warehouse, warehouse_for
@@ -310,6 +310,16 @@ def _scd2_as_of(i: Inputs) -> DataFrame:
     return as_of(i.income.table, AS_OF_YEAR)
 
 
+@query("scd2_as_of_join")
+def _scd2_as_of_join(i: Inputs) -> DataFrame:
+    """Every order with the income version in force in its year for its customer's nation."""
+    o = fx.table(i.spark, i.sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    c = fx.table(i.spark, i.sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = fx.table(i.spark, i.sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).select("o_orderkey", "nation", "year")
+    return as_of_join(rows, i.income.table, "nation", "year")
+
+
 @query("cdc_merge_history")
 def _cdc_merge_history(i: Inputs) -> DataFrame:
     return i.fuel.table

@@ -152,3 +152,16 @@ def test_survey_rows_of_one_year_follow_the_file(spark):
     s = spark.createDataFrame(rows, "state string, year int, income_median double, income_mean double, _row int")
     dim, _ = scd2_apply(s, empty_dim(spark), run_date(), order_by=["_row"])
     assert [r.income_median for r in dim.orderBy("version").collect()] == [500.0, 100.0]
+
+
+def test_as_of_join_takes_the_version_in_force(spark):
+    from costindex.operators.scd2 import DIM_SCHEMA, as_of_join
+    day = dt.date(2026, 1, 1)
+    versions = [("A", 2010, 1.0, 1), ("A", 2012, 2.0, 2), ("A", 2012, 3.0, 3), ("A", 2020, 4.0, 4), ("B", 2015, 9.0, 1)]
+    dim = spark.createDataFrame([(g, "state", None, m, y, day, None, False, v) for g, y, m, v in versions], DIM_SCHEMA)
+    asked = [("A", 2009), ("A", 2010), ("A", 2011), ("A", 2012), ("A", 2019), ("A", 2030), ("B", 2014), ("B", 2016), ("C", 2016), (None, 2016), ("A", None)]
+    rows = spark.createDataFrame(asked, "geo string, year int")
+    got = {(r.geo, r.year): r.income_median for r in as_of_join(rows, dim, "geo", "year").collect()}
+    assert got == {("A", 2009): None, ("A", 2010): 1.0, ("A", 2011): 1.0, ("A", 2012): 3.0, ("A", 2019): 3.0, ("A", 2030): 4.0,
+                   ("B", 2014): None, ("B", 2016): 9.0, ("C", 2016): None, (None, 2016): None, ("A", None): None}
+    assert as_of_join(rows.limit(0), dim, "geo", "year").collect() == []
