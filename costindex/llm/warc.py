@@ -1,8 +1,10 @@
 """WARC records in ZIP archives: a Spark writer and a range reader.
 
-An archive is a ZIP file whose members are stored, not compressed:
-``archive/data.warc.gz`` (every WARC record is a gzip member of its own) and
-``indexes/index.cdxj`` (one JSON line per record with its offset and length).
+An archive is a ZIP file in the usual web-archive layout, its members stored,
+not compressed: ``archive/data.warc.gz`` (every WARC record is a gzip member of
+its own), ``indexes/index.cdx`` (sorted lines: sort key, time, JSON with file
+name, offset and length) and ``datapackage.json`` (the members with their sizes
+and digests).
 
 Writing: the payload that several pages share (equal SHA-1, at least
 ``MIN_REVISIT`` bytes) is written once, as the response of the largest page id;
@@ -12,9 +14,13 @@ only the paths of tasks that succeeded reach the manifest, so files left by a
 lost attempt are never read.
 
 Reading: the end of the file gives the central directory (ZIP64 where used), the
-directory gives the stored members, the index gives the records, and each block
+directory gives the stored members, the indexes give the records, and each block
 of neighbouring records is read by its byte range.  Nothing is extracted.
-Payload digests are checked against the records.
+Payload digests are checked against the records.  Archives of other writers are
+read alike: any number of data members (``.warc.gz`` or ``.warc``), any number of
+indexes (also gzip, or compressed in the ZIP), records listed twice read once; a
+data member that no index names is read as one range from its start to its end.
+Responses, revisits and resources are returned, other record types are not.
 
 The archives are reached with ``pyarrow.fs``, so the shared folder may be a
 mounted path or any store it knows by URI.
@@ -23,7 +29,10 @@ Defined results: a null html is an empty payload; pages below ``MIN_REVISIT`` ar
 all responses; pages without an id never become the response of others and
 refer to it like others; rows that repeat the largest id are all responses;
 null urls are written as ``about:blank``; an empty table gives no archive and no
-rows.
+rows.  A very long html is one record, and a task holds one record at a time
+beside a block of ``RANGE_BYTES``.  Only the three named columns are read, so other
+columns may have any name.  Records of other writers have a null page_id; a data
+member compressed in the ZIP, or one an index names but the ZIP has not, is an error.
 """
 
 from __future__ import annotations
@@ -36,6 +45,7 @@ import struct
 import uuid
 import zipfile
 import zlib
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -48,10 +58,14 @@ MIN_REVISIT = 1000
 ARCHIVE_BYTES, ARCHIVE_RECORDS = 256 << 20, 100_000
 #: Neighbouring records are read together up to so many bytes.
 RANGE_BYTES = 1 << 20
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+# Names in the archive layout.
+DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdx", "datapackage.json"
+DATA_ENDINGS, INDEX_ENDINGS = (".warc.gz", ".warc"), (".cdx", ".cdxj", ".cdx.gz", ".cdxj.gz")
+RECORD_TYPES = ("response", "revisit", "resource")
 UNDATED = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+           "record_id string, refers_to_record string, payload binary")
 
 
 def open_store(uri: str):
@@ -69,13 +83,30 @@ def _page_urn(page_id: int | None) -> str:
 
 
 def _urn_page(urn: str | None) -> int | None:
-    value = urn[len("<urn:x-page:"):-1] if urn else "none"
-    return None if value == "none" else int(value)
+    own = re.fullmatch(r"<urn:x-page:(-?\d+)>", urn or "")
+    return int(own.group(1)) if own else None
+
+
+def _target(url: str | None) -> str:
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url) if url else "about:blank"
+
+
+def sort_key(url: str) -> str:
+    """The index key of a target: host labels from the last to the first, port, path and query, in lower case."""
+    try:
+        u = urlsplit(url)
+        host, port = u.hostname, u.port
+    except ValueError:
+        return url.lower()
+    if not host:
+        return url.lower()
+    labels = ",".join(reversed(host.split(".")))
+    return f"{labels}{f':{port}' if port else ''}){u.path or '/'}{'?' + u.query if u.query else ''}".lower()
 
 
 def make_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = UNDATED) -> bytes:
     """One gzip member with a response or revisit record."""
-    target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url) if url else "about:blank"
+    target = _target(url)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     labelled = base64.b32encode(bytes.fromhex(digest)).decode()
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_page_urn(page_id)}",
@@ -97,31 +128,133 @@ def _headers(raw: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, v in pairs}
 
 
-def parse_record(raw: bytes) -> dict:
-    """A record's page, url, payload size and digest, type, reference and payload (None in a revisit)."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    if not head.startswith(b"WARC/"):
+def _unchunked(body: bytes) -> bytes | None:
+    """The body without chunk marks; None when it is not in whole chunks."""
+    parts, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        size = body[at:end].split(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]+", size):
+            return None
+        n, at = int(size, 16), end + 2
+        if n == 0:
+            return b"".join(parts)
+        if at + n > len(body):
+            return None
+        parts.append(body[at:at + n])
+        at += n + 2
+    return None
+
+
+def _sha1_label(label: str | None) -> str | None:
+    """The hex digest of a SHA-1 label in base 32 or hex; None for no label or another algorithm."""
+    kind, _, value = (label or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
+def parse_record(raw: bytes) -> dict | None:
+    """A record's page, url, payload size and digest, type, reference and payload (None in a revisit).
+
+    None for records of other types than ``RECORD_TYPES``.  The payload of a
+    response in chunks is what the chunks hold; a SHA-1 label must fit that or the
+    body as stored.
+    """
+    head, mark, rest = raw.partition(b"\r\n\r\n")
+    if not head.startswith(b"WARC/") or not mark:
         raise ValueError("not a WARC record")
     h = _headers(head)
-    block = rest[:int(h["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    digest = base64.b32decode(h["warc-payload-digest"].removeprefix("sha1:")).hex()
-    size = int(_headers(http)["content-length"])
-    response = h["warc-type"] == "response"
-    if response and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-        raise ValueError(f"{h['warc-record-id']}: the payload does not match its digest")
-    return {"page_id": _urn_page(h["warc-record-id"]), "url": h["warc-target-uri"], "payload_bytes": size, "payload_digest": digest,
-            "record_type": h["warc-type"], "refers_to": _urn_page(h.get("warc-refers-to")), "payload": payload if response else None}
+    kind, name = h.get("warc-type"), h.get("warc-record-id")
+    if kind not in RECORD_TYPES:
+        return None
+    length = int(h["content-length"])
+    if len(rest) < length:
+        raise ValueError(f"{name}: the record is cut off")
+    body, http = rest[:length], {}
+    if h.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        lines, _, body = body.partition(b"\r\n\r\n")
+        http = _headers(lines)
+    digest = _sha1_label(h.get("warc-payload-digest"))
+    if kind == "revisit":
+        size = http.get("content-length", "")
+        payload, size = None, int(size) if size.isdigit() else None
+    else:
+        whole = _unchunked(body) if "chunked" in http.get("transfer-encoding", "").lower() else None
+        payload = body if whole is None else whole
+        found, size = hashlib.sha1(payload).hexdigest(), len(payload)
+        if digest not in (None, found, hashlib.sha1(body).hexdigest() if whole is not None else found):
+            raise ValueError(f"{name}: the payload does not match its digest")
+        digest = found
+    return {"page_id": _urn_page(name), "url": h.get("warc-target-uri", "").removeprefix("<").removesuffix(">") or None,
+            "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": _urn_page(h.get("warc-refers-to")),
+            "record_id": name, "refers_to_record": h.get("warc-refers-to"), "payload": payload}
+
+
+def _chunks(f, at: int, length: int):
+    """The bytes of a range, ``RANGE_BYTES`` at a time."""
+    f.seek(at)
+    while length:
+        data = f.read(min(length, RANGE_BYTES))
+        if not data:
+            raise ValueError("the archive is cut off")
+        length -= len(data)
+        yield data
+
+
+def _members(chunks):
+    """The uncompressed gzip members of a stream, one after another."""
+    z, parts = None, []
+    for data in chunks:
+        while data:
+            z = z or zlib.decompressobj(31)
+            parts.append(z.decompress(data))
+            data = z.unused_data
+            if z.eof:
+                yield b"".join(parts)
+                z, parts = None, []
+    if z is not None:
+        raise ValueError("a record is cut off")
 
 
 def split_members(data: bytes):
     """The uncompressed gzip members of ``data``, one after another."""
-    while data:
-        z = zlib.decompressobj(31)
-        yield z.decompress(data) + z.flush()
-        if not z.eof:
-            raise ValueError("a record is cut off")
-        data = z.unused_data
+    return _members([data])
+
+
+def split_records(chunks):
+    """The WARC records of an uncompressed stream, by their content lengths."""
+    held, need = bytearray(), 0
+    for data in chunks:
+        held += data
+        at = 0
+        while True:
+            if not need:
+                while at < len(held) and held[at] in b"\r\n":
+                    at += 1
+                end = held.find(b"\r\n\r\n", at)
+                if end < 0:
+                    break
+                length = _headers(bytes(held[at:end])).get("content-length")
+                if not held.startswith(b"WARC/", at) or length is None:
+                    raise ValueError("not a WARC record")
+                need = end + 4 - at + int(length)
+            if len(held) - at < need:
+                break
+            yield bytes(held[at:at + need])
+            at += need
+            need = 0
+        del held[:at]
+    if need or held:
+        raise ValueError("a record is cut off")
+
+
+def records_of(f, at: int, length: int, packed: bool):
+    """The records in a byte range of an open file; a gzip member may hold several."""
+    if not packed:
+        yield from split_records(_chunks(f, at, length))
+        return
+    for member in _members(_chunks(f, at, length)):
+        yield from split_records([member])
 
 
 # ---- ZIP directory -----------------------------------------------------------------
@@ -129,8 +262,15 @@ def split_members(data: bytes):
 def zip_members(read, size: int) -> dict[str, tuple[int, int]]:
     """Stored members of a ZIP file: name -> (offset of its data, length).  ``read(offset, length)`` gets a byte range.
 
-    Sizes and offsets of 0xFFFFFFFF are taken from the ZIP64 records.  Compressed
-    or encrypted members are left out, as their bytes cannot be read by range.
+    Compressed or encrypted members are left out, as their bytes cannot be read by range.
+    """
+    return {name: (at, length) for name, (at, length, method) in zip_directory(read, size).items() if method == 0}
+
+
+def zip_directory(read, size: int) -> dict[str, tuple[int, int, int]]:
+    """All members: name -> (offset of its data, length there, method: 0 stored, 8 deflated, -1 encrypted).
+
+    Sizes and offsets of 0xFFFFFFFF are taken from the ZIP64 records.
     """
     tail_at = max(0, size - (22 + 65535 + 20))
     tail = read(tail_at, size - tail_at)
@@ -174,28 +314,31 @@ def zip_members(read, size: int) -> dict[str, tuple[int, int]]:
                 local = next(wide) if local == 0xFFFFFFFF else local
             k += 4 + length
         at += 46 + n_name + n_extra + n_comment
-        if method == 0 and not flags & 1:
-            head = read(local + shift, 30)
-            if head[:4] != b"PK\x03\x04":
-                raise ValueError(f"bad local header of {name}")
-            out[name] = (local + shift + 30 + sum(struct.unpack_from("<HH", head, 26)), packed)
+        head = read(local + shift, 30)
+        if head[:4] != b"PK\x03\x04":
+            raise ValueError(f"bad local header of {name}")
+        out[name] = (local + shift + 30 + sum(struct.unpack_from("<HH", head, 26)), packed, -1 if flags & 1 else method)
     return out
 
 
 # ---- writing -----------------------------------------------------------------------
 
 class _Archive:
-    """An archive being written: records stream into the data member, the index follows."""
+    """An archive being written: records stream into the data member; the index and the package file follow."""
 
     def __init__(self, store, path: str):
-        self.path, self.index, self.bytes = path, [], 0
+        self.path, self.index, self.bytes, self.sha = path, [], 0, hashlib.sha256()
         self.stream = store.open_output_stream(path)
         self.zip = zipfile.ZipFile(self.stream, "w", zipfile.ZIP_STORED)
         self.data = self.zip.open(zipfile.ZipInfo(DATA), "w", force_zip64=True)
 
-    def add(self, record: bytes) -> None:
+    def add(self, url: str | None, record: bytes, digest: str, refers_to: int | None, date: str = UNDATED) -> None:
         self.data.write(record)
-        self.index.append(json.dumps({"offset": self.bytes, "length": len(record)}))
+        self.sha.update(record)
+        target = _target(url)
+        about = {"url": target, "mime": "text/html" if refers_to is None else "warc/revisit", "status": "200", "digest": f"sha1:{digest}",
+                 "length": str(len(record)), "offset": str(self.bytes), "filename": DATA.rsplit("/", 1)[1]}
+        self.index.append(f"{sort_key(target)} {re.sub('[^0-9]', '', date)} {json.dumps(about)}\n")
         self.bytes += len(record)
 
     def full(self) -> bool:
@@ -203,7 +346,11 @@ class _Archive:
 
     def close(self) -> tuple[str, int]:
         self.data.close()
-        self.zip.writestr(zipfile.ZipInfo(INDEX), "\n".join(self.index))
+        index = "".join(sorted(self.index)).encode()
+        self.zip.writestr(zipfile.ZipInfo(INDEX), index)
+        parts = [(DATA, self.bytes, self.sha), (INDEX, len(index), hashlib.sha256(index))]
+        self.zip.writestr(zipfile.ZipInfo(PACKAGE), json.dumps({"profile": "data-package", "wacz_version": "1.1.1", "resources": [
+            {"name": p.rsplit("/", 1)[1], "path": p, "hash": f"sha256:{h.hexdigest()}", "bytes": n} for p, n, h in parts]}))
         self.zip.close()
         self.stream.close()
         return self.path, len(self.index)
@@ -228,7 +375,7 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
         for b in batches:
             for page, url, text, digest, refers in zip(*(c.to_pylist() for c in b.columns)):
                 archive = archive or _Archive(store, f"{folder}/{uuid.uuid4().hex}.wacz")
-                archive.add(make_record(page, url, text.encode("utf-8"), digest, refers))
+                archive.add(url, make_record(page, url, text.encode("utf-8"), digest, refers), digest, refers)
                 if archive.full():
                     done.append(archive.close())
                     archive = None
@@ -243,8 +390,48 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
 
 # ---- reading -----------------------------------------------------------------------
 
+def _index_lines(f, at: int, length: int, method: int, name: str):
+    """The lines of an index member, streamed: plain or gzip, stored or compressed in the ZIP."""
+    if method not in (0, 8):
+        raise ValueError(f"{name} cannot be read")
+    chunks = _chunks(f, at, length)
+    if method == 8:
+        z = zlib.decompressobj(-15)
+        chunks = (z.decompress(c) for c in chunks)
+    if name.endswith(".gz"):
+        chunks = _members(chunks)
+    held = b""
+    for data in chunks:
+        *lines, held = (held + data).split(b"\n")
+        yield from lines
+    yield held
+
+
+def _entry(line: bytes) -> tuple[str | None, int, int] | None:
+    """(data file or None, offset, length) of an index line, whose JSON may follow a key and a time; None for other lines."""
+    text = line.decode("utf-8").rstrip("\r")
+    if not text.strip() or text[0] in " !":
+        return None
+    if not text.startswith("{"):
+        key_time_json = text.split(" ", 2)
+        if len(key_time_json) < 3 or not key_time_json[2].startswith("{"):
+            raise ValueError(f"not an index line: {text[:200]}")
+        text = key_time_json[2]
+    e = json.loads(text)
+    return e.get("filename"), int(e["offset"]), int(e["length"])
+
+
+def _data_member(name: str | None, data: list[str]) -> str:
+    """The data member an index means: by its whole name, else by its last part, else the only one."""
+    last = (name or "").rsplit("/", 1)[-1]
+    fits = [m for m in data if m == name] or [m for m in data if name is None or m.rsplit("/", 1)[-1] == last]
+    if len(fits) != 1:
+        raise ValueError(f"the index names {name!r}; the data members are {data}")
+    return fits[0]
+
+
 def _ranges(f, size: int):
-    """(offset, length) of blocks of neighbouring records."""
+    """(offset, length, gzip) of blocks of neighbouring records; a member without index entries is one block."""
     def read(offset, length):
         f.seek(offset)
         data = f.read(length)
@@ -252,19 +439,37 @@ def _ranges(f, size: int):
             raise ValueError("the archive is cut off")
         return data
 
-    members = zip_members(read, size)
-    (data_at, _), (index_at, index_size) = members[DATA], members[INDEX]
-    start = length = 0
-    for line in read(index_at, index_size).decode().splitlines():
-        entry = json.loads(line)
-        if length and (entry["offset"] != start + length or length + entry["length"] > RANGE_BYTES):
-            yield data_at + start, length
-            length = 0
-        if not length:
-            start = entry["offset"]
-        length += entry["length"]
-    if length:
-        yield data_at + start, length
+    members = zip_directory(read, size)
+    found: dict[str, set[tuple[int, int]]] = {m: set() for m in members if m.endswith(DATA_ENDINGS)}
+    for m in found:
+        if members[m][2] != 0:
+            raise ValueError(f"{m} is compressed in the ZIP, so it has no byte ranges")
+    named: dict[str | None, str] = {}
+    for m in members:
+        if m.endswith(INDEX_ENDINGS):
+            for line in _index_lines(f, *members[m], m):
+                entry = _entry(line)
+                if entry:
+                    name, offset, length = entry
+                    if name not in named:
+                        named[name] = _data_member(name, list(found))
+                    found[named[name]].add((offset, length))
+    for m, entries in found.items():
+        data_at, data_size, _ = members[m]
+        packed = m.endswith(".gz")
+        if not entries:
+            if data_size:
+                yield data_at, data_size, packed
+            continue
+        start = end = None
+        for offset, length in sorted(entries):
+            if offset + length > data_size:
+                raise ValueError(f"an index entry lies behind the end of {m}")
+            if end is not None and (offset != end or end + length - start > RANGE_BYTES):
+                yield data_at + start, end - start, packed
+                start = None
+            start, end = offset if start is None else start, offset + length
+        yield data_at + start, end - start, packed
 
 
 def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
@@ -276,25 +481,38 @@ def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
                 with store.open_input_file(name) as f:
                     found = list(_ranges(f, f.size()))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(found)), pa.array([x[0] for x in found], pa.int64()),
-                                                      pa.array([x[1] for x in found], pa.int64())], names=["path", "at", "length"])
+                    at, length, packed = zip(*found)
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(found)), pa.array(at, pa.int64()),
+                                                      pa.array(length, pa.int64()), pa.array(packed)], names=["path", "at", "length", "packed"])
 
     def fetch(batches):
         names = [f.split()[0] for f in RECORDS.split(", ")]
-        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+
+        def batch(records):
+            return pa.RecordBatch.from_arrays([pa.array([r[n] for r in records], t) for n, t in zip(names, types)], names=names)
+
         for b in batches:
-            for path, at, length in zip(*(c.to_pylist() for c in b.columns)):
+            for path, at, length, packed in zip(*(c.to_pylist() for c in b.columns)):
                 store, name = open_store(path)
+                records, held = [], 0
                 with store.open_input_file(name) as f:
-                    f.seek(at)
-                    records = [parse_record(r) for r in split_members(f.read(length))]
-                if not payload:
-                    for r in records:
-                        r["payload"] = None
-                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in records], t) for n, t in zip(names, types)], names=names)
+                    for raw in records_of(f, at, length, packed):
+                        r = parse_record(raw)
+                        if r is None:
+                            continue
+                        held += len(raw) if payload else 200
+                        if not payload:
+                            r["payload"] = None
+                        records.append(r)
+                        if held >= RANGE_BYTES:
+                            yield batch(records)
+                            records, held = [], 0
+                if records:
+                    yield batch(records)
 
     n = partitions(manifest.sparkSession)
-    ranges = manifest.select("path").repartition(n).mapInArrow(locate, "path string, at long, length long")
+    ranges = manifest.select("path").repartition(n).mapInArrow(locate, "path string, at long, length long, packed boolean")
     return ranges.repartition(n).mapInArrow(fetch, RECORDS)
 
 

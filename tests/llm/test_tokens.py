@@ -1,7 +1,10 @@
 """Packing, BPE, token counts and WARC against the libraries and exact round trips, and the pipeline."""
 
+import base64
+import gzip
 import hashlib
 import io
+import json
 import random
 import struct
 import zipfile
@@ -226,6 +229,96 @@ def test_damage_is_noticed():
         list(warc.split_members(record[:-3]))
 
 
+def _foreign_record(kind, target, http, body, label=None, packed=True, more=()):
+    block = (http + "\r\n\r\n").encode() + body if http else body
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{hashlib.md5(target.encode() + body).hexdigest()}>",
+             "WARC-Date: 2020-01-02T03:04:05Z", f"WARC-Target-URI: {target}", *more]
+    if http:
+        lines.append(f"Content-Type: application/http; msgtype={'request' if kind == 'request' else 'response'}")
+    if label:
+        lines.append(f"WARC-Payload-Digest: {label}")
+    raw = "\r\n".join([*lines, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return gzip.compress(raw) if packed else raw
+
+
+def _foreign_archive(path, damage=None):
+    """Two gzip data members (one with a single gzip member for all records), one plain member without index; a gzip and a plain index."""
+    def sha1(b):
+        return hashlib.sha1(b)
+    big = b"<p>big</p>" * 300_000
+    info = _foreign_record("warcinfo", "info", "", b"software: other\r\n")
+    chunked = b"5\r\nhello\r\n6;x=y\r\n world\r\n0\r\n\r\n"
+    one = [_foreign_record("request", "http://a.example/", "GET / HTTP/1.1\r\nHost: a.example", b""),
+           _foreign_record("response", "http://a.example/", "HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked", chunked,
+                           "sha1:" + base64.b32encode(sha1(b"hello world").digest()).decode()),
+           _foreign_record("response", "http://b.example/x?q=1", "HTTP/1.1 200 OK", big, "sha1:" + sha1(big).hexdigest()),
+           _foreign_record("response", "http://b.example/y", "HTTP/1.1 404 Not Found\r\nContent-Length: 999", b"gone", "sha256:00")]
+    two = [_foreign_record("response", "http://c.example/", "HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked", b"no chunks", packed=False),
+           _foreign_record("revisit", "http://c.example/z", "HTTP/1.1 200 OK\r\nContent-Length: 11", b"", "sha1:" + sha1(b"hello world").hexdigest(),
+                           packed=False, more=["WARC-Refers-To: <urn:uuid:1>"])]
+    three = [_foreign_record("resource", f"urn:text:{k}", "", b"r" * k, packed=False) for k in (0, 1, 2_000_000)]
+    lines, at = [], len(info)
+    for k, r in enumerate(one):
+        if k:  # requests are in no index
+            lines.append(f'com,k{k})/ 20200102030405 {{"url": "u", "filename": "rec-1.warc.gz", "offset": "{at}", "length": "{len(r)}"}}')
+        at += len(r)
+    if damage == "name":
+        lines[0] = lines[0].replace("rec-1", "rec-9")
+    with zipfile.ZipFile(path, "w") as z:
+        def put(name, data, method=zipfile.ZIP_STORED):
+            z.writestr(zipfile.ZipInfo(name), data, method)
+        put("datapackage.json", "{}")
+        put("indexes/index.cdx.gz", gzip.compress("\n".join([" CDX header", *lines[:2]]).encode()) + gzip.compress(("\n" + lines[2]).encode()))
+        put("indexes/index.idx", '!meta {"format": "cdxj-gzip-1.0"}')
+        put("indexes/again.cdxj", "\n".join(lines[::-1]) + "\n", zipfile.ZIP_DEFLATED)
+        put("archive/rec-1.warc.gz", info + b"".join(one), zipfile.ZIP_DEFLATED if damage == "method" else zipfile.ZIP_STORED)
+        put("archive/rec-2.warc.gz", gzip.compress(b"".join(two)))
+        put("archive/rec-3.warc", b"".join(three)[:-100 if damage == "cut" else None])
+    return {("http://a.example/", "response", b"hello world"), ("http://b.example/x?q=1", "response", big), ("http://b.example/y", "response", b"gone"),
+            ("http://c.example/", "response", b"no chunks"), ("http://c.example/z", "revisit", None),
+            *((f"urn:text:{k}", "resource", b"r" * k) for k in (0, 1, 2_000_000))}
+
+
+def test_archives_of_other_writers_are_read(spark, tmp_path):
+    path = str(tmp_path / "other.wacz")
+    want = _foreign_archive(path)
+    manifest = spark.createDataFrame([(path,)], "path string")
+    got = warc.read_archives(manifest, payload=True).collect()
+    assert len(got) == len(want) and {(r.url, r.record_type, r.payload if r.payload is None else bytes(r.payload)) for r in got} == want
+    for r in got:
+        assert r.page_id is None and r.refers_to is None and r.record_id.startswith("<urn:uuid:")
+        assert r.refers_to_record == ("<urn:uuid:1>" if r.record_type == "revisit" else None)
+        assert r.payload_bytes == (11 if r.record_type == "revisit" else len(r.payload))
+        assert r.payload_digest == hashlib.sha1(b"hello world" if r.record_type == "revisit" else r.payload).hexdigest()
+
+
+@pytest.mark.parametrize("damage, message", [("name", "the index names"), ("method", "compressed in the ZIP"), ("cut", "cut off")])
+def test_damaged_archives_of_other_writers_raise(tmp_path, damage, message):
+    path = tmp_path / "bad.wacz"
+    _foreign_archive(path, damage)
+    with pytest.raises(ValueError, match=message), open(path, "rb") as f:
+        for at, length, packed in warc._ranges(f, path.stat().st_size):
+            list(map(warc.parse_record, warc.records_of(f, at, length, packed)))
+
+
+def test_written_archives_have_the_usual_layout(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://h{k}.Example:81/p{k}?x", "t" * k) for k in range(40)], "page_id long, url string, html string").coalesce(1)
+    (path, records), = warc.write_archives(pages, str(tmp_path / "w")).collect()
+    assert records == 40
+    with zipfile.ZipFile(path) as z:
+        assert {i.compress_type for i in z.infolist()} == {zipfile.ZIP_STORED}
+        package = json.loads(z.read("datapackage.json"))
+        for r in package["resources"]:
+            data = z.read(r["path"])
+            assert len(data) == r["bytes"] and r["hash"] == "sha256:" + hashlib.sha256(data).hexdigest()
+        lines, data = z.read("indexes/index.cdx").decode().splitlines(), z.read("archive/data.warc.gz")
+    assert len(lines) == 40 and lines == sorted(lines) and lines[0].startswith("example,h0:81)/p0?x 19700101000000 {")
+    for line in lines:
+        e = json.loads(line.split(" ", 2)[2])
+        raw = gzip.decompress(data[int(e["offset"]):int(e["offset"]) + int(e["length"])])
+        assert warc.parse_record(raw)["url"] == e["url"] and e["filename"] == "data.warc.gz"
+
+
 # ---- pipeline -----------------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark):
