@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -54,6 +54,14 @@ def summary(name: str, df: DataFrame, violation: Column) -> DataFrame:
         .select(F.lit(name).alias("test_name"), "rows_checked", "failures")
 
 
+def summaries(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
+    """``summary`` of several tests, one row each, in one pass over ``df``."""
+    counts = df.agg(F.count(F.lit(1)).alias("rows_checked"), *[F.count_if(v).alias(f"f{k}") for k, v in enumerate(violations.values())])
+    rows = F.array(*[F.struct(F.lit(name).alias("test_name"), "rows_checked", F.col(f"f{k}").alias("failures"))
+                     for k, name in enumerate(violations)])
+    return counts.select(F.inline(rows))
+
+
 def unique_summary(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows checked and keys that occur more than once, in one aggregation by key."""
     n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from costindex.functions import ntz
 
-from costindex.plans import oracle
+from costindex.plans import marts, oracle
 from costindex.plans.queries import (RUN_DATE, RUN_TS, Inputs, capture, query)
 from costindex.sources import loader, state
 from costindex.sources.meta import RunBook
 from costindex.sources.registry import STATIC, Source, month_window, monthly_parquet
-from costindex.sources.tables import Warehouse
+from costindex.sources.tables import Audit, AuditFailed, Warehouse
 
 AT = datetime.fromisoformat(RUN_TS)
 STATIC_FIXTURES = {
@@ -37,7 +37,7 @@ MISSING_SOURCE = "cpi_national"       # its landing file is absent: logged as fa
 FIRST_AS_OF = date(2001, 1, 15)       # window 1999-01 .. 2000-12
 SECOND_AS_OF = date(2001, 12, 15)     # window 1999-12 .. 2001-11
 REPLACED_MONTH = "2001-06"
-SPLIT_FILES = 40                      # files a micro-batch in the split load
+SPLIT_FILES = 1                       # files a micro-batch in the split load
 
 
 def _static_sources(i: Inputs) -> dict[str, Source]:
@@ -258,7 +258,7 @@ NAN_ROWS = {
 @query("load_nan_rule")
 def _load_nan_rule(i: Inputs) -> DataFrame:
     """Sources with NaN in prices, index, registrations and ridership: loaded, staged, made into marts and scored."""
-    from costindex.plans import marts, staging
+    from costindex.plans import staging
     from costindex.sources import fixtures as fxm
     from costindex.sources.registry import PRICES
     book = _fresh(i)
@@ -459,6 +459,52 @@ select fuel_type, fuel_date, price, change_direction from mart_fuel_timeline""",
                       ["mart_fuel_timeline"])
 
 
+# ---- L-1 mart order, Q-4 keys enforced -----------------------------------------------
+MART_FILES = 5                        # files of the ordered mart
+
+
+@query("marts_order")
+def _marts_order(i: Inputs) -> DataFrame:
+    """The price mart written in order over several files: each row with its place in them."""
+    wh = Warehouse(i.spark)
+    wh.write_ordered("marts", "mart_price_summary", i.price_summary, marts.PRICE_SUMMARY_KEYS, files=MART_FILES,
+                     audit=Audit(marts.PRICE_SUMMARY_KEYS, ["month"]))
+    return wh.with_position("marts", "mart_price_summary").select(*marts.PRICE_SUMMARY_KEYS, "median_price", "position")
+
+
+oracle.register_final("marts_order", """
+select month, state, item_category, median_price,
+       row_number() over (order by month nulls last, state nulls last, item_category nulls last) as position
+from mart_price_summary""", ["mart_price_summary"])
+
+
+@query("publish_audited")
+def _publish_audited(i: Inputs) -> DataFrame:
+    """A version of the fuel history that repeats keys and lacks prices is written, refused, and the one before stays."""
+    wh = Warehouse(i.spark)
+    book = RunBook(wh)
+    audit = Audit(capture.FUEL_KEYS, ["date_effective", "fuel_type", "price", "loaded_at"])
+    fuel = wh.write_snapshot("warehouse", "fuel", i.fuel.table.where(F.col("price").isNotNull()), audit=audit)
+    diesel = F.col("fuel_type") == "diesel"
+    dirty = fuel.unionByName(fuel.where(diesel)).withColumn("price", F.when(diesel, F.col("price")))
+    try:
+        wh.write_snapshot("warehouse", "fuel", dirty, audit=audit)
+        raise RuntimeError("a version with repeated keys was published")
+    except AuditFailed as e:
+        book.log_run("fuel", AT, "failed", error=str(e))
+        found = audit.summary(i.spark.read.parquet(e.target)).select(F.col("test_name").alias("item"), F.col("failures").alias("n"))
+    current = wh.read("warehouse", "fuel").agg(F.count(F.lit(1)).alias("n")).select(F.lit("current").alias("item"), "n")
+    runs = book.runs().groupBy("status").agg(F.count(F.lit(1)).alias("n")).select(F.concat(F.lit("runs "), "status").alias("item"), "n")
+    return found.unionByName(current).unionByName(runs)
+
+
+oracle.register_final("publish_audited", """
+select 'unique' as item, count(*) as n from fuel_hist where price is not null and fuel_type = 'diesel'
+union all select 'not_null', count(*) from fuel_hist where price is not null and fuel_type <> 'diesel'
+union all select 'current', count(*) from fuel_hist where price is not null
+union all select 'runs failed', 1""", ["fuel_hist"])
+
+
 # ---- S-5 as a stream ----------------------------------------------------------------------
 @query("stream_incremental_load")
 def _stream_incremental_load(i: Inputs) -> DataFrame:
@@ -479,15 +525,15 @@ select _month_partition as month, count(*) as rows_in_month from fx_prices group
 
 @query("stream_incremental_load_split")
 def _stream_incremental_load_split(i: Inputs) -> DataFrame:
-    """Every month arrives in two drops, SPLIT_FILES files a micro-batch: nothing is lost."""
+    """Every month arrives in two drops, of two files and of one, SPLIT_FILES files a micro-batch: nothing is lost."""
     from costindex.streaming.incremental import run_incremental_stream
     book = _fresh(i)
     prices = i.fx("fx_prices")
     landing = book.wh.path("landing", "split_prices")
     late = F.pmod(F.col("item_code"), F.lit(2)) == 1
     for drop, rows in enumerate((prices.where(~late), prices.where(late))):
-        # a month's rows of one drop go to one file
-        rows.repartition("_month_partition").write.mode("append").partitionBy("_month_partition").parquet(landing)
+        # the first drop has two files a month, so a month is split between the batches of a run
+        rows.repartition("_month_partition", F.pmod(F.col("premise_code"), F.lit(2 - drop))).write.mode("append").partitionBy("_month_partition").parquet(landing)
         run_incremental_stream(book, "pricecatcher_prices", landing, prices.schema,
                                book.wh.path("state", "split_checkpoint"), AT + timedelta(days=drop),
                                max_files_per_trigger=SPLIT_FILES)

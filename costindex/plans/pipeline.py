@@ -6,9 +6,11 @@ marts), never through the driver.  Staging stays lazy; marts are written.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from costindex.plans import capture, marts, signals, staging
 from costindex.sources import loader, state
 from costindex.sources.meta import RunBook
 from costindex.sources.registry import Source
-from costindex.sources.tables import Warehouse
+from costindex.sources.tables import Audit, AuditFailed, Warehouse
 
 FUEL_HISTORY = T.StructType([
     T.StructField("date_effective", T.DateType()),
@@ -52,15 +54,24 @@ def _table_or_empty(wh: Warehouse, layer: str, name: str, schema: T.StructType)
     return wh.spark.createDataFrame([], schema)
 
 
-HISTORIES = ("fuel_price_history", "gdp_quarterly", "dim_household_income")
+#: What a history must satisfy before its new version becomes the current one.
+AUDITS = {
+    "fuel_price_history": Audit(capture.FUEL_KEYS, ["date_effective", "fuel_type", "price", "loaded_at"]),
+    "gdp_quarterly": Audit(capture.GDP_KEYS, ["quarter", "series", "loaded_at"]),
+    "dim_household_income": Audit(["geography", "version"],
+                                  ["geography", "geography_type", "survey_year", "valid_from", "is_current"]),
+}
+HISTORIES = tuple(AUDITS)
 
 
 def run_cdc(book: RunBook, at: datetime) -> DataFrame:
     """Compare the raw tables with the stored histories; write the change log, then the histories.
 
-    The events of a run replace themselves when the run is repeated with the
-    same ``at``, and no history moves before they are written: a crash between
-    the steps loses no event, and the retry doubles none.
+    New versions are written and audited first.  One that fails is logged as a
+    failed run; it and its events are left out, so the next run finds the same
+    changes again.  The events of a run replace themselves when the run is
+    repeated with the same ``at``, and no history moves before they are written:
+    a crash between the steps loses no event, and the retry doubles none.
     """
     wh = book.wh
     stamp = ntz(at)
@@ -75,25 +86,33 @@ def run_cdc(book: RunBook, at: datetime) -> DataFrame:
     def in_order(name):
         return capture.in_file_order(wh.read("raw", name))
 
-    events = []
+    events = {}
     if wh.has_table("raw", "fuel_prices"):
         prev = _table_or_empty(wh, "warehouse", "fuel_price_history", FUEL_HISTORY)
-        events.append(capture.capture_fuel(in_order("fuel_prices"), prev, stamp, keep, capture.FILE_ORDER).events)
+        events["fuel_price_history"] = capture.capture_fuel(
+            in_order("fuel_prices"), prev, stamp, keep, capture.FILE_ORDER).events
     if wh.has_table("raw", "gdp_quarterly"):
         prev = _table_or_empty(wh, "warehouse", "gdp_quarterly", GDP_HISTORY)
-        events.append(capture.capture_gdp(in_order("gdp_quarterly"), prev, stamp, keep, capture.FILE_ORDER).events)
+        events["gdp_quarterly"] = capture.capture_gdp(
+            in_order("gdp_quarterly"), prev, stamp, keep, capture.FILE_ORDER).events
     if wh.has_table("raw", "household_income"):
         prev = _table_or_empty(wh, "warehouse", "dim_household_income", DIM_SCHEMA)
-        events.append(capture.capture_income(in_order("household_income"), prev,
-                                             F.lit(at.date()), keep, capture.FILE_ORDER).events)
+        events["dim_household_income"] = capture.capture_income(
+            in_order("household_income"), prev, F.lit(at.date()), keep, capture.FILE_ORDER).events
     if not events:
         return None
-    all_events = events[0]
-    for e in events[1:]:
-        all_events = all_events.unionByName(e)
-    book.append_changes(capture.with_detected_at(all_events, stamp))
+    ready = {}
     for name, df in tables.items():
-        wh.write_snapshot("warehouse", name, df)
+        try:
+            ready[name] = wh.prepare("warehouse", name, df, AUDITS[name])
+        except AuditFailed as e:    # the version before stays current; the other histories go on
+            book.log_run(name, at, "failed", error=str(e))
+            print(f"[{name}] {e}", file=sys.stderr)
+    logged = [events[name] for name in events if name in ready]
+    if logged:
+        book.append_changes(capture.with_detected_at(reduce(DataFrame.unionByName, logged), stamp))
+    for target in ready.values():
+        wh.publish(target)
     return book.changes().where(F.col("detected_at") == stamp)
 
 
@@ -102,20 +121,18 @@ def build_marts(wh: Warehouse, cfg: PipelineConfig) -> dict[str, DataFrame]:
     stg_prices = staging.stg_prices(wh.read_partitioned("raw", "pricecatcher_prices"),
                                     wh.read("raw", "pricecatcher_items"),
                                     wh.read("raw", "pricecatcher_premises"))
-    # marts are clustered inside each file by their read order (no shuffle), so
-    # row-group statistics let month / fuel filters skip data
-    price_summary = wh.write_snapshot("marts", "mart_price_summary",
-                                      marts.price_summary(stg_prices),
-                                      sort_within=["month", "state", "item_category"])
-    fuel = wh.write_snapshot("marts", "mart_fuel_timeline", marts.fuel_timeline(
-        staging.stg_fuel(wh.read("warehouse", "fuel_price_history"))),
-        sort_within=["fuel_type", "fuel_date"])
-    score = wh.write_snapshot("marts", "mart_pressure_score", marts.pressure_score(
+    # each mart is written in its read order over all files, after its keys passed: row-group
+    # statistics let month and fuel filters skip data
+    price_summary = wh.write_ordered("marts", "mart_price_summary", marts.price_summary(stg_prices),
+                                     marts.PRICE_SUMMARY_KEYS, audit=Audit(marts.PRICE_SUMMARY_KEYS, ["month"]))
+    fuel = wh.write_ordered("marts", "mart_fuel_timeline", marts.fuel_timeline(
+        staging.stg_fuel(wh.read("warehouse", "fuel_price_history"))), ["fuel_type", "fuel_date"])
+    score = wh.write_ordered("marts", "mart_pressure_score", marts.pressure_score(
         price_summary, fuel, staging.stg_cpi(wh.read("raw", "cpi_state")),
         staging.stg_transport(wh.read("raw", "transport_ridership"), cfg.services),
         staging.stg_vehicles(wh.read("raw", "vehicle_registrations")),
         cfg.food_categories, cfg.weights,
-        keep=lambda name, df: wh.write_snapshot("marts", name, df)), sort_within=["month"])
+        keep=lambda name, df: wh.write_snapshot("marts", name, df)), ["month"], audit=Audit(["month"], ["month"]))
     return {"stg_prices": stg_prices, "mart_price_summary": price_summary,
             "mart_fuel_timeline": fuel, "mart_pressure_score": score}
 

@@ -117,21 +117,19 @@ def test_events_survive_a_crash_before_the_histories_and_are_not_doubled(spark,
     wh.write_snapshot("raw", "gdp_quarterly", spark.createDataFrame(
         [("2024-01-01", "x", 1.0), ("2024-04-01", "x", 2.0)], "date string, series string, value double"))
     book, at = RunBook(wh), datetime(2026, 1, 1)
-    real = wh.write_snapshot
 
-    def dies(layer, name, df, sort_within=None):
-        if name == "gdp_quarterly" and layer == "warehouse":
-            raise OSError("lost")
-        return real(layer, name, df, sort_within)
+    def dies(target):
+        raise OSError("lost")
 
-    monkeypatch.setattr(wh, "write_snapshot", dies)
+    real = wh.publish
+    monkeypatch.setattr(wh, "publish", dies)
     try:
         pipeline.run_cdc(book, at)
         raise AssertionError("no crash")
     except OSError:
         pass
     assert book.changes().count() == 2 and not wh.has_table("warehouse", "gdp_quarterly")
-    monkeypatch.setattr(wh, "write_snapshot", real)
+    monkeypatch.setattr(wh, "publish", real)
     assert pipeline.run_cdc(book, at).count() == 2
     assert book.changes().count() == 2 and wh.read("warehouse", "gdp_quarterly").count() == 2
     assert pipeline.run_cdc(book, datetime(2026, 1, 2)).count() == 0
@@ -156,6 +154,57 @@ def test_marts_are_sorted_within_their_files(spark):
     assert out.rdd.glom().map(lambda rows: [r.month for r in rows] == sorted(r.month for r in rows)).reduce(lambda a, b: a and b)
 
 
+def test_marts_keep_their_order_over_several_files(spark):
+    wh = Warehouse(spark)
+    df = spark.range(3000).selectExpr("nullif(id * 7919 % 97, 5) as month", "cast(id * 31 % 3000 as string) as state", "id").repartition(7)
+    out = wh.write_ordered("marts", "o", df, ["month", "state"], files=5)
+    assert len(wh.data_files(wh._newest(wh.path("marts", "o")))) >= 4
+    want = sorted(((r.month is None, r.month or 0, r.state) for r in df.collect()))
+    assert [(r.month is None, r.month or 0, r.state) for r in out.collect()] == want
+    placed = wh.with_position("marts", "o").orderBy("position").collect()
+    assert [r.position for r in placed] == list(range(1, 3001))
+    assert [(r.month is None, r.month or 0, r.state) for r in placed] == want
+    assert wh.write_ordered("marts", "empty", df.limit(0), ["month"]).count() == 0
+    assert wh.with_position("marts", "empty").count() == 0
+
+
+def test_a_version_counts_only_when_its_audit_passes(spark):
+    from costindex.sources.tables import Audit, AuditFailed
+    wh = Warehouse(spark)
+    audit = Audit(["k"], ["k", "v"], {"positive": F.col("v") <= 0})
+    good = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
+    wh.write_snapshot("warehouse", "t", good, audit=audit)
+    for rows, failures in (([(1, 1.0), (1, 2.0), (None, 3.0)], {"unique": 1, "not_null": 1}), ([(3, None), (4, -1.0)], {"not_null": 1, "positive": 1})):
+        try:
+            wh.write_snapshot("warehouse", "t", spark.createDataFrame(rows, "k int, v double"), audit=audit)
+            raise AssertionError("published")
+        except AuditFailed as e:
+            assert e.failures == failures
+    assert wh.versions_at(wh.path("warehouse", "t")) == [1] and wh.read("warehouse", "t").count() == 2
+    wh.write_snapshot("warehouse", "t", good.where("k = 1"), audit=audit)
+    assert wh.versions_at(wh.path("warehouse", "t")) == [1, 4] and wh.read("warehouse", "t").count() == 1
+    wh.vacuum(retain=1)
+    assert wh._children(wh.path("warehouse", "t")) == ["v=000004"]
+
+
+def test_a_history_with_a_null_key_stays_at_its_version_and_the_run_is_failed(spark):
+    from costindex.plans import pipeline
+    wh = Warehouse(spark)
+    book = RunBook(wh)
+    schema = "date string, series string, value double"
+    wh.write_snapshot("raw", "gdp_quarterly", spark.createDataFrame([("2024-01-01", "x", 1.0)], schema))
+    pipeline.run_cdc(book, datetime(2026, 1, 1))
+    wh.write_snapshot("raw", "gdp_quarterly", spark.createDataFrame([("2024-01-01", "x", 2.0), ("2024-04-01", None, 3.0)], schema))
+    pipeline.run_cdc(book, datetime(2026, 1, 2))
+    assert [r.value for r in wh.read("warehouse", "gdp_quarterly").collect()] == [1.0]
+    failed = book.runs().where("status = 'failed'").collect()
+    assert [r.source_name for r in failed] == ["gdp_quarterly"] and "not_null 1" in failed[0].error_message
+    assert book.changes().count() == 1  # the refused version's events are not logged
+    wh.write_snapshot("raw", "gdp_quarterly", spark.createDataFrame([("2024-01-01", "x", 2.0)], schema))
+    assert pipeline.run_cdc(book, datetime(2026, 1, 3)).count() == 1
+    assert [r.value for r in wh.read("warehouse", "gdp_quarterly").collect()] == [2.0]
+
+
 def _months(spark, wh, frames):
     base = wh.path("landing", "months")
     for month, df in frames.items():
