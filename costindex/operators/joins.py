@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costindex.session import stage_table
+
 # Estimated plan size under which a dimension is broadcast.  Above it the
 # join stays a shuffle join (AQE may still switch it at run time from the
 # measured size).
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 # A scan's estimate is its compressed file size; rows in memory may be this many times larger.
 COMPRESSION = 8
+# A key is hot when it has more than one row in so many of the fact, so there are fewer hot keys than this.
+HOT_SHARE = 1000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -51,12 +55,43 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     ``verify_rows`` a dimension that looks too big is measured (one job over
     the dimension only) and broadcast when it fits under ``max_bytes``.
     """
+    return F.broadcast(df) if fits(df, max_bytes, verify_rows) else df
+
+
+def fits(df: DataFrame, max_bytes: int, verify_rows: bool = True) -> bool:
+    """Whether the size check allows a broadcast: the plan's estimate, else (``verify_rows``) the measured rows."""
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes // COMPRESSION:
-        return F.broadcast(df)
-    if verify_rows and measured_bytes(df, max_bytes) is not None:
-        return F.broadcast(df)
-    return df
+        return True
+    return verify_rows and measured_bytes(df, max_bytes) is not None
+
+
+def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
+    """The keys with more than one in ``share`` of all rows (fewer than ``share`` of them), as a stored table of one column."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg((F.count(F.lit(1)) / share).alias("_bound"))  # one row
+    return stage_table(counts.join(F.broadcast(total), F.col("_n") > F.col("_bound")).select(key), "hot-keys")
+
+
+def split_hot_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, share: int = HOT_SHARE) -> DataFrame:
+    """Inner join to a dimension too large to broadcast, where few keys may hold most of the fact.
+
+    Only the dimension's rows of the hot keys are broadcast, so a hot key's fact
+    rows stay in their scan partitions; all other rows meet in a shuffle join,
+    where no key has more than one in ``share`` of the fact.  The fact is scanned twice (a
+    third time for its key column alone).  When even the hot keys' rows exceed
+    the limit, as for a dimension that repeats its keys, it is a plain shuffle
+    join, whose skew AQE splits.
+    """
+    hot = hot_keys(fact, fact_key, share).select(F.col(fact_key).alias("_hot"))
+    hot_rows = dim.join(F.broadcast(hot), dim[dim_key] == F.col("_hot"), "left_semi")
+    if measured_bytes(hot_rows, max_broadcast_bytes) is None:
+        return fact.join(dim, fact[fact_key] == dim[dim_key], "inner")
+    rare = fact.join(F.broadcast(hot), fact[fact_key] == F.col("_hot"), "left_anti")
+    small = F.broadcast(hot_rows)
+    return rare.join(dim, rare[fact_key] == dim[dim_key], "inner").unionByName(
+        fact.join(small, fact[fact_key] == small[dim_key], "inner"))
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
@@ -64,15 +99,19 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
     """Inner-join a fact to dimensions: each dim is (frame, fact_key, dim_key).
 
     The fact is never broadcast or shuffled for a small dimension: each
-    dimension is broadcast when its checked size allows, otherwise the join
-    falls back to a shuffle join on the key.
+    dimension is broadcast when its checked size allows, otherwise only its rows
+    of the fact's hot keys are, and the rest is a shuffle join on the key.
     """
     out = fact
     for dim, fact_key, dim_key in dims:
-        d = broadcast_if_small(dim, max_broadcast_bytes, verify_rows=True)
-        out = out.join(d, out[fact_key] == d[dim_key], "inner")
-        if dim_key != fact_key:
-            out = out.drop(d[dim_key])
+        if dim_key == fact_key:
+            dim_key = f"_dim_{fact_key}"
+            dim = dim.withColumnRenamed(fact_key, dim_key)
+        if fits(dim, max_broadcast_bytes):
+            out = out.join(F.broadcast(dim), out[fact_key] == dim[dim_key], "inner")
+        else:
+            out = split_hot_join(out, dim, fact_key, dim_key, max_broadcast_bytes)
+        out = out.drop(dim_key)
     return out
 
 

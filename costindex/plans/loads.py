@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from costindex.functions import ntz
 
 from costindex.plans import marts, oracle
-from costindex.plans.queries import (RUN_DATE, RUN_TS, Inputs, capture, query)
+from costindex.plans.queries import (HOT_ITEM, RUN_DATE, RUN_TS, Inputs, capture, query)
 from costindex.sources import loader, state
 from costindex.sources.meta import RunBook
 from costindex.sources.registry import STATIC, Source, month_window, monthly_parquet
@@ -459,6 +459,15 @@ select fuel_type, fuel_date, price, change_direction from mart_fuel_timeline""",
                       ["mart_fuel_timeline"])
 
 
+# ---- J-1 above the broadcast limit ---------------------------------------------------
+oracle.register_final("join_star_hot", f"""
+select premise_type, item_group, item_code = {HOT_ITEM} as hot, count(*) as n_rows,
+       count(distinct (item_name, premise_name)) as n_pairs, sum(round(price * 100)::bigint)::bigint as cents
+from stg_prices group by 1, 2, 3""", ["stg_prices"], {
+    "fx_prices": f"select * replace (case when premise_code % 3 = 0 then {HOT_ITEM} else item_code end as item_code) "
+                 f"from ({oracle.FIXTURES['fx_prices']}) dealt"})
+
+
 # ---- L-1 mart order, Q-4 keys enforced -----------------------------------------------
 MART_FILES = 5                        # files of the ordered mart
 

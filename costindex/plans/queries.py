@@ -26,6 +26,8 @@ RUN_TS = "2026-02-01 06:00:00"
 PREV_TS = "2026-01-01 06:00:00"
 RUN_DATE = "2026-02-01"
 AS_OF_YEAR = 1998
+HOT_ITEM = 7
+HOT_BROADCAST = 8192  # bytes, in the query that forces dimensions above the limit
 HOT_BOUND = 200  # distinct values a task ranks, in the query that forces buckets
 
 
@@ -219,6 +221,17 @@ def _join_star(i: Inputs) -> DataFrame:
         round_half_away(F.sum("price"), 2).alias("revenue"))
 
 
+@query("join_star_hot")
+def _join_star_hot(i: Inputs) -> DataFrame:
+    """The star join with dimensions above the broadcast limit and a third of the facts on one item."""
+    prices = i.fx("fx_prices")
+    prices = prices.withColumn("item_code", F.when(F.pmod("premise_code", F.lit(3)) == 0, F.lit(HOT_ITEM)).otherwise(F.col("item_code")))
+    joined = staging.stg_prices(prices, i.fx("fx_items"), i.fx("fx_premises"), max_broadcast_bytes=HOT_BROADCAST)
+    return joined.groupBy("premise_type", "item_group", (F.col("item_code") == HOT_ITEM).alias("hot")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_name", "premise_name").alias("n_pairs"),
+        F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"))
+
+
 @query("join_full_outer_chain")
 def _join_full_outer_chain(i: Inputs) -> DataFrame:
     return i.combined

@@ -1,6 +1,7 @@
 """Physical plan checks: the properties the design relies on at scale."""
 
 from costindex.plans.queries import Inputs
+from costindex.session import stage_table
 from conftest import SF_SMALL
 
 
@@ -18,6 +19,28 @@ def test_star_join_broadcasts_dimensions_and_prunes_the_fact(spark):
     assert "PushedFilters" in plan
 
 
+def test_a_hot_key_is_not_shuffled_when_its_dimension_is_above_the_limit(spark):
+    from costindex.operators.joins import split_hot_join, star_join
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = stage_table(spark.range(30_000).selectExpr("if(id % 3 = 0, 5, if(id % 100 = 1, null, id % 4000)) as k", "id as v"))
+        dim = stage_table(spark.range(3000).selectExpr("id as d", "concat('name ', id) as name"))
+        want = sorted((r.k, r.v, f"name {r.k}") for r in fact.where("k < 3000").collect())
+        out = star_join(fact, [(dim, "k", "d")], max_broadcast_bytes=4096)
+        assert sorted(map(tuple, out.select("k", "v", "name").collect())) == want
+        plan = _plan(out)
+        assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan and "Union" in plan
+        # a dimension that repeats the hot key too often falls back to the shuffle join
+        wide = dim.unionByName(spark.range(2000).selectExpr("5L as d", "concat('other ', id) as name"))
+        plain = split_hot_join(fact.where("v < 300"), wide, "k", "d", max_broadcast_bytes=4096)
+        assert "Union" not in _plan(plain.select("k")).split("SortMergeJoin")[0]
+        assert plain.where("k = 5").count() == 2001 * fact.where("v < 300 and k = 5").count()
+        assert star_join(fact.limit(0), [(dim, "k", "d")], max_broadcast_bytes=4096).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def _window_partitions(plan: str) -> list[str]:
     """The partition list of every Window node, e.g. '[month#1]' (empty: '[]')."""
     import re
