@@ -31,6 +31,9 @@ def test_a_hot_key_is_not_shuffled_when_its_dimension_is_above_the_limit(spark):
         assert sorted(map(tuple, out.select("k", "v", "name").collect())) == want
         plan = _plan(out)
         assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan and "Union" in plan
+        for limit in (4096, 1 << 30):  # one name for both keys: one column comes back
+            same = star_join(fact, [(dim.withColumnRenamed("d", "k"), "k", "k")], max_broadcast_bytes=limit)
+            assert same.columns == ["k", "v", "name"] and sorted(map(tuple, same.collect())) == want
         # a dimension that repeats the hot key too often falls back to the shuffle join
         wide = dim.unionByName(spark.range(2000).selectExpr("5L as d", "concat('other ', id) as name"))
         plain = split_hot_join(fact.where("v < 300"), wide, "k", "d", max_broadcast_bytes=4096)
