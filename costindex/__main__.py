@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from costindex.plans.pipeline import PipelineConfig, run_pipeline
 from costindex.session import apply_cluster_conf, drop_staged
 from costindex.sources.fixtures import SERVICES
+from costindex.sources.ledger import Ledger
 from costindex.sources.registry import default_registry
 from costindex.sources.tables import Warehouse
 
@@ -24,6 +25,7 @@ def main(argv=None, spark=None) -> None:
     ap.add_argument("--landing", required=True)
     ap.add_argument("--warehouse")
     ap.add_argument("--state")
+    ap.add_argument("--ledger", help="keep histories and change log here, in parts")
     ap.add_argument("--sources", nargs="*", help="load only these sources")
     ap.add_argument("--keep-versions", type=int, default=2, help="versions kept of each table")
     ap.add_argument("--as-of", help="run date YYYY-MM-DD (default: today, UTC)")
@@ -41,7 +43,7 @@ def main(argv=None, spark=None) -> None:
     if args.sources:
         sources = {k: v for k, v in sources.items() if k in args.sources}
     wh = Warehouse(spark, args.warehouse)
-    out = run_pipeline(wh, sources, at, PipelineConfig(services=SERVICES, state_dir=args.state),
+    out = run_pipeline(wh, sources, at, PipelineConfig(services=SERVICES, state_dir=args.state, ledger_dir=args.ledger),
                        restore=not args.no_restore, extract=not args.no_extract,
                        cdc=not args.no_cdc, models=not args.no_models, tests=not args.no_tests)
     if "tests" in out:
@@ -49,6 +51,8 @@ def main(argv=None, spark=None) -> None:
         if own:  # results are written: staged tables and old versions go
             drop_staged(spark)
             wh.vacuum(args.keep_versions)
+            if args.ledger:
+                Ledger(wh, args.ledger).vacuum(args.keep_versions)
         print(f"data tests: {'all passed' if not failed else 'FAILED ' + ', '.join(failed)}")
         if failed:
             raise SystemExit(1)

@@ -12,12 +12,14 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costindex.functions import ntz
 
 from costindex.plans import marts, oracle
 from costindex.plans.queries import (HOT_ITEM, RUN_DATE, RUN_TS, Inputs, capture, query)
 from costindex.sources import loader, state
+from costindex.sources.ledger import Layout, Ledger
 from costindex.sources.meta import RunBook
 from costindex.sources.registry import STATIC, Source, month_window, monthly_parquet
 from costindex.sources.tables import Audit, AuditFailed, Warehouse
@@ -514,6 +516,83 @@ union all select 'current', count(*) from fuel_hist where price is not null
 union all select 'runs failed', 1""", ["fuel_hist"])
 
 
+# ---- histories in parts ------------------------------------------------------------------
+@query("cdc_in_parts")
+def _cdc_in_parts(i: Inputs) -> DataFrame:
+    """The previous histories stored in parts, a run over all three sources, and a second run that finds nothing.
+
+    Returns every history, the events per kind and the version after both runs.
+    """
+    from costindex.plans import history
+    from costindex.plans.pipeline import AUDITS, FUEL_HISTORY, GDP_HISTORY
+    from costindex.operators.scd2 import DIM_SCHEMA
+    book = _fresh(i)
+    wh, ledger = book.wh, Ledger(book.wh)
+    fuel = history.fuel_history(FUEL_HISTORY, AUDITS["fuel_price_history"])
+    gdp = history.gdp_history(GDP_HISTORY, AUDITS["gdp_quarterly"])
+    ledger.publish([ledger.prepare(h.table, ledger.parts_of(rows, h.layout), h.layout, h.schema, lambda _, rows=rows: rows, h.audit)
+                    for h, rows in ((fuel, i.fuel_prev), (gdp, i.gdp_prev))])
+    for name in ("fuel_prices", "gdp_quarterly", "household_income"):
+        wh.write_snapshot("raw", name, i.fx(STATIC_FIXTURES[name]))
+    for day in (0, 1):
+        history.run_cdc_in_parts(book, ledger, AT + timedelta(days=day))
+
+    def rows(table, schema, key, sub, value, at):
+        return ledger.read(table, schema).select(F.lit(table).alias("item"), F.col(key).cast("string").alias("key"), F.col(sub).cast("string").alias("sub"),
+                                                 F.col(value).cast("double").alias("value"), F.col(at).cast("timestamp_ntz").alias("at"))
+
+    events = history.changes(ledger).groupBy("source_name", "change_type", "detected_at").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    version = ledger.entries().agg(F.max("version").cast("double").alias("n"))
+    return (rows("fuel_price_history", FUEL_HISTORY, "date_effective", "fuel_type", "price", "loaded_at")
+            .unionByName(rows("gdp_quarterly", GDP_HISTORY, "quarter", "series", "value", "loaded_at"))
+            .unionByName(rows("dim_household_income", DIM_SCHEMA, "geography", "version", "income_median", "valid_from"))
+            .unionByName(events.select(F.lit("events").alias("item"), F.col("source_name").alias("key"), F.col("change_type").alias("sub"),
+                                       F.col("n").alias("value"), F.col("detected_at").alias("at")))
+            .unionByName(version.select(F.lit("version").alias("item"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("sub"),
+                                        F.col("n").alias("value"), F.lit(None).cast("timestamp_ntz").alias("at"))))
+
+
+oracle.register_final("cdc_in_parts", """
+select 'fuel_price_history' as item, cast(date_effective as varchar) as key, fuel_type as sub, price as value, loaded_at as at from fuel_hist
+union all select 'gdp_quarterly', quarter, series, value, loaded_at from gdp_hist
+union all select 'dim_household_income', geography, cast(version as varchar), income_median, cast(valid_from as timestamp) from inc_dim
+union all select 'events', source_name, change_type, cast(count(*) as double), timestamp '2026-02-01 06:00:00' from all_events group by source_name, change_type
+union all select 'version', null, null, 2.0::double, null""", ["fuel_hist", "gdp_hist", "inc_dim", "all_events"])
+
+
+@query("history_copy_on_write")
+def _history_copy_on_write(i: Inputs) -> DataFrame:
+    """The price of every order, in parts; a full snapshot in which the last month differs writes that month's parts again and no other."""
+    from costindex.plans import history
+    from costindex.sources import fixtures as fxm
+    wh = Warehouse(i.spark)
+    ledger = Ledger(wh)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("month", T.StringType()),
+                           T.StructField("price", T.DoubleType()), T.StructField("loaded_at", T.TimestampNTZType())])
+    prices = history.Keyed("order_price", ["o_orderkey", "month"], "price", schema, Layout("month", ["o_orderkey"], 4),
+                           0.001, Audit(["o_orderkey"], ["o_orderkey", "month", "price"]))
+    orders = fxm.table(i.spark, i.sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.col("o_totalprice").cast("double").alias("price"))
+    last = orders.agg(F.max("month").alias("last"))    # one row
+    later = orders.join(F.broadcast(last)).select("o_orderkey", "month", (
+        F.col("price") + F.when(F.col("month") == F.col("last"), 1.0).otherwise(0.0)).alias("price"))
+    for batch, at in ((orders, AT), (later, AT + timedelta(days=1))):
+        prepared, _ = history.merge_keyed(ledger, prices, batch, ntz(at))
+        ledger.publish([prepared])
+    parts = ledger.entries().groupBy(F.substring("part", 2, 7).alias("month")).agg(
+        F.min("version").alias("first_version"), F.max("version").alias("last_version"), F.sum("n_rows").alias("n_rows"))
+    rows = ledger.read("order_price", schema).groupBy("month").agg(F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"))
+    return rows.join(F.broadcast(parts), "month")
+
+
+oracle.register_final("history_copy_on_write", """
+select month, if(month = last, 2, 1)::bigint as first_version, if(month = last, 2, 1)::bigint as last_version, count(*) as n_rows,
+       sum(round((price + if(month = last, 1, 0)) * 100)::bigint)::bigint as cents
+from (select strftime(o_orderdate, '%Y-%m') as month, o_totalprice::double as price, max(strftime(o_orderdate, '%Y-%m')) over () as last from orders) x
+group by month, last""", [])
+
+
 # ---- S-5 as a stream ----------------------------------------------------------------------
 @query("stream_incremental_load")
 def _stream_incremental_load(i: Inputs) -> DataFrame:

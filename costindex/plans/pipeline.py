@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 from costindex.operators import quality
 from costindex.operators.scd2 import DIM_SCHEMA
 from costindex.plans import capture, marts, signals, staging
+from costindex.plans.history import run_cdc_in_parts
 from costindex.sources import loader, state
+from costindex.sources.ledger import Ledger
 from costindex.sources.meta import RunBook
 from costindex.sources.registry import Source
 from costindex.sources.tables import Audit, AuditFailed, Warehouse
@@ -46,6 +48,7 @@ class PipelineConfig:
     food_categories: Sequence[str] = tuple(signals.FOOD_CATEGORIES)
     weights: Mapping[str, float] = field(default_factory=lambda: dict(marts.DEFAULT_WEIGHTS))
     state_dir: str | None = None
+    ledger_dir: str | None = None    # keep histories and change log there, in parts, instead of whole versions
 
 
 def _table_or_empty(wh: Warehouse, layer: str, name: str, schema: T.StructType) -> DataFrame:
@@ -116,6 +119,12 @@ def run_cdc(book: RunBook, at: datetime) -> DataFrame:
     return book.changes().where(F.col("detected_at") == stamp)
 
 
+def _fuel_history(wh: Warehouse, cfg: PipelineConfig) -> DataFrame:
+    if cfg.ledger_dir:
+        return Ledger(wh, cfg.ledger_dir).read("fuel_price_history", FUEL_HISTORY)
+    return wh.read("warehouse", "fuel_price_history")
+
+
 def build_marts(wh: Warehouse, cfg: PipelineConfig) -> dict[str, DataFrame]:
     """Staging views over the raw and history tables; marts written as tables."""
     stg_prices = staging.stg_prices(wh.read_partitioned("raw", "pricecatcher_prices"),
@@ -126,7 +135,7 @@ def build_marts(wh: Warehouse, cfg: PipelineConfig) -> dict[str, DataFrame]:
     price_summary = wh.write_ordered("marts", "mart_price_summary", marts.price_summary(stg_prices),
                                      marts.PRICE_SUMMARY_KEYS, audit=Audit(marts.PRICE_SUMMARY_KEYS, ["month"]))
     fuel = wh.write_ordered("marts", "mart_fuel_timeline", marts.fuel_timeline(
-        staging.stg_fuel(wh.read("warehouse", "fuel_price_history"))), ["fuel_type", "fuel_date"])
+        staging.stg_fuel(_fuel_history(wh, cfg))), ["fuel_type", "fuel_date"])
     score = wh.write_ordered("marts", "mart_pressure_score", marts.pressure_score(
         price_summary, fuel, staging.stg_cpi(wh.read("raw", "cpi_state")),
         staging.stg_transport(wh.read("raw", "transport_ridership"), cfg.services),
@@ -151,7 +160,12 @@ def run_tests(built: Mapping[str, DataFrame]) -> DataFrame:
 def run_pipeline(wh: Warehouse, sources: Mapping[str, Source], at: datetime,
                  cfg: PipelineConfig, restore: bool = True, extract: bool = True,
                  cdc: bool = True, models: bool = True, tests: bool = True) -> dict:
-    """Run the selected stages in order; returns the frames each stage produced."""
+    """Run the selected stages in order; returns the frames each stage produced.
+
+    With ``cfg.ledger_dir`` the histories and the change log live in that ledger,
+    which outlasts the warehouse and so needs no export; the state folder then
+    carries the run log alone.
+    """
     book = RunBook(wh)
     out: dict = {}
     if restore and cfg.state_dir and extract and cdc and models:
@@ -159,7 +173,7 @@ def run_pipeline(wh: Warehouse, sources: Mapping[str, Source], at: datetime,
     if extract:
         out["loads"] = loader.run_all(book, dict(sources), at)
     if cdc:
-        out["changes"] = run_cdc(book, at)
+        out["changes"] = run_cdc_in_parts(book, Ledger(wh, cfg.ledger_dir), at) if cfg.ledger_dir else run_cdc(book, at)
         if cfg.state_dir:
             out["exported"] = state.export_state(wh, cfg.state_dir)
     if models:

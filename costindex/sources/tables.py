@@ -85,6 +85,13 @@ class Warehouse:
             return []
         return [st.getPath().getName() for st in self._fs(path).listStatus(self._Path(path))]
 
+    def children(self, path: str) -> list[str]:
+        """Names in a folder, empty where there is none."""
+        return sorted(self._children(path))
+
+    def delete(self, path: str) -> None:
+        self._fs(path).delete(self._Path(path), True)
+
     def data_files(self, path: str) -> list[str]:
         """The data files at ``path`` (a file, or a folder of files), without markers and hidden ones."""
         fs, root = self._fs(path), self._Path(path)

@@ -24,3 +24,19 @@ def test_cli_runs_the_whole_pipeline(spark, capsys):
     assert score.count() > 0
     loaded = target.read_partitioned("raw", "pricecatcher_prices")
     assert loaded.select("_month_partition").distinct().count() == 3
+
+
+def test_cli_keeps_histories_in_a_ledger(spark, capsys):
+    from costindex.plans.pipeline import FUEL_HISTORY
+    from costindex.sources.ledger import Ledger
+    wh = Warehouse(spark)
+    landing = wh.path("landing", "drop")
+    for name in ("fuel_prices", "gdp_quarterly"):
+        fixtures.ALL[STATIC_FIXTURES[name]](spark, SF_SMALL).write.parquet(f"{landing}/{name}.parquet")
+    target, base = Warehouse(spark), wh.path("state", "ledger")
+    for day in ("2001-12-15", "2001-12-16"):    # a new warehouse each time: the ledger carries the histories over
+        target = Warehouse(spark)
+        main(["--landing", landing, "--warehouse", target.root, "--ledger", base, "--as-of", day,
+              "--sources", "fuel_prices", "gdp_quarterly", "--no-models"], spark=spark)
+    ledger = Ledger(target, base)
+    assert ledger.version() == 1 and ledger.read("fuel_price_history", FUEL_HISTORY).count() > 0
