@@ -9,10 +9,12 @@ Comparison: equal fingerprints are collapsed first.  Distinct fingerprints are
 range-partitioned by (population count, population count of the low half) and
 cut into tiles of one population count each.  A pair of tiles is compared only
 when the counts differ by at most the radius, as a differing bit changes the
-count by one; inside a pair the same holds for the two halves together.  The
-comparison is numpy exclusive-or and bit count over blocks.  A pair of tiles
-returns a spanning forest of its links, never all of them, and the forests are
-joined by connected components.
+count by one; the same holds for the two halves together, for tiles and inside
+a pair.  Neighbouring tiles form groups, and a task compares two groups: it reads
+each of their tiles once and forms the pairs itself, so what is shuffled is a
+group per group it may meet, not a tile per tile.  The comparison is numpy
+exclusive-or and bit count over blocks.  A task returns a spanning forest of its
+links, never all of them, and the forests are joined by connected components.
 
 Defined results: a null or empty text has fingerprint zero and links like any
 other; repeated rows are rows of their own with the same component; a null id
@@ -37,6 +39,8 @@ SHINGLE = 3
 SEED = 42
 #: Most fingerprints in one tile (8 bytes each).
 TILE = 1 << 15
+#: Most tiles in one group; a power of two.  A task holds two groups.
+GROUP = 32
 #: Elements compared at once inside a task.
 BLOCK = 1 << 20
 
@@ -71,8 +75,8 @@ def with_fingerprint(df: DataFrame, text_col: str = "text", out: str = "fp", shi
     return append_columns(df, text_col, [(out, pa.int64(), "long")], kernel)
 
 
-def _tiles(prints: DataFrame, tile: int) -> DataFrame:
-    """Pack distinct fingerprints (fp, pop, low) into rows (tile, pop, prints binary) of one population count."""
+def _tiles(prints: DataFrame, tile: int, group: int) -> DataFrame:
+    """Pack distinct fingerprints (fp, pop, low) into stored rows (tile_group, pop, low_min, low_max, prints) of one population count."""
     spark = prints.sparkSession
     dealt = prints.repartitionByRange(partitions(spark), "pop", "low", "fp").sortWithinPartitions("pop", "low")
 
@@ -81,8 +85,10 @@ def _tiles(prints: DataFrame, tile: int) -> DataFrame:
 
         def row():
             values = np.concatenate(held)
-            return pa.RecordBatch.from_arrays([pa.array([pop], pa.int32()), pa.array([values.tobytes()], pa.binary())],
-                                              names=["pop", "prints"])
+            low = _halves(values[[0, -1]].view(np.uint64))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([pop], pa.int32()), pa.array(low[:1], pa.int32()), pa.array(low[1:], pa.int32()), pa.array([values.tobytes()], pa.binary())],
+                names=["pop", "low_min", "low_max", "prints"])
 
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False)
@@ -99,8 +105,10 @@ def _tiles(prints: DataFrame, tile: int) -> DataFrame:
         if held:
             yield row()
 
-    packed = dealt.select("fp", "pop").mapInArrow(pack, "pop int, prints binary")
-    return stage(packed.withColumn("tile", F.monotonically_increasing_id()), "simhash-tiles")
+    packed = dealt.select("fp", "pop").mapInArrow(pack, "pop int, low_min int, low_max int, prints binary")
+    # the id counts the rows of a partition, which are in order; groups do not cross partitions
+    number = F.monotonically_increasing_id()
+    return stage(packed.withColumn("tile", number).withColumn("tile_group", F.col("tile") - F.pmod("tile", F.lit(group))).drop("tile"), "simhash-tiles")
 
 
 def _halves(v: np.ndarray) -> np.ndarray:
@@ -137,31 +145,68 @@ def compare(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.n
     return nodes[moved], nodes[root[moved]]
 
 
-def _links(prints: DataFrame, radius: int, tile: int) -> DataFrame:
+def _may_link(total, low_a: tuple, low_b: tuple, radius: int, greatest=max):
+    """Whether fingerprints whose counts differ by ``total`` (not negative), with low halves in these ranges, can be near.
+
+    The low counts differ by some d of a range and the high ones by total - d;
+    |d| + |total - d| is total plus twice the distance of d from [0, total].
+    """
+    return total + 2 * greatest(total * 0, low_b[0] - low_a[1] - total, low_a[0] - low_b[1]) <= radius
+
+
+def group_pairs(tiles: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b), a <= b, of tile groups that may hold links; a row per group and count is all it looks at."""
+    ranges = stage(tiles.groupBy("tile_group", "pop").agg(F.min("low_min").alias("lo"), F.max("low_max").alias("hi")), "simhash-groups")
+    a = ranges.select(F.col("tile_group").alias("a"), F.col("pop").alias("pop_a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"),
+                      F.explode(F.sequence("pop", F.col("pop") + F.lit(radius))).alias("pop_b"))
+    b = ranges.select(F.col("tile_group").alias("b"), F.col("pop").alias("pop_b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
+    near = _may_link(F.col("pop_b") - F.col("pop_a"), (F.col("lo_a"), F.col("hi_a")), (F.col("lo_b"), F.col("hi_b")), radius, F.greatest)
+    # groups are numbered in the order of the counts, so a larger count never has a smaller number
+    return a.join(b, "pop_b").filter(near & (F.col("a") <= F.col("b"))).select("a", "b").distinct()
+
+
+def compare_groups(left: list[tuple], right: list[tuple] | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forest links between two groups of tiles (pop, low_min, low_max, prints); ``right`` is None for a group with itself."""
+    us, vs = [], []
+    for i, x in enumerate(left):
+        for j, y in enumerate(left if right is None else right):
+            if right is None and j < i:
+                continue
+            p, q = (x, y) if x[0] <= y[0] else (y, x)
+            if _may_link(q[0] - p[0], p[1:3], q[1:3], radius):
+                u, v = compare(p[3], q[3], right is None and i == j, radius)
+                us.append(u)
+                vs.append(v)
+    if not us:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    u, v = np.concatenate(us), np.concatenate(vs)
+    nodes = np.unique(np.concatenate([u, v]))
+    root = unite(np.arange(len(nodes)), np.searchsorted(nodes, u), np.searchsorted(nodes, v))
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _links(prints: DataFrame, radius: int, tile: int, group: int) -> DataFrame:
     """Forest links (u, v) between distinct fingerprints at most ``radius`` bits apart."""
-    spark = prints.sparkSession
-    tiles = _tiles(prints, tile)
-    n = partitions(spark)
-    a = tiles.select(F.col("tile").alias("a"), F.col("pop").alias("pop_a"))
-    b = tiles.select(F.col("tile").alias("b"), F.col("pop").alias("pop_b"))
-    reach = a.withColumn("pop_b", F.explode(F.sequence("pop_a", F.col("pop_a") + F.lit(radius))))
-    pairs = reach.join(b, "pop_b").filter((F.col("pop_a") != F.col("pop_b")) | (F.col("a") <= F.col("b"))).select("a", "b")
-    full = (pairs.join(tiles.select(F.col("tile").alias("a"), F.col("prints").alias("left")), "a")
-            .repartition(n, "b")
-            .join(tiles.select(F.col("tile").alias("b"), F.col("prints").alias("right")).repartition(n, "b"), "b"))
-
-    def run(batches):
-        for batch in batches:
-            for x, y, left, right in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                u, v = compare(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), x == y, radius)
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
-
-    return full.select("a", "b", "left", "right").mapInArrow(run, "u long, v long")
+    tiles = _tiles(prints, tile, group)
+    pairs = stage(group_pairs(tiles, radius), "simhash-pairs")
+    needed = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile_group"))
+    # dealt by number, as the sizes say nothing about the work; a task holds two groups at a time
+    full = needed.join(tiles, "tile_group").repartition(partitions(prints.sparkSession), "a", "b")
+
+    def run(table):
+        groups: dict[int, list[tuple]] = {}
+        for g, *counts, held in zip(*(table.column(c).to_pylist() for c in ("tile_group", "pop", "low_min", "low_max", "prints"))):
+            groups.setdefault(g, []).append((*counts, np.frombuffer(held, np.uint64)))
+        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
+        u, v = compare_groups(groups[a], None if a == b else groups[b], radius)
+        return pa.table([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+
+    return full.groupBy("a", "b").applyInArrow(run, "u long, v long")
 
 
 def components_of(prints: DataFrame, id_col: str, fp_col: str, radius: int = RADIUS, tile: int = TILE,
-                  out: str = "component_id") -> DataFrame:
+                  out: str = "component_id", group: int = GROUP) -> DataFrame:
     """Add to every row the least id reachable over fingerprints at most ``radius`` bits apart.
 
     ``prints`` must be stored: it is read several times.
@@ -170,7 +215,7 @@ def components_of(prints: DataFrame, id_col: str, fp_col: str, radius: int = RAD
         prints.select(F.col(fp_col).alias("fp"), F.col(id_col).alias("rep")).groupBy("fp").agg(F.min("rep").alias("rep"))
         .withColumn("pop", F.bit_count("fp").cast("int"))
         .withColumn("low", F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).cast("int")), "simhash-distinct")
-    sets = connected_components(_links(reps, radius, tile))
+    sets = connected_components(_links(reps, radius, tile, group))
     linked = stage(reps.join(sets, reps.fp == sets.node).select("fp", "rep", "component"), "simhash-linked")
     least = stage(linked.groupBy("component").agg(F.min("rep").alias("least")), "simhash-least")
     named = linked.join(least, "component").select("fp", "least")

@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from costindex.llm import embedding_dedup as E, simhash as S
 from costindex.llm.components import connected_components
 
@@ -96,6 +98,32 @@ def test_tiles_lose_no_link():
     assert _sets(len(prints), [(at[a], at[b]) for a, b in edges]) == brute
 
 
+def test_groups_of_tiles_lose_no_link_and_meet_only_near_groups(spark):
+    rng = np.random.default_rng(11)
+    base = np.concatenate([rng.integers(0, 1 << 64, 250, dtype=np.uint64), np.array([0, (1 << 64) - 1, 7, 1 << 63], np.uint64)])
+    flips = [0, 1 << 40, 0b111, (1 << 5) | (1 << 50), 0b1111, (1 << 63) | (1 << 31)]
+    prints = np.unique(np.concatenate([base ^ np.uint64(f) for f in flips]))
+    table = S.stage(spark.createDataFrame([(k, int(v)) for k, v in enumerate(prints.view(np.int64))], "id long, print long"), "prints")
+    brute = _sets(len(prints), [(i, j) for i, j in zip(*np.nonzero(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3))])
+    for tile, group in ((5, 2), (5, 32), (1 << 15, 1)):
+        got = {r.id: r.component_id for r in S.components_of(table, "id", "print", tile=tile, group=group).collect()}
+        assert got == {k: min(s) for k, s in enumerate(brute)}
+    reps = table.select(F.col("print").alias("fp"), F.bit_count("print").cast("int").alias("pop"),
+                        F.bit_count(F.col("print").bitwiseAND(F.lit(0xFFFFFFFF))).cast("int").alias("low"))
+    tiles = S._tiles(reps, 5, 2)
+    held = {}
+    for r in tiles.collect():
+        values = np.frombuffer(r.prints, np.uint64)
+        low = np.bitwise_count(values & np.uint64(0xFFFFFFFF))
+        assert (np.bitwise_count(values) == r.pop).all() and (low.min(), low.max()) == (r.low_min, r.low_max)
+        held.setdefault(r.tile_group, []).append(values)
+    assert sum(len(v) for g in held.values() for v in g) == len(prints) and max(map(len, held.values())) == 2
+    groups = {g: np.concatenate(v) for g, v in held.items()}
+    pairs = {(r.a, r.b) for r in S.group_pairs(tiles, 3).collect()}
+    near = {(a, b) for a in groups for b in groups if a <= b and (np.bitwise_count(groups[a][:, None] ^ groups[b][None, :]) <= 3).any()}
+    assert near <= pairs and len(pairs) < len(groups) * (len(groups) + 1) / 4
+
+
 def test_simhash_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.simhash_groups(docs).count() == 0 and S.keep_one(docs).count() == 0
