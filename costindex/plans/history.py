@@ -63,8 +63,10 @@ def merge_keyed(ledger: Ledger, history: Keyed, batch: DataFrame, stamp: Column,
     """Compare a batch with its parts and write those with changes again.
 
     Returns what to publish (None without changes) and the changes.  A key of the
-    history that the batch lacks stays as it is.
+    history that the batch lacks stays as it is.  The batch's keys take the history's
+    types first, as a hash part depends on the type.
     """
+    batch = batch.withColumns({k: F.col(k).cast(history.schema[k].dataType) for k in history.keys})
     before = ledger.read(history.table, history.schema, ledger.parts_of(batch, history.layout))
     changes = stage_table(keyed_changes(batch, before, history.keys, history.value, history.tolerance, order), "part-changes")
     parts = ledger.parts_of(changes, history.layout)

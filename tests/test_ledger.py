@@ -66,6 +66,17 @@ def test_random_merges_equal_a_dictionary(spark):
                 r[0]: r[1] for r in ledger.read("t", SCHEMA).groupBy(keyed.layout.part()).count().collect()}
 
 
+def test_keys_of_another_type_find_their_hash_part(spark):
+    ledger = Ledger(Warehouse(spark))
+    keyed = history.Keyed("t", ["month", "k"], "v", SCHEMA, Layout("month", ["k"], 7), 0.001, KEYED.audit)
+    for kind, v in (("int", 1.0), ("long", 2.0), ("string", 3.0)):
+        batch = spark.createDataFrame([("a", k, v) for k in range(9)], "month string, k int, v double").withColumn("k", F.col("k").cast(kind))
+        prepared, changes = history.merge_keyed(ledger, keyed, batch, F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+        ledger.publish([prepared])
+        assert {r.change_type for r in changes.collect()} == {"INSERT" if v == 1 else "UPDATE"}
+        assert _rows(ledger) == [("a", k, v) for k in range(9)]
+
+
 def test_parts_can_become_empty_and_odd_periods_name_folders(spark):
     ledger = Ledger(Warehouse(spark))
     odd = [("a/b=c %", 1, 1.0), ("a/b", 2, 2.0), ("ü", 3, 3.0), ("", 4, 4.0), ("all", 5, 5.0)]
