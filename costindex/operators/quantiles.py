@@ -6,48 +6,88 @@ executor.  Here the work is spread:
 
 1. value counts per (group, value) -- a map-side combined aggregate, the only
    pass over the raw rows;
-2. groups with more distinct values than ``max_values_per_task`` are split
-   into value-range buckets.  Bucket bounds come from a deterministic hash
-   sample of the group's distinct values (so a recomputed task sees the same
-   bounds), ranked in a window over the sample only;
-3. per-bucket totals give each bucket's rank offset (a tiny window);
-4. each (group, bucket) is ranked exactly in its own window partition; one
-   aggregate per group then picks the values at ranks floor(pos) and
-   ceil(pos), interpolated with a single rounding like SQL ``percentile_cont``.
-
-All of this is one plan for narrow and wide groups: which groups are wide is
-found when it runs.  Where none is, the sample and the bounds are empty tables,
-every group is its own bucket, and nothing but a lookup in an empty table is
-added.  No job runs while the plan is built.
+2. groups with more distinct values than ``max_values_per_task`` are narrowed
+   to the cells that hold a wanted rank.  A cell is a range of values: first
+   half octaves, then ``CELLS`` equal steps between the least and the greatest
+   value of a cell, twice.  A cell's number never falls as the value grows, so
+   the cells' totals (a map-side combined aggregate) give each cell's rank
+   offset, and values of the other cells are counted but not ranked;
+3. each narrow group and each cell left of a wide one is ranked exactly in its
+   own window partition; one aggregate per group then picks the values at ranks
+   floor(pos) and ceil(pos), interpolated with a single rounding like SQL
+   ``percentile_cont``.
+
+A value meets its group's cells by an equality lookup, and a group has at most
+two cells a probability left after a step, so the cost of a value does not grow
+with the group.  All of this is one plan for narrow and wide groups: which groups
+are wide is found when it runs.  No job runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costindex.functions.expressions import interpolate
 from costindex.operators.keys import null_safe_join
 
 DEFAULT_MAX_VALUES_PER_TASK = 2_000_000
-SAMPLE_PER_BUCKET = 64
+# Steps a cell is cut into; a group's window over its cells is this long at most (half octaves: 8,600).
+CELLS = 4096
 
 
-def _bucket_bounds(vc: DataFrame, hot: DataFrame, keys: list[str], max_values: int) -> DataFrame:
-    """Per wide group: a sorted array of bucket lower bounds (bucket 0 has none).
+def _position(p: float, n: str = "_n") -> Column:
+    return (F.col(n) - 1).cast("double") * F.lit(float(p))
 
-    The sample holds about ``SAMPLE_PER_BUCKET`` values for each bucket.
-    """
-    modulus = max(1, max_values // SAMPLE_PER_BUCKET)
-    sample = null_safe_join(vc, hot, keys).where(
-        F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.col("_v")), F.lit(modulus)) == 0)
-    w = Window.partitionBy(*keys).orderBy("_v")
-    bucket = F.floor((F.row_number().over(w) - 1) * F.col("_nb") / F.count(F.lit(1)).over(Window.partitionBy(*keys))).cast("int")
-    firsts = (sample.withColumn("_bi", bucket).where(F.col("_bi") > 0)
-              .groupBy(*keys, "_bi").agg(F.min("_v").alias("_lb")))
-    return firsts.groupBy(*keys).agg(F.array_sort(F.collect_list("_lb")).alias("_bounds"))
+
+def _holds(rank: Column, lo_rank: Column, hi_rank: Column) -> Column:
+    return (rank >= lo_rank) & (rank < hi_rank)
+
+
+def pick_ranks(probs: Mapping[str, float], value: str, lo_rank: Column, hi_rank: Column) -> list[Column]:
+    """Aggregates that find the values around each position: a row holds the ranks [lo, hi) of ``_n``."""
+    return [F.max(F.when(_holds(rank, lo_rank, hi_rank), F.col(value))).alias(f"_{side}_{name}")
+            for name, p in probs.items()
+            for side, rank in (("lo", F.floor(_position(p))), ("hi", F.ceil(_position(p))))]
+
+
+def picked_quantiles(probs: Mapping[str, float]) -> list[Column]:
+    """The quantiles from the columns of ``pick_ranks`` and ``_n``."""
+    return [interpolate(f"_lo_{name}", f"_hi_{name}", _position(p) - F.floor(_position(p))).alias(name)
+            for name, p in probs.items()]
+
+
+def _half_octave(v: Column) -> Column:
+    """Number of the half octave of a value, growing with it (log2 never falls as its argument grows)."""
+    size = F.abs(v)
+    top = F.lit(10_000)
+    step = (F.when(F.isnan(v) | (size == float("inf")), top)
+            .otherwise(F.floor((F.log2(size) + F.lit(1080)) * F.lit(2)).cast("int")))
+    return F.when(F.isnan(v), top + 1).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0))
+
+
+def _equal_step(v: Column) -> Column:
+    """Number of the value's step between the least and the greatest value of its cell."""
+    at = (v - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    return F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(at * F.lit(CELLS)).cast("int"), F.lit(CELLS - 1))).otherwise(F.lit(0))
+
+
+def _narrowed(values: DataFrame, keys: list[str], probs: Mapping[str, float], cell: Column) -> DataFrame:
+    """The values in cells that hold a wanted rank; ``_off`` is the number of the group's rows before the cell."""
+    dealt = values.withColumn("_cell", cell)
+    part = keys + ["_n", "_off"]
+    cells = dealt.groupBy(*part, "_cell").agg(
+        F.sum("_c").alias("_held"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    before = Window.partitionBy(*part).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_start", F.col("_off") + F.coalesce(F.sum("_held").over(before), F.lit(0)))
+    wanted = [_holds(rank, F.col("_start"), F.col("_start") + F.col("_held"))
+              for p in probs.values() for rank in (F.floor(_position(p)), F.ceil(_position(p)))]
+    live = cells.where(reduce(Column.__or__, wanted)).select(*keys, "_off", "_cell", "_start", "_lo", "_hi")
+    found = null_safe_join(dealt.select(*keys, "_v", "_c", "_n", "_off", "_cell"), F.broadcast(live), keys + ["_off", "_cell"])
+    return found.select(*keys, "_v", "_c", "_n", F.col("_start").alias("_off"), "_lo", "_hi")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
@@ -68,39 +108,25 @@ def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], probs: Mapping[str
                           max_values_per_task: int = DEFAULT_MAX_VALUES_PER_TASK) -> DataFrame:
     """Quantiles from value counts: ``vc`` has keys, ``_v`` (non-null, distinct per group), ``_c``."""
     keys = list(keys)
-    # wide groups and their buckets are few, whatever the data: for 10^12 values in all 500,000 rows or so, so
-    # what is broadcast here is bounded
-    d = F.count(F.lit(1))
-    hot = F.broadcast(vc.groupBy(*keys).agg(F.ceil(d / F.lit(max_values_per_task)).cast("int").alias("_nb")).where(F.col("_nb") > 1))
-    bounds = F.broadcast(_bucket_bounds(vc, hot, keys, max_values_per_task))
-    vcb = null_safe_join(vc, bounds, keys, "left").withColumn(
-        "_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))), F.lit(0)))
-    # rank offset of each bucket inside its wide group
-    whole = Window.partitionBy(*keys)
-    bt = vcb.where(F.col("_bounds").isNotNull()).groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc")).select(
-        *keys, "_bk", F.sum("_bc").over(whole).alias("_all"),
-        F.sum("_bc").over(whole.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
-    part = keys + ["_bk"]
-
-    # exact ranks inside each (group, bucket): rows [lo, hi) of the sorted values
+    if not probs:
+        return vc.select(*keys).distinct()
+    # wide groups are few, whatever the data, and so are their cells that hold a wanted rank: what is broadcast is bounded.
+    # The total is read in every branch, so that all of them share one exchange of the counts.
+    wide = F.broadcast(vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"), F.sum("_c").alias("_n"))
+                       .where(F.col("_d") > max_values_per_task).select(*keys, "_n"))
+    sized = null_safe_join(vc, wide, keys, "left")
+    narrow = sized.where(F.col("_n").isNull()).select(*keys, "_v", "_c", "_n", F.lit(0).cast("long").alias("_off"))
+    cut = null_safe_join(vc, wide, keys).withColumn("_off", F.lit(0).cast("long"))
+    for cell in (_half_octave(F.col("_v")), _equal_step(F.col("_v")), _equal_step(F.col("_v"))):
+        cut = _narrowed(cut, keys, probs, cell)
+
+    # exact ranks inside each narrow group and each cell: rows [lo, hi) of the sorted values
+    part = keys + ["_off"]
     w = Window.partitionBy(*part).orderBy("_v")
-    ranked = vcb.drop("_bounds").withColumns({
+    ranked = narrow.unionByName(cut.drop("_lo", "_hi")).withColumns({
         "_cum": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         "_own": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
-    ranked = null_safe_join(ranked, F.broadcast(bt), part, "left").withColumns({
-        "_n": F.coalesce("_all", "_own"), "_off": F.coalesce("_off", F.lit(0))})
+    ranked = ranked.withColumn("_n", F.coalesce("_n", "_own"))
     hi_rank = F.col("_off") + F.col("_cum")
-    lo_rank = hi_rank - F.col("_c")
-
-    picks = []
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = (rank >= lo_rank) & (rank < hi_rank)
-            picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{side}_{name}"))
-    picked = ranked.groupBy(*keys).agg(F.first("_n").alias("_n"), *picks)
-    out = [F.col(k) for k in keys]
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        out.append(interpolate(f"_lo_{name}", f"_hi_{name}", pos - F.floor(pos)).alias(name))
-    return picked.select(*out)
+    picked = ranked.groupBy(*keys).agg(F.first("_n").alias("_n"), *pick_ranks(probs, "_v", hi_rank - F.col("_c"), hi_rank))
+    return picked.select(*keys, *picked_quantiles(probs))

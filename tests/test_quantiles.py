@@ -46,3 +46,26 @@ def test_distinct_counts(spark):
                                "k int, x string, y int")
     got = {r.k: (r.nx, r.ny) for r in distinct_counts(df, ["k"], {"nx": "x", "ny": "y"}).collect()}
     assert got == {1: (2, 2), 2: (1, None)}
+
+
+def test_wide_groups_of_any_spread(spark):
+    rnd = random.Random(11)
+    draws = {
+        "many": lambda: round(rnd.uniform(-500, 500), 4),
+        "scales": lambda: rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300),
+        "outlier": lambda: rnd.choice([1e300, -1e300] + [1e9 + rnd.random()] * 400),
+        None: lambda: rnd.choice([0.0, -0.0, math.inf, -math.inf, 5e-324] + [rnd.gauss(0, 1)] * 40)}
+    rows = [(g, draw()) for g, draw in draws.items() for _ in range(1500)]
+    probs = {"least": 0.0, "p50": 0.5, "p99": 0.99, "most": 1.0}
+    got = {r.g: r for r in exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", probs,
+                                           max_values_per_task=20).collect()}
+    for g in draws:
+        for k, p in probs.items():
+            assert getattr(got[g], k) == brute([v for h, v in rows if h == g], p), (g, k)
+
+
+def test_values_look_up_no_list_of_bounds(spark):
+    """A value's cost must not grow with its group's buckets: no array of bounds is searched for each row."""
+    df = spark.range(10).selectExpr("id % 2 as g", "double(id) as v")
+    plan = exact_quantiles(df, ["g"], "v", {"p50": 0.5}, max_values_per_task=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "collect_list" not in plan
