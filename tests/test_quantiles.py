@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from costindex.operators.aggregates import distinct_counts
+from costindex.operators.aggregates import distinct_counts, group_profile
 from costindex.operators.quantiles import exact_quantiles
 
 
@@ -69,3 +69,27 @@ def test_values_look_up_no_list_of_bounds(spark):
     df = spark.range(10).selectExpr("id % 2 as g", "double(id) as v")
     plan = exact_quantiles(df, ["g"], "v", {"p50": 0.5}, max_values_per_task=3)._jdf.queryExecution().optimizedPlan().toString()
     assert "filter(" not in plan and "collect_list" not in plan
+
+
+@pytest.mark.parametrize("max_group_rows", [100, 1_000_000])
+def test_group_profile_of_small_and_large_groups(spark, max_group_rows):
+    rnd = random.Random(3)
+    rows = [(g, rnd.choice([None, float("nan"), 0.0, -0.0] + [round(rnd.uniform(-9, 9), 2)] * 9), rnd.choice([None, *range(30)]),
+             rnd.choice(["a", "b", None])) for g, n in (("large", 400), (None, 300), ("small", 7), ("one", 1)) for _ in range(n)]
+    rows += [("empty", None, None, None)] * 3
+    got = group_profile(spark.createDataFrame(rows, "g string, v double, a int, b string"), ["g"], "v", {"q1": 0.25, "q2": 0.5},
+                        {"na": "a", "nb": "b"}, max_group_rows=max_group_rows).collect()
+    assert len(got) == 5
+    for r in got:
+        mine = [x for x in rows if x[0] == r.g]
+        assert (r.n, r.na, r.nb) == (len(mine), *[len({x[k] for x in mine} - {None}) for k in (2, 3)])
+        values = [math.inf if math.isnan(x[1]) else x[1] for x in mine if x[1] is not None]  # NaN is the greatest
+        for q, p in ((r.q1, 0.25), (r.q2, 0.5)):
+            assert q == brute(values, p) and (q != 0 or math.copysign(1, q) == 1)
+
+
+def test_group_profile_shuffles_the_rows_of_small_groups_once(spark):
+    from costindex.operators.aggregates import _sorted_measures
+    rows = spark.range(10).selectExpr("id % 2 as g", "double(id) as _x", "id as a", "id as b")
+    plan = _sorted_measures(rows, ["g"], {"q": 0.5}, {"na": "a", "nb": "b"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
