@@ -40,6 +40,7 @@ FIRST_AS_OF = date(2001, 1, 15)       # window 1999-01 .. 2000-12
 SECOND_AS_OF = date(2001, 12, 15)     # window 1999-12 .. 2001-11
 REPLACED_MONTH = "2001-06"
 SPLIT_FILES = 1                       # files a micro-batch in the split load
+MONTH_FILES = 4                       # files a month in the landing folder
 
 
 def _static_sources(i: Inputs) -> dict[str, Source]:
@@ -52,12 +53,17 @@ def _static_sources(i: Inputs) -> dict[str, Source]:
     return out
 
 
+def _by_month(prices: DataFrame) -> DataFrame:
+    """Rows dealt by month, so that a month has few files (else one from every task) whatever the size of the table."""
+    return prices.repartition("_month_partition", F.pmod(F.xxhash64("item_code", "premise_code"), F.lit(MONTH_FILES)))
+
+
 def _landing(i: Inputs) -> str:
     """Monthly price files, written once per session from the fixture (the publisher's files)."""
     path = i.wh.path("landing", "pricecatcher_prices")
     with i.wh.lock:
         if not i.wh.exists(f"{path}/_SUCCESS"):
-            i.fx("fx_prices").write.mode("overwrite").partitionBy("_month_partition").parquet(path)
+            _by_month(i.fx("fx_prices")).write.mode("overwrite").partitionBy("_month_partition").parquet(path)
     return path
 
 
@@ -207,7 +213,7 @@ def _src_month_failure(i: Inputs) -> DataFrame:
     prices = i.fx("fx_prices").select("date", F.col("premise_code").cast("long").alias("premise_code"),
                                       F.col("item_code").cast("long").alias("item_code"), "price", "_month_partition")
     staged = book.wh.path("landing", "all_prices")
-    prices.write.partitionBy("_month_partition").parquet(staged)
+    _by_month(prices).write.partitionBy("_month_partition").parquet(staged)
     months = sorted(loader.folder_values(book.wh, staged, "_month_partition"))
     landing = book.wh.path("landing", "failing_prices")
     plain = prices.drop("_month_partition").schema
@@ -271,7 +277,7 @@ def _load_nan_rule(i: Inputs) -> DataFrame:
         return i.fx(name).withColumn(column, F.when(F.expr(condition), F.lit(float("nan"))).otherwise(F.col(column).cast("double")))
 
     landing = wh.path("landing", "nan_prices")
-    with_nan("fx_prices").select(*[F.col(f.name).cast(f.dataType) for f in PRICES], "_month_partition").write.partitionBy(
+    _by_month(with_nan("fx_prices").select(*[F.col(f.name).cast(f.dataType) for f in PRICES], "_month_partition")).write.partitionBy(
         "_month_partition").parquet(landing)
     months = sorted(loader.folder_values(wh, landing, "_month_partition"))
     sources = {"prices": monthly_parquet("prices", landing + "/_month_partition={month}", months, schema=PRICES)}

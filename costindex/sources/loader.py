@@ -135,6 +135,7 @@ def plan_months(book: RunBook, source: Source, layer: str, paths: dict[str, str]
         found = dict(zip(every, pool.map(footer, every)))
     contract = _contract(book, source, layer, {f: x for f, x in found.items() if isinstance(x, T.StructType)})
     plans = {}
+    unfit: dict[str, str | None] = {}  # by schema: files of one writer share theirs
     for month, own in files.items():
         refused = None if own else "no data file"
         by_schema: dict[str, list[str]] = {}
@@ -142,8 +143,11 @@ def plan_months(book: RunBook, source: Source, layer: str, paths: dict[str, str]
             if isinstance(found[f], str):
                 refused = refused or found[f]
                 continue
-            refused = refused or _mismatch(book.spark, found[f], contract)
-            by_schema.setdefault(found[f].json(), []).append(f)
+            schema = found[f].json()
+            if schema not in unfit:
+                unfit[schema] = _mismatch(book.spark, found[f], contract)
+            refused = refused or unfit[schema]
+            by_schema.setdefault(schema, []).append(f)
         plans[month] = MonthPlan(by_schema, refused)
     return contract, plans
 

@@ -258,3 +258,23 @@ def test_nan_is_no_value_in_any_load(spark):
     assert [tuple(r) for r in wh.read("raw", "s").orderBy("a").collect()] == [(1, None, "x"), (2, 1.0, None)]
     loader.load_monthly(book, monthly_parquet("p", _months(spark, wh, {"2024-01": df}), ["2024-01"]), datetime(2026, 1, 1))
     assert [tuple(r)[:3] for r in wh.read_partitioned("raw", "p").orderBy("a").collect()] == [(1, None, "x"), (2, 1.0, None)]
+
+
+def test_files_of_one_schema_are_compared_once(spark, monkeypatch, tmp_path):
+    from costindex.plans.loads import MONTH_FILES, _by_month
+    from costindex.sources import loader
+    from costindex.sources.meta import RunBook
+    from costindex.sources.registry import monthly_parquet
+    from costindex.sources.tables import Warehouse
+    rows = spark.range(0, 400, 1, 20).selectExpr("id as item_code", "id % 7 as premise_code", "double(id) as price",
+                                                 "concat('2001-0', 1 + id % 3) as _month_partition")
+    _by_month(rows).write.partitionBy("_month_partition").parquet(f"{tmp_path}/landing")
+    book = RunBook(Warehouse(spark, f"{tmp_path}/wh"))
+    paths = {f"2001-0{m}": f"{tmp_path}/landing/_month_partition=2001-0{m}" for m in (1, 2, 3)}
+    calls, compare = [], loader._mismatch
+    monkeypatch.setattr(loader, "_mismatch", lambda *a: calls.append(a) or compare(*a))
+    source = monthly_parquet("prices", f"{tmp_path}/landing/_month_partition={{month}}", sorted(paths))
+    _, plans = loader.plan_months(book, source, "raw", paths)
+    files = [f for p in plans.values() for own in p.files.values() for f in own]
+    assert len(calls) == 1 and 3 <= len(files) <= 3 * MONTH_FILES
+    assert spark.read.parquet(*files).count() == 400
