@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from costindex.session import stage_table
 
-# Estimated plan size under which a dimension is broadcast.  Above it the
-# join stays a shuffle join (AQE may still switch it at run time from the
-# measured size).
+# Size of a dimension's rows in memory under which it is broadcast.  Above it the
+# join stays a shuffle join.
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-# A scan's estimate is its compressed file size; rows in memory may be this many times larger.
-COMPRESSION = 8
+# A broadcast is built in the driver, with copies while it grows, and a query may hold several:
+# one takes no more than this part of the driver's heap.
+DRIVER_SHARE = 16
+# A scan's estimate is its file size; rows in memory may be this many times larger
+# (13 to 18 times were seen, of dictionary-coded columns).
+COMPRESSION = 64
 # A key is hot when it has more than one row in so many of the fact, so there are fewer hot keys than this.
 HOT_SHARE = 1000
 
@@ -27,6 +30,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def driver_bound(df: DataFrame, max_bytes: int) -> int:
+    """``max_bytes``, or the driver's share when that is less."""
+    try:
+        heap = int(df.sparkSession.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory())
+    except Exception:  # e.g. Spark Connect: no JVM on the client
+        return max_bytes
+    return min(max_bytes, heap // DRIVER_SHARE)
+
+
 def _fixed_row_bytes(df: DataFrame) -> int:
     """Bytes per row without the content of strings."""
     return 16 + 8 * len(df.schema.fields)
@@ -53,13 +65,28 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     The plan estimate (no job) decides first, allowing for compression.
     Estimates of joined or aggregated plans are loose upper bounds, so with
     ``verify_rows`` a dimension that looks too big is measured (one job over
-    the dimension only) and broadcast when it fits under ``max_bytes``.
+    the dimension only) and broadcast when it fits under ``max_bytes`` and the
+    driver's share.  One that was measured and does not fit is kept from Spark's
+    own broadcasts, which go by the compressed size.
     """
-    return F.broadcast(df) if fits(df, max_bytes, verify_rows) else df
+    if fits(df, max_bytes, verify_rows):
+        return F.broadcast(df)
+    return shuffled(df) if verify_rows else df
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """The side of a join that must not be broadcast, whatever the estimate of its plan."""
+    return df.hint("merge")
+
+
+def shuffled_if_large(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """A join side left to Spark's choice when its rows would fit a broadcast, else shuffled."""
+    return df if fits(df, max_bytes) else shuffled(df)
 
 
 def fits(df: DataFrame, max_bytes: int, verify_rows: bool = True) -> bool:
     """Whether the size check allows a broadcast: the plan's estimate, else (``verify_rows``) the measured rows."""
+    max_bytes = driver_bound(df, max_bytes)
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes // COMPRESSION:
         return True
@@ -86,11 +113,11 @@ def split_hot_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     hot = hot_keys(fact, fact_key, share).select(F.col(fact_key).alias("_hot"))
     hot_rows = dim.join(F.broadcast(hot), dim[dim_key] == F.col("_hot"), "left_semi")
-    if measured_bytes(hot_rows, max_broadcast_bytes) is None:
-        return fact.join(dim, fact[fact_key] == dim[dim_key], "inner")
+    if measured_bytes(hot_rows, driver_bound(dim, max_broadcast_bytes)) is None:
+        return fact.join(shuffled(dim), fact[fact_key] == dim[dim_key], "inner")
     rare = fact.join(F.broadcast(hot), fact[fact_key] == F.col("_hot"), "left_anti")
     small = F.broadcast(hot_rows)
-    return rare.join(dim, rare[fact_key] == dim[dim_key], "inner").unionByName(
+    return rare.join(shuffled(dim), rare[fact_key] == dim[dim_key], "inner").unionByName(
         fact.join(small, fact[fact_key] == small[dim_key], "inner"))
 
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costindex.operators.joins import shuffled_if_large
+
 # The ridership columns of the source.
 SERVICES = [
     "bus_rkl", "bus_rkn", "bus_rpn",
@@ -129,7 +131,7 @@ def _orders_by_customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice",
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return o.join(c, o.o_custkey == c.c_custkey)
+    return o.join(shuffled_if_large(c), o.o_custkey == c.c_custkey)
 
 
 def income(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,51 @@ def test_quantiles_run_no_job_while_they_are_planned(spark):
     failing = df.withColumn("v", df["v"] + df["e"].cast("double"))
     exact_quantiles(failing, ["k"], "v", {"m": 0.5})
     exact_quantiles(failing, ["k"], "v", {"m": 0.5}, max_values_per_task=10)
+
+
+def _small_heap(monkeypatch, heap: int):
+    """Bounds as of a driver with ``heap`` bytes."""
+    from costindex.operators import joins
+    monkeypatch.setattr(joins, "driver_bound", lambda df, max_bytes: min(max_bytes, heap // joins.DRIVER_SHARE))
+
+
+def test_a_dimension_that_its_file_compresses_well_is_not_broadcast_above_the_driver_share(spark, monkeypatch):
+    """The rows count, not the file: dictionary-coded columns take many times its size."""
+    from costindex.operators.joins import DEFAULT_BROADCAST_BYTES, DRIVER_SHARE, driver_bound, estimated_bytes, star_join
+    dim = stage_table(spark.range(0, 200_000, 1, 1).selectExpr(
+        "id as d", *[f"concat('a text that repeats in column {c}, number ', id % 50) as c{c}" for c in range(6)]))
+    fact = stage_table(spark.range(3000).selectExpr("id * 7 as k", "id as v"))
+    heap = int(spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory())
+    assert driver_bound(dim, DEFAULT_BROADCAST_BYTES) == min(DEFAULT_BROADCAST_BYTES, heap // DRIVER_SHARE)
+    assert "BroadcastHashJoin" in _plan(star_join(fact, [(dim, "k", "d")]))
+    bound = 32 << 20    # the rows take 65 MB, the file below 1 MB
+    assert estimated_bytes(dim) < bound // 8
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")    # the file's size is below Spark's own limit too
+    try:
+        for out in (star_join(fact, [(dim, "k", "d")], max_broadcast_bytes=bound), None):
+            if out is None:
+                _small_heap(monkeypatch, bound * DRIVER_SHARE)
+                out = star_join(fact, [(dim, "k", "d")])
+            plan = _plan(out)
+            assert plan.count("SortMergeJoin") == 1, plan
+            got = out.select("k", "v", "c3").collect()
+            assert sorted((r.k, r.v, r.c3) for r in got) == [
+                (7 * v, v, f"a text that repeats in column 3, number {7 * v % 50}") for v in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_customers_above_the_driver_share_are_not_broadcast_by_their_file_size(spark, monkeypatch, tmp_path):
+    from costindex.sources import fixtures
+    spark.range(2000).selectExpr("id as o_orderkey", "id % 900 as o_custkey", "timestamp'1996-02-03' as o_orderdate", "id * 1.0d as o_totalprice",
+                                 "'1-URGENT' as o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1000).selectExpr("id as c_custkey", "cast(id % 5 as int) as c_nationkey", "'AUTOMOBILE' as c_mktsegment").write.parquet(
+        f"{tmp_path}/customer.parquet")
+    want = "BroadcastHashJoin", "SortMergeJoin"
+    for heap, (yes, no) in ((1 << 34, want), (16 << 10, want[::-1])):
+        _small_heap(monkeypatch, heap)
+        out = fixtures.vehicles(spark, str(tmp_path))
+        plan = _plan(out)
+        assert yes in plan and no not in plan
+        assert [tuple(r)[1:] for r in out.collect()] == [("AUTOMOBILE", "Electric", 2000)]
